@@ -20,8 +20,5 @@ def keep_one(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     if not others:
         return df.distinct()
     ordered = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in others])
-    return (
-        df.withColumn("_rank", F.row_number().over(ordered))
-        .where(F.col("_rank") == 1)
-        .drop("_rank")
-    )
+    ranked = df.select("*", F.row_number().over(ordered).alias("_rank"))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")

@@ -6,20 +6,26 @@ move fact rows go through :func:`split_join`, which spreads such keys over many
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key is spread once it holds more than this share of all rows, and each piece then holds
-# at most this share. At most 1/HOT_SHARE keys can qualify, which bounds the broadcast below.
-HOT_SHARE = 0.002
+# Pieces are at least this fine, so that small settings of the session do not hide hot keys.
+MIN_PIECES = 500
 
 
-def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+def fair_share(spark: SparkSession) -> float:
+    """Share of all rows that one task should get: one shuffle partition's worth."""
+    return 1 / max(MIN_PIECES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def hot_keys(facts: DataFrame, key: str, share: float | None = None) -> DataFrame:
     """Keys with more than ``share`` of all rows, and into how many pieces to split each.
 
     Counting is exact: one pass over the key column with map-side combine. At most
-    ``1 / share`` rows come out, whatever the size of ``facts``.
+    ``1 / share`` keys can hold that much, whatever the size of ``facts``, which bounds what
+    :func:`split_join` broadcasts.
     """
+    share = share or fair_share(facts.sparkSession)
     counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     limit = counts.agg((F.sum("_rows") * F.lit(share)).alias("_limit")).scalar()
     return counts.where(F.col("_rows") > limit).select(
@@ -28,7 +34,7 @@ def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
 
 
 def split_join(
-    facts: DataFrame, dimension: DataFrame, key: str, spread: str, share: float = HOT_SHARE
+    facts: DataFrame, dimension: DataFrame, key: str, spread: str, share: float | None = None
 ) -> DataFrame:
     """Inner equi-join on ``key`` that no single hot key can hold up; the result is exact.
 

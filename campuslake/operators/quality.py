@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import as_number
 from ..schemas import QUALITY_RULES, QualityRule
 
 
@@ -28,7 +29,8 @@ def profile(df: DataFrame, table: str, rule: QualityRule | None = None) -> DataF
     for name in rule.not_null:
         metrics[f"nulls_{name}"] = F.count_if(F.col(name).isNull())
     for name, (low, high) in rule.ranges.items():
-        metrics[f"out_of_range_{name}"] = F.count_if((F.col(name) < low) | (F.col(name) > high))
+        value = as_number(df, name)
+        metrics[f"out_of_range_{name}"] = F.count_if((value < low) | (value > high))
     counts = df.agg(*[metric.alias(name) for name, metric in metrics.items()])
     faults = [F.col("duplicates")] + [F.col(f"nulls_{name}") for name in rule.not_null]
     clean = reduce(lambda left, right: left & right, [fault == 0 for fault in faults])

@@ -11,6 +11,7 @@ import re
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 INPUTS = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
 
@@ -110,13 +111,23 @@ def _inputs_of(name: str) -> tuple[str, ...]:
     return tuple(t for t in INPUTS if re.search(rf"(from|join) {t}\b", SOURCES[name]))
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
+def _input(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    path = f"{sf_dir}/{table}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One source table over the Parquet files in ``sf_dir``."""
     inputs = _inputs_of(name)
     statement = re.sub(
         rf"\b(from|join) ({'|'.join(inputs)})\b", r"\1 {\2}", SOURCES[name]
     )
-    return spark.sql(statement, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in inputs})
+    return spark.sql(statement, **{t: _input(spark, sf_dir, t) for t in inputs})
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..sources.tables import read_table
 from .publish import publish
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -30,16 +32,24 @@ def table_detail(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 
 
 def compact(
-    spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_FILE_BYTES
+    spark: SparkSession,
+    source: str,
+    target: str,
+    schema: StructType | None = None,
+    partition_by: Sequence[str] = (),
+    target_bytes: int = TARGET_FILE_BYTES,
 ) -> int:
     """Copy a table to a new folder in fewer, larger files; returns the row count.
 
-    Input splits are merged without a shuffle. Writing to a new folder leaves the old files
-    readable and makes a failed run harmless.
+    Unpartitioned tables only merge input splits, without a shuffle; partitioned ones are
+    rebalanced by partition value. Writing to a new folder leaves the old files readable and
+    makes a failed run harmless.
     """
-    size = table_detail(spark, source).first()["size_in_bytes"]
-    pieces = max(1, -(-size // target_bytes))
-    return publish(spark.read.parquet(source).coalesce(pieces), target)
+    table = read_table(spark, source, schema=schema)
+    if not partition_by:
+        size = table_detail(spark, source).first()["size_in_bytes"]
+        table = table.coalesce(max(1, -(-size // target_bytes)))
+    return publish(table, target, partition_by=partition_by)
 
 
 def cluster_by(

@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import math
+import statistics
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from campuslake.functions import (
+    absence_band,
+    as_number,
+    iso_date,
+    mention,
+    merged_stddev,
+    performance_category,
+    round_dec,
+    weighted_mean,
+)
+
+
+def _column(spark, values, kind="double"):
+    return spark.createDataFrame([(v,) for v in values], f"x {kind}")
+
+
+def _values(df, column):
+    return [row[0] for row in df.select(column).collect()]
+
+
+def test_rounding_is_half_up_and_ignores_the_last_bits(spark):
+    df = _column(spark, [1.005, 0.285, 3.125, 3.1249999999999996, 2.675, -1.005, None])
+    assert _values(df, round_dec(F.col("x"), 2)) == [1.01, 0.29, 3.13, 3.13, 2.68, -1.01, None]
+
+
+def test_rounding_keeps_values_a_decimal_cannot_hold(spark):
+    nan, inf, huge = _values(_column(spark, [math.nan, math.inf, 1e300]), round_dec(F.col("x"), 2))
+    assert math.isnan(nan) and inf == math.inf and huge == 1e300
+
+
+def test_mentions(spark):
+    df = _column(spark, [0.0, 9.99, 10.0, 12.0, 14.0, 16.0, 20.0])
+    assert _values(df, mention(F.col("x"))) == [
+        "Insuffisant", "Insuffisant", "Passable", "Assez Bien", "Bien", "Très Bien", "Très Bien",
+    ]
+
+
+def test_categories(spark):
+    df = _column(spark, [14.0, 13.99, 12.0, 10.0, 9.99, None])
+    assert _values(df, performance_category(F.col("x"))) == [
+        "Excellent", "Bon", "Bon", "Passable", "En difficulté", "En difficulté",
+    ]
+
+
+def test_bands_have_no_gaps_and_null_is_the_highest(spark):
+    df = _column(spark, [0.0, 5.0, 5.5, 15.0, 30.0, 30.5, None])
+    low, some, more, most = (
+        "Très faible (0-5h)", "Faible (6-15h)", "Modéré (16-30h)", "Élevé (>30h)",
+    )
+    assert _values(df, absence_band(F.col("x"))) == [low, low, some, some, more, most, most]
+    assert _values(df, absence_band(F.col("x"), "Aucune"))[-1] == "Aucune"
+
+
+def test_dates(spark):
+    df = _column(spark, ["2024-01-05", "2024-1-5", "31/09/2023", "2024-02-30", "n/a", None], "string")
+    parsed = [str(v) if v else None for v in _values(df, iso_date(df, "x"))]
+    assert parsed == ["2024-01-05", None, None, None, None, None]
+
+
+def test_a_date_column_stays_a_date(spark):
+    df = spark.sql("select date'2024-01-05' as x")
+    assert str(_values(df, iso_date(df, "x"))[0]) == "2024-01-05"
+
+
+def test_text_numbers(spark):
+    df = _column(spark, ["12.5", "x", None], "string")
+    assert _values(df, as_number(df, "x")) == [12.5, None, None]
+
+
+def test_weighted_mean_skips_rows_without_a_value(spark):
+    df = spark.createDataFrame([(10.0, 1), (20.0, 3), (None, 100)], "v double, n int")
+    assert df.agg(weighted_mean(F.col("v"), F.col("n"))).first()[0] == 17.5
+    assert df.where("v is null").agg(weighted_mean(F.col("v"), F.col("n"))).first()[0] is None
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(0, 2000), min_size=2, max_size=40))
+def test_merged_deviation_equals_the_direct_one(spark, hundredths):
+    values = [h / 100 for h in hundredths]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "part int, v double")
+    shifted = F.col("v") - 10
+    parts = df.groupBy("part").agg(
+        F.count("v").alias("n"), F.sum(shifted).alias("s"), F.sum(shifted * shifted).alias("q")
+    )
+    merged = parts.agg(merged_stddev(F.sum("n"), F.sum("s"), F.sum("q"))).first()[0]
+    assert merged == pytest.approx(statistics.stdev(values), abs=1e-6)
+
+
+def test_deviation_of_one_value_is_null(spark):
+    one = spark.sql("select 1L as n, 2.0D as s, 4.0D as q")
+    assert one.select(merged_stddev(F.col("n"), F.col("s"), F.col("q"))).first()[0] is None

@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import pytest
+
+from campuslake.schemas import TABLES
+from campuslake.sources import read_csv, registrations_from_series
+from campuslake.sources.jdbc import Database, Split, jdbc_options
+
+
+def _write(tmp_path, text, name="file.csv"):
+    (tmp_path / name).write_text(text, encoding="utf-8")
+    return str(tmp_path)
+
+
+def test_declared_types_and_header_order(spark, tmp_path):
+    path = _write(tmp_path, "grade,grade_id,extra\n12.5,g1,é\nn/a,g2,\n")
+    df = read_csv(spark, path, "grades")
+    assert dict(df.dtypes) == {"grade": "double", "grade_id": "string", "extra": "string"}
+    assert sorted(map(tuple, df.collect()), key=lambda r: r[1]) == [(12.5, "g1", "é"), (None, "g2", None)]
+
+
+def test_quotes_blanks_and_missing_values(spark, tmp_path):
+    path = _write(tmp_path, 'program_id,program_name\nP1,"a, \\"b\\""\nP2,  padded  \n,\n')
+    rows = read_csv(spark, path, "programs").collect()
+    assert [tuple(r) for r in rows] == [("P1", 'a, "b"'), ("P2", "  padded  "), (None, None)]
+
+
+def test_a_file_with_another_header_is_an_error(spark, tmp_path):
+    _write(tmp_path, "program_id,program_name\nP1,a\n", "a.csv")
+    path = _write(tmp_path, "program_name,program_id\na,P1\n", "b.csv")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, path, "programs").collect()
+
+
+def test_inference_on_request(spark, tmp_path):
+    path = _write(tmp_path, "registration_date,session,tuition_paid,justified,grade\n2023-09-01,2023-2024,true,Yes,12.5\n")
+    assert dict(read_csv(spark, path, "grades", infer=True).dtypes) == {
+        "registration_date": "date", "session": "string", "tuition_paid": "boolean", "justified": "string",
+        "grade": "double",
+    }
+
+
+def test_jdbc_options():
+    database = Database("jdbc:postgresql://host/db", "org.postgresql.Driver", "u", "p")
+    options = jdbc_options(database, "registrations", Split("registration_id", 1, 1000, 8))
+    assert options["dbtable"] == "registrations" and options["user"] == "u" and options["password"] == "p"
+    assert options["partitionColumn"] == "registration_id" and options["numPartitions"] == "8"
+    assert (options["lowerBound"], options["upperBound"]) == ("1", "1000")
+    whole = jdbc_options(Database("jdbc:x"), "t")
+    assert "partitionColumn" not in whole and "user" not in whole
+
+
+def test_seed(spark):
+    rows = registrations_from_series(spark.range(1, 359)).orderBy("registration_id").collect()
+    assert len(rows) == 358
+    assert rows[0].student_id == "STU-0001" and rows[357].student_id == "STU-0358"
+    assert [r.program_id for r in rows[:3]] == ["CCN", "GLSID", "BDCC"]
+    assert [r.status for r in rows[:3]] == ["Redoublant", "Transfert", "Inscrit"]
+    assert [str(r.registration_date) for r in rows[28:31]] == ["2023-09-30", "2023-09-01", "2023-09-02"]
+    assert [r.tuition_paid for r in rows[:2]] == [False, True]
+
+
+def test_every_table_declares_its_key():
+    for table in TABLES.values():
+        assert set(table.key) <= set(table.columns)
