@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, kpis, quality
-from ..schemas import GOLD_PARTITIONS
+from ..schemas import GOLD_PARTITIONS, TABLES
 from ..sinks.publish import publish_all
 from ..sources.tables import read_table
 
@@ -74,6 +74,34 @@ def publish_gold(
     return counts | publish_all(gold_from_gold(written), root, fmt, GOLD_PARTITIONS)
 
 
+def _read_all(spark: SparkSession, root: str, stage: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    return {name: read_table(spark, f"{root}/{stage}/{name}", fmt) for name in TABLES}
+
+
+def ingest(sources: dict[str, DataFrame], root: str) -> dict[str, int]:
+    """Stage 1: land the sources as they are, in Parquet."""
+    return publish_all(sources, f"{root}/bronze")
+
+
+def check(spark: SparkSession, root: str, on_issue: str = "report") -> list[dict]:
+    """Stage 2: profile bronze tables; informs only, unless ``on_issue="fail"``."""
+    rows = [row.asDict() for row in quality.report(_read_all(spark, root, "bronze")).collect()]
+    faulty = sorted({row["table"] for row in rows if row["status"] != "OK"})
+    if on_issue == "fail" and faulty:
+        raise QualityError("bronze tables with duplicates or NULLs: " + ", ".join(faulty))
+    return rows
+
+
+def to_silver(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, int]:
+    """Stage 3: clean the eight bronze tables."""
+    return publish_all(clean_tables(_read_all(spark, root, "bronze")), f"{root}/silver", fmt)
+
+
+def to_gold(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, int]:
+    """Stage 4: compute the seven KPI tables."""
+    return publish_gold(spark, _read_all(spark, root, "silver", fmt), f"{root}/gold", fmt)
+
+
 def run(
     spark: SparkSession,
     sources: dict[str, DataFrame],
@@ -84,23 +112,12 @@ def run(
     """Run every stage through files under ``root``.
 
     Each stage reads what the one before wrote, so a stage can be started again on its own
-    and no plan grows longer than one stage. The quality report informs and goes on, unless
-    ``on_issue="fail"``. Bronze is always Parquet; ``fmt`` is the format of silver and gold.
+    and no plan grows longer than one stage. Bronze is always Parquet; ``fmt`` is the format
+    of silver and gold.
     """
     result = Run()
-    schemas = {name: df.schema for name, df in sources.items()}
-    result.add("bronze", publish_all(sources, f"{root}/bronze"))
-    bronze = {n: read_table(spark, f"{root}/bronze/{n}", schema=schemas[n]) for n in sources}
-
-    result.quality = [row.asDict() for row in quality.report(bronze).collect()]
-    if on_issue == "fail" and any(row["status"] != "OK" for row in result.quality):
-        raise QualityError("bronze tables with duplicates or NULLs: " + ", ".join(
-            sorted({row["table"] for row in result.quality if row["status"] != "OK"})
-        ))
-
-    cleaned = clean_tables(bronze)
-    result.add("silver", publish_all(cleaned, f"{root}/silver", fmt))
-    silver = {n: read_table(spark, f"{root}/silver/{n}", fmt, df.schema) for n, df in cleaned.items()}
-
-    result.add("gold", publish_gold(spark, silver, f"{root}/gold", fmt))
+    result.add("bronze", ingest(sources, root))
+    result.quality = check(spark, root, on_issue)
+    result.add("silver", to_silver(spark, root, fmt))
+    result.add("gold", to_gold(spark, root, fmt))
     return result
