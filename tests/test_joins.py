@@ -48,20 +48,40 @@ def test_the_hot_key_is_spread_over_many_pieces(spark, facts, dimension):
     assert max(sizes) < 2 * sum(sizes) / hot
 
 
-def test_shuffled_split_join_shuffles_by_key_and_piece(spark, facts, dimension, plan):
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        split = joins.split_join(facts, dimension, "key", "id", 0.01)
-        text = plan(split)
-        assert text.count("SortMergeJoin") == 1
-        assert "SortMergeJoin [key" in text and "_piece" in text
-        assert "CartesianProduct" not in text and "NestedLoop" not in text
-        plain = facts.join(dimension, "key").select("id", "key", "v", "name")
-        assert split.select(*plain.columns).exceptAll(plain).isEmpty()
-        assert split.count() == plain.count()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+@pytest.fixture
+def shuffled(spark):
+    """No broadcasts and no adaptive help, as on tables too large for the one and to show the other is not needed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_shuffled_split_join_shuffles_by_key_and_piece(facts, dimension, plan, shuffled):
+    split = joins.split_join(facts, dimension, "key", "id", 0.01)
+    text = plan(split)
+    assert text.count("SortMergeJoin") == 1
+    assert "SortMergeJoin [key" in text and "_piece" in text
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    plain = facts.join(dimension, "key").select("id", "key", "v", "name")
+    assert split.select(*plain.columns).exceptAll(plain).isEmpty()
+    assert split.count() == plain.count()
+
+
+def test_no_task_joins_more_than_a_small_share(facts, dimension, shuffled):
+    def largest_share(joined):
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        return max(sizes) / sum(sizes)
+
+    assert largest_share(facts.join(dimension, "key")) > 0.33
+    assert largest_share(joins.split_join(facts, dimension, "key", "id")) < 0.06
 
 
 def test_unmatched_semester_measures_stay_null(spark):
