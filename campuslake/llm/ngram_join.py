@@ -46,6 +46,8 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5
 #: Shingles that are put last in the order, at most.
 FREQUENT = 50_000
+#: Shingles of neighbouring documents that are counted together.
+COUNTED_TOGETHER = 4_000_000
 #: Shingles that the sets of one tile hold together, about; a set weighs at least LEAST_WEIGHT.
 TILE_SHINGLES = 1 << 21
 LEAST_WEIGHT = 512
@@ -69,8 +71,11 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.
             whole.append(value)
         values = np.concatenate([values, np.array(whole, np.uint64)])
         owners = np.concatenate([owners, short])
-    order = np.lexsort((values, owners))
-    values, owners = values[order], owners[order]
+        order = np.argsort(owners, kind="stable")
+        values, owners = values[order], owners[order]
+    ends = np.searchsorted(owners, np.arange(len(texts) + 1))
+    for a, b in zip(ends[:-1], ends[1:]):
+        values[a:b].sort()
     fresh = np.ones(len(values), bool)
     fresh[1:] = (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])
     values, owners = values[fresh], owners[fresh]
@@ -98,11 +103,19 @@ def frequent_shingles(docs: DataFrame, most: int = FREQUENT) -> np.ndarray:
     """Shingles in many documents: counted within input batches, summed where they repeat there."""
 
     def count(batch: pa.RecordBatch) -> Iterator[dict]:
-        for _, texts in steps(batch.column(0), 32 << 20):
-            values, _ = shingle_sets(texts)
-            values, counts = np.unique(values, return_counts=True)
-            often = counts > 1
-            yield {"shingle": signed(values[often]), "n": counts[often]}
+        held: list[np.ndarray] = []
+
+        def repeated() -> dict:
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return {"shingle": signed(values[counts > 1]), "n": counts[counts > 1]}
+
+        for _, texts in steps(batch.column(0)):
+            held.append(shingle_sets(texts)[0])
+            if sum(map(len, held)) > COUNTED_TOGETHER:
+                yield repeated()
+        if held:
+            yield repeated()
 
     counted = arrow_map(docs.select("text"), count, "shingle long, n long")
     top = counted.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(most)
@@ -139,7 +152,7 @@ def _keys(docs: DataFrame, frequent) -> DataFrame:
             if len(often):
                 at = np.minimum(np.searchsorted(often, values), len(often) - 1)
                 last = often[at] == values
-            order = np.lexsort((values, last, owners))
+            order = np.argsort(2 * owners + last, kind="stable")
             rank = np.arange(len(values)) - bounds[:-1][owners]
             # A set of n links only with an overlap of ceil(t n) at least, so it shows one of
             # its first n - ceil(t n) + 1 shingles.
@@ -147,12 +160,9 @@ def _keys(docs: DataFrame, frequent) -> DataFrame:
             chosen = rank < first[owners]
             picked = order[chosen]
             digests = set_hash(values, bounds)
-            rows = np.unique(
-                np.rec.fromarrays(
-                    [signed(values[picked]), n[owners[picked]], signed(digests[owners[picked]])], names="k,n,c"
-                )
-            )
-            yield {"key": rows.k, "n": rows.n, "class": rows.c}
+            keys, sizes, digests = values[picked], n[owners[picked]], digests[owners[picked]]
+            _, once = np.unique(mix(keys + mix(digests)), return_index=True)  # copies show a key once
+            yield {"key": signed(keys[once]), "n": sizes[once], "class": signed(digests[once])}
 
     return arrow_map(docs.select("text"), cut, "key long, n long, class long")
 
