@@ -5,9 +5,10 @@ fewer words). Two documents link when their sets' Jaccard similarity is 0.8 or m
 
 1. Documents with equal sets form one class, found by a hash of the set.
 2. Candidates: two sets that link share one of the first shingles of both, in any fixed order of
-   all shingles, if enough of the first ones are looked at. The order puts shingles that are
-   frequent in the corpus last, so passages that many documents share are rarely among them.
-   The frequent ones are a bounded list and decide the order only, never the result.
+   all shingles, if enough of the first ones are looked at. The order goes by how frequent a
+   shingle is in the corpus, rare ones first, so passages that many documents share are seldom
+   among them. Frequencies come from a list of bounded size; they decide the order only, never
+   the result.
    Classes that share a key, in order of their sizes, are chained where the sizes could link.
    Components of the chains contain whole components of links.
 3. Each candidate component is cut into tiles by size band and, within a band, by hash, each
@@ -44,8 +45,8 @@ from .textarrays import Texts, mix, windows_hash
 SHINGLE = 5
 #: Similarity as a fraction, so that tests on it are exact.
 NUMERATOR, DENOMINATOR = 4, 5
-#: Shingles that are put last in the order, at most.
-FREQUENT = 50_000
+#: Shingles whose frequency decides their place in the order, at most.
+FREQUENT = 1_000_000
 #: Shingles of neighbouring documents that are counted together.
 COUNTED_TOGETHER = 4_000_000
 #: Shingles that the sets of one tile hold together, about; a set weighs at least LEAST_WEIGHT.
@@ -99,8 +100,11 @@ def min_overlap(a, b):
     return -((-NUMERATOR * (a + b)) // (NUMERATOR + DENOMINATOR))
 
 
-def frequent_shingles(docs: DataFrame, most: int = FREQUENT) -> np.ndarray:
-    """Shingles in many documents: counted within input batches, summed where they repeat there."""
+def frequent_shingles(docs: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in many documents, sorted, and the binary logarithm of how many.
+
+    They are counted within batches of neighbouring documents and summed where they repeat there.
+    """
 
     def count(batch: pa.RecordBatch) -> Iterator[dict]:
         held: list[np.ndarray] = []
@@ -119,8 +123,10 @@ def frequent_shingles(docs: DataFrame, most: int = FREQUENT) -> np.ndarray:
 
     counted = arrow_map(docs.select("text"), count, "shingle long, n long")
     top = counted.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(most)
-    values = top.select("shingle").toPandas()["shingle"].to_numpy(np.int64)
-    return np.sort(values.view(np.uint64))
+    table = top.toArrow()
+    values, counts = table.column("shingle").to_numpy().view(np.uint64), table.column("n").to_numpy()
+    order = np.argsort(values)
+    return values[order], np.log2(counts[order]).astype(np.int8)
 
 
 def classes_of(docs: DataFrame) -> DataFrame:
@@ -143,16 +149,16 @@ def _keys(docs: DataFrame, frequent) -> DataFrame:
     """(key, n, class) for the first shingles of every set."""
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
-        often = frequent.value
+        often, grades = frequent.value
         for _, texts in steps(batch.column(0)):
             values, bounds = shingle_sets(texts)
             n = np.diff(bounds)
             owners = np.repeat(np.arange(len(n)), n)
-            last = np.zeros(len(values), bool)
+            grade = np.zeros(len(values), np.int64)
             if len(often):
                 at = np.minimum(np.searchsorted(often, values), len(often) - 1)
-                last = often[at] == values
-            order = np.argsort(2 * owners + last, kind="stable")
+                grade = np.where(often[at] == values, grades[at], 0)
+            order = np.argsort(64 * owners + grade, kind="stable")
             rank = np.arange(len(values)) - bounds[:-1][owners]
             # A set of n links only with an overlap of ceil(t n) at least, so it shows one of
             # its first n - ceil(t n) + 1 shingles.
