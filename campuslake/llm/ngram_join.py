@@ -9,8 +9,11 @@ fewer words). Two documents link when their sets' Jaccard similarity is 0.8 or m
    shingle is in the corpus, rare ones first, so passages that many documents share are seldom
    among them. Frequencies come from a list of bounded size; they decide the order only, never
    the result.
-   Classes that share a key, in order of their sizes, are chained where the sizes could link.
-   Components of the chains contain whole components of links.
+   With some more of the first shingles, a pair that links shares several of them, in proportion
+   to the smaller set: where few classes share a key their pairs are counted, and pairs with too
+   few shared keys fall out. Where many share one, in order of their sizes, each is tied to the
+   first of a run of sizes that could link, whatever the count. Components of these ties contain
+   whole components of links.
 3. Each candidate component is cut into tiles by size band and, within a band, by hash, each
    of bounded total size, and tiles of bands that can link are compared: parity bitmaps of
    hashed shingles bound the symmetric difference from below and so the overlap from above;
@@ -47,6 +50,10 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5
 #: Shingles whose frequency decides their place in the order, at most.
 FREQUENT = 1_000_000
+#: Classes with one key whose pairs are counted; with more of them they are tied together.
+FEW = 8
+#: A set shows one more key for so many shingles, and a pair must then share one more.
+SPARE = 20
 #: Shingles of neighbouring documents that are counted together.
 COUNTED_TOGETHER = 4_000_000
 #: Shingles that the sets of one tile hold together, about; a set weighs at least LEAST_WEIGHT.
@@ -145,6 +152,11 @@ def classes_of(docs: DataFrame) -> DataFrame:
     return arrow_map(docs.select("doc_id", "text"), digest, "doc_id long, n_shingles long, class long")
 
 
+def shared_keys(n):
+    """How many keys a set of n shingles shares with each set of its size or more that it links with."""
+    return 1 + n // SPARE
+
+
 def _keys(docs: DataFrame, frequent) -> DataFrame:
     """(key, n, class) for the first shingles of every set."""
 
@@ -160,9 +172,9 @@ def _keys(docs: DataFrame, frequent) -> DataFrame:
                 grade = np.where(often[at] == values, grades[at], 0)
             order = np.argsort(64 * owners + grade, kind="stable")
             rank = np.arange(len(values)) - bounds[:-1][owners]
-            # A set of n links only with an overlap of ceil(t n) at least, so it shows one of
-            # its first n - ceil(t n) + 1 shingles.
-            first = n + (-NUMERATOR * n) // DENOMINATOR + 1
+            # A set of n links only with an overlap of ceil(t n) at least, so with its partner it
+            # shares at least k of its first n - ceil(t n) + k shingles.
+            first = n + (-NUMERATOR * n) // DENOMINATOR + shared_keys(n)
             chosen = rank < first[owners]
             picked = order[chosen]
             digests = set_hash(values, bounds)
@@ -173,35 +185,73 @@ def _keys(docs: DataFrame, frequent) -> DataFrame:
     return arrow_map(docs.select("text"), cut, "key long, n long, class long")
 
 
-def _chains(keys: DataFrame) -> DataFrame:
-    """(a, b): classes that share a key, linked to the first of a run of sizes that could link."""
-    types = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The last row so far and the head of its run.
+def _ties(keys: DataFrame) -> DataFrame:
+    """(a, b) of classes that may link; components of these hold whole components of links."""
+    types = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("need", pa.int64())])
+
+    def pairs(key, n, c, few) -> Iterator[pa.RecordBatch]:
+        """All pairs that could link by size, where few classes share the key."""
+        for step in range(1, FEW):
+            i = np.flatnonzero(few[:-step] & (key[:-step] == key[step:]))
+            i = i[(DENOMINATOR * n[i] >= NUMERATOR * n[i + step]) & (c[i] != c[i + step])]
+            if not len(i):
+                break
+            a, b = np.minimum(c[i], c[i + step]), np.maximum(c[i], c[i + step])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(shared_keys(n[i]))], schema=types)
+
+    def stars(key, n, c, many, held) -> tuple[np.ndarray, pa.RecordBatch]:
+        """Each class with the first of its run of sizes; ``held`` is the last row before these."""
+        joined = np.zeros(len(key), bool)
+        joined[1:] = (key[1:] == key[:-1]) & (DENOMINATOR * n[:-1] >= NUMERATOR * n[1:])
+        if held is not None:
+            joined[0] = key[0] == held[0] and DENOMINATOR * held[1] >= NUMERATOR * n[0]
+        heads = np.maximum.accumulate(np.where(joined, 0, np.arange(len(key))))
+        roots = c[heads]
+        if joined[0]:
+            roots[: len(joined) if joined.all() else int(np.argmin(joined))] = held[2]
+        use = many & (roots != c)
+        a, b = np.minimum(roots[use], c[use]), np.maximum(roots[use], c[use])
+        return roots, pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), np.int64))], schema=types)
+
+    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows of a key that may go on in the next batch wait there, unless they are many
+        # already: then the last of them and the head of its run are enough.
+        waiting = [np.zeros(0, np.int64)] * 3
         held: tuple[int, int, int] | None = None
-        for batch in batches:
-            key, n, c = (batch.column(i).to_numpy() for i in range(3))
+
+        def done(rows, held, last: bool):
+            key, n, c = rows
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (c[1:] != c[:-1])
+            key, n, c = key[fresh], n[fresh], c[fresh]
+            cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            lengths = np.diff(np.append(cuts, len(key)))
+            if held is not None and key[0] == held[0]:
+                lengths[0] += FEW + 1
+            wait = [x[len(x) :] for x in (key, n, c)]
+            if not last and lengths[-1] <= FEW:
+                wait = [x[cuts[-1] :] for x in (key, n, c)]
+                key, n, c = (x[: cuts[-1]] for x in (key, n, c))
+                lengths = lengths[:-1]
             if not len(key):
-                continue
-            joined = np.zeros(len(key), bool)
-            joined[1:] = (key[1:] == key[:-1]) & (DENOMINATOR * n[:-1] >= NUMERATOR * n[1:])
-            if held is not None:
-                joined[0] = key[0] == held[0] and DENOMINATOR * held[1] >= NUMERATOR * n[0]
-            heads = np.where(joined, 0, np.arange(len(key)))
-            np.maximum.accumulate(heads, out=heads)
-            roots = c[heads]
-            if joined[0]:
-                run = len(joined) if joined.all() else int(np.argmin(joined))
-                roots[:run] = held[2]
-            held = (int(key[-1]), int(n[-1]), int(roots[-1]))
-            use = roots != c
-            if use.any():
-                pairs = np.unique(np.stack([roots[use], c[use]]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=types)
+                return wait, held, []
+            many = np.repeat(lengths > FEW, np.diff(np.append(cuts[: len(lengths)], len(key))))
+            roots, star = stars(key, n, c, many, held)
+            held = (int(key[-1]), int(n[-1]), int(roots[-1])) if many[-1] else None
+            return wait, held, [*pairs(key, n, c, ~many), star]
+
+        for batch in batches:
+            rows = [np.concatenate([w, batch.column(i).to_numpy()]) for i, w in enumerate(waiting)]
+            if len(rows[0]):
+                waiting, held, out = done(rows, held, last=False)
+                yield from out
+        if len(waiting[0]):
+            yield from done(waiting, held, last=True)[2]
 
     ordered = keys.repartition("key").sortWithinPartitions("key", "n", "class")
-    return ordered.mapInArrow(chain, "a long, b long").distinct()
+    tied = ordered.mapInArrow(tie, "a long, b long, need long")
+    counted = tied.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need"))
+    return counted.where(F.col("shared") >= F.col("need")).select("a", "b")
 
 
 def bitmaps(values: np.ndarray, bounds: np.ndarray, bits: int) -> np.ndarray:
@@ -381,7 +431,7 @@ def linked_components(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = materialize(classes_of(docs), "classes")
     often = spark.sparkContext.broadcast(frequent_shingles(docs, frequent))
-    chained = components(_chains(_keys(docs, often)))
+    chained = components(_ties(_keys(docs, often)))
     # One document stands for its class; its text is all that the comparison needs.
     heads = known.where(F.col("class").isNotNull()).groupBy("class").agg(
         F.min("n_shingles").alias("n"), F.min("doc_id").alias("doc_id")
