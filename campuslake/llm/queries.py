@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_words, chat, decontamination, ngram_join, quality_rules, token_fst
+from . import bpe_words, chat, decontamination, id_index, line_dedup, ngram_join, quality_rules, token_fst
 from .common import ship
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -46,12 +46,22 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.deduplicate_lines(docs).select("row.doc_id", "found.n_lines", "found.n_kept", "row.text")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"), keep=["doc_id"])
     counts = [f"found.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return judged.select("row.doc_id", *counts, "base_failed", "kept")
 
 
+def op7_id_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = id_index.write_and_read_back(spark, _documents(spark, sf_dir), WORD_BPE)
+    return read.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_fst.count_tokens(_documents(spark, sf_dir), BYTE_BPE, keep=["doc_id"])
     return counted.select("row.doc_id", "found.*", (F.col("found.n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -76,7 +86,9 @@ def queries() -> dict[str, Query]:
     registry: dict[str, Query] = {
         "op2_bpe": op2_bpe,
         "op4_decontamination": op4_decontamination,
+        "op5_line_dedup": op5_line_dedup,
         "op6_quality_rules": op6_quality_rules,
+        "op7_id_index": op7_id_index,
         "op8_token_counts": op8_token_counts,
         "op9_ngram_join": op9_ngram_join,
         "op10_chat": op10_chat,
@@ -117,6 +129,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN places USING (k) LEFT JOIN named USING (k)
 """
 
+OP5_SQL = r"""
+WITH parts AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+lines AS (
+  SELECT doc_id, i AS no, l[i] AS line,
+         list_filter(regexp_split_to_array(lower(l[i]), '[ \t\x0B\f\r]+'), lambda x: x <> '') AS w
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM parts)),
+worded AS (
+  SELECT doc_id, no, w, array_to_string(w, ' ') AS s, len(w) AS n, doc_id * 1000000 + no AS pos
+  FROM lines WHERE len(w) > 0),
+firsts AS (SELECT s, any_value(w) AS w, any_value(n) AS n, min(pos) AS pos FROM worded GROUP BY s),
+long AS (SELECT *, unnest(range(1, n + 1)) AS i FROM firsts WHERE n >= 8),
+swap AS (SELECT s, pos, n, i, array_to_string(w[:i - 1] || ['*'] || w[i + 1:], ' ') AS v FROM long),
+cut AS (SELECT s, pos, array_to_string(w[:i - 1] || w[i + 1:], ' ') AS v FROM long),
+near AS (
+  SELECT b.s FROM swap a JOIN swap b ON a.v = b.v AND a.i = b.i AND a.n = b.n AND a.pos < b.pos
+  UNION SELECT b.s FROM firsts a JOIN cut b ON a.s = b.v AND a.pos < b.pos WHERE a.n >= 8
+  UNION SELECT a.s FROM firsts a JOIN cut b ON a.s = b.v AND b.pos < a.pos WHERE a.n >= 8),
+dropped AS (
+  SELECT doc_id, no FROM worded JOIN firsts USING (s)
+  WHERE worded.pos <> firsts.pos OR s IN (SELECT s FROM near)),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY no) AS text FROM lines ANTI JOIN dropped USING (doc_id, no)
+  GROUP BY doc_id)
+SELECT d.doc_id, (SELECT count(*) FROM worded w WHERE w.doc_id = d.doc_id) AS n_lines,
+       (SELECT count(*) FROM worded w WHERE w.doc_id = d.doc_id)
+         - (SELECT count(*) FROM dropped x WHERE x.doc_id = d.doc_id) AS n_kept,
+       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
 OP9_SQL = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -143,4 +185,4 @@ FROM sets s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, len(s.s)
 
 def oracle_sql() -> dict[str, str]:
     """SQL counterparts of those queries that SQL can express."""
-    return {"op4_decontamination": OP4_SQL, "op9_ngram_join": OP9_SQL}
+    return {"op4_decontamination": OP4_SQL, "op5_line_dedup": OP5_SQL, "op9_ngram_join": OP9_SQL}
