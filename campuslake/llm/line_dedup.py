@@ -34,15 +34,15 @@ def words_of(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), r"[ \t\u000B\f\r]+"), "")
 
 
-def _half_keys(words: Column, n: Column) -> Column:
+def _half_keys(hashes: Column, n: Column) -> Column:
     """Hashes of the first and second half, for a partner as long as this line and for a shorter one."""
 
     def halves(m: Column) -> list[Column]:
         first = F.floor(m / 2).cast("int")
         rest = (m - first).cast("int")
         return [
-            F.xxhash64(F.lit("first"), m, F.slice(words, F.lit(1), first)),
-            F.xxhash64(F.lit("second"), m, F.slice(words, F.size(words) - rest + 1, rest)),
+            F.xxhash64(F.lit("first"), m, F.slice(hashes, F.lit(1), first)),
+            F.xxhash64(F.lit("second"), m, F.slice(hashes, n - rest + 1, rest)),
         ]
 
     return F.array(*halves(n), *halves(n - 1))
@@ -54,36 +54,54 @@ def _identified(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def lines_of(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(at, words, h): one row per line with words; ``at`` orders lines and names them."""
+    """(at, n, h, halves): one row per line with words; ``at`` orders lines and names them."""
     exploded = _identified(docs.select(key, text), text, key).select(
         F.col(f"`{key}`").alias("id"), "rid", F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("no", "line")
     )
-    worded = exploded.withColumn("words", words_of(F.col("line"))).where(F.size("words") > 0)
+    hashed = exploded.withColumn("hashes", F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))
+    hashed = hashed.where(F.size("hashes") > 0)
     # Null ids last: the flag is compared first.
     at = F.struct(F.col("id").isNull().alias("late"), "id", "rid", "no")
-    return worded.select(at.alias("at"), "words", F.xxhash64(F.size("words"), "words").alias("h"))
+    n = F.size("hashes")
+    halves = F.when(n >= MIN_WORDS, _half_keys(F.col("hashes"), n))
+    return hashed.select(at.alias("at"), n.alias("n"), F.xxhash64(n, "hashes").alias("h"), halves.alias("halves"))
 
 
-def _kept_words(words: Column, i: Column) -> Column:
-    """The words without the one at position i (from 0)."""
-    return F.concat(F.slice(words, F.lit(1), i), F.slice(words, i + 2, F.size(words)))
+def _variants(candidates: DataFrame) -> DataFrame:
+    """(key, whole, h, at): the deletion neighbourhood of each candidate.
 
+    The hash of a word list is the xor of its words' hashes with their places, so leaving out a
+    word takes one step: words before it keep their places, those behind it move up by one.
+    """
+    zero = F.lit(0).cast("long")
 
-def _variants(candidates: DataFrame) -> DataFrame:
-    """(key, whole, h, at): the deletion neighbourhood of each candidate."""
-    n = F.size("words")
-    swapped = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(F.xxhash64(F.lit("swap"), i, n, _kept_words(F.col("words"), i)).alias("key"), F.lit(True).alias("whole")),
-    )
+    def running(values: Column) -> Column:
+        return F.aggregate(
+            values, F.array(zero), lambda done, x: F.concat(done, F.array(F.element_at(done, -1).bitwiseXOR(x)))
+        )
+
+    placed = candidates.select(
+        "h", "at", "uneven", F.size("words").alias("n"),
+        F.transform("words", lambda w, i: F.xxhash64(w, i)).alias("own"),
+        F.transform("words", lambda w, i: F.xxhash64(w, i - 1)).alias("moved"),
+    )
+    summed = placed.withColumn("before", running(F.col("own"))).withColumn("behind", running(F.col("moved")))
+    total, last = F.element_at("before", -1), F.element_at("behind", -1)
+
+    def variant(whole: bool, *parts: Column) -> Column:
+        return F.struct(F.xxhash64(*parts).alias("key"), F.lit(whole).alias("whole"))
+
+    swapped = F.transform("own", lambda x, i: variant(True, F.lit("swap"), F.col("n"), i, total.bitwiseXOR(x)))
     shorter = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(F.xxhash64(F.lit("drop"), _kept_words(F.col("words"), i)).alias("key"), F.lit(False).alias("whole")),
+        "own",
+        lambda _, i: variant(
+            False, F.lit("drop"), F.col("n") - 1, F.get("before", i).bitwiseXOR(last).bitwiseXOR(F.get("behind", i + 1))
+        ),
     )
-    itself = F.array(F.struct(F.xxhash64(F.lit("drop"), F.col("words")).alias("key"), F.lit(True).alias("whole")))
-    # Equal neighbours leave the same words; one key for them is enough.
-    all_of_them = F.array_distinct(F.when(F.col("uneven"), F.concat(swapped, shorter, itself)).otherwise(swapped))
-    return candidates.select("h", "at", F.explode(all_of_them).alias("v")).select("v.key", "v.whole", "h", "at")
+    itself = F.array(variant(True, F.lit("drop"), F.col("n"), total))
+    # Leaving out one of two equal neighbours leaves the same words; one key for them is enough.
+    every = F.when(F.col("uneven"), F.concat(swapped, F.array_distinct(shorter), itself)).otherwise(swapped)
+    return summed.select("h", "at", F.explode(every).alias("v")).select("v.key", "v.whole", "h", "at")
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -99,7 +117,7 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 def line_candidates(distinct: DataFrame) -> DataFrame:
     """(h, rid, no, at, uneven): distinct lines that share a half with another one."""
-    halves = distinct.where(F.col("n") >= MIN_WORDS).select("h", "n", F.explode("halves").alias("half"))
+    halves = distinct.where(F.col("halves").isNotNull()).select("h", "n", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(
         F.min("h").alias("lo"), F.max("h").alias("hi"), (F.min("n") != F.max("n")).alias("uneven")
     )
@@ -117,13 +135,9 @@ def deduplicate_lines(docs: DataFrame, text: str = "text", key: str = "doc_id")
 
     ``row`` holds all columns of ``docs`` with the new text; lines without words do not count.
     """
-    lines = lines_of(docs, text, key)
-    distinct = materialize(
-        lines.groupBy("h").agg(
-            F.min(F.struct("at", F.size("words").alias("n"), _half_keys(F.col("words"), F.size("words")).alias("halves"))).alias("first")
-        ).select("h", "first.at", "first.n", F.when(F.col("first.n") >= MIN_WORDS, F.col("first.halves")).alias("halves")),
-        "lines",
-    )
+    lines = materialize(lines_of(docs, text, key), "lines")
+    first = F.min(F.struct("at", "n", "halves")).alias("first")
+    distinct = materialize(lines.groupBy("h").agg(first).select("h", "first.*"), "distinct-lines")
     candidates = line_candidates(distinct)
     worded = materialize(_with_words(docs, candidates, text, key), "candidate-words")
     variants = _variants(worded)
