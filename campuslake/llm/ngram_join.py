@@ -50,6 +50,8 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5
 #: Shingles whose frequency decides their place in the order, at most.
 FREQUENT = 1_000_000
+#: Size of the bitmap of candidate ids, as a power of two.
+BITMAP_BITS = 24
 #: Classes with one key whose pairs are counted; with more of them they are tied together.
 FEW = 8
 #: A set shows one more key for so many shingles, and a pair must then share one more.
@@ -457,19 +459,38 @@ def linked_components(
 
 
 def _texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(class, text) for one document of each candidate class."""
-    # The same id may stand on several rows; the one whose set has the class is meant.
-    wanted = candidates.select(F.col("doc_id").alias("head"), "class")
-    joined = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["head"]))
+    """(class, text) for one document of each candidate class.
+
+    A bitmap of fixed size, of hashed ids, keeps most other texts out of the join.
+    """
+    spark = docs.sparkSession
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS))
+    words = (
+        candidates.select(place.alias("place"))
+        .groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    marked = spark.sparkContext.broadcast(bitmap)
 
     def own(batch: pa.RecordBatch) -> Iterator[dict]:
-        for start, texts in steps(batch.column(1)):
+        at = batch.column(0).to_numpy()
+        batch = batch.filter(pa.array((marked.value[at >> 6] >> (at & 63)) & 1 == 1))
+        for start, texts in steps(batch.column(2)):
             values, bounds = shingle_sets(texts)
-            same = signed(set_hash(values, bounds)) == batch.column(0).slice(start, len(texts)).to_numpy()
-            picked = np.flatnonzero(same)
-            yield {"class": batch.column(0).slice(start, len(texts)).take(pa.array(picked)), "text": texts.take(pa.array(picked)).cast(pa.string())}
+            yield {
+                "doc_id": batch.column(1).slice(start, len(texts)),
+                "class": pa.array(signed(set_hash(values, bounds)), mask=np.diff(bounds) == 0),
+                "text": texts.cast(pa.string()),
+            }
 
-    return arrow_map(joined.select("class", "text"), own, "class long, text string").dropDuplicates(["class"])
+    found = arrow_map(docs.select(place.alias("place"), "doc_id", "text"), own, "doc_id long, class long, text string")
+    wanted = candidates.select(F.col("doc_id").alias("head"), F.col("class").alias("wanted"))
+    # The same id may stand on several rows; the one whose set has the class is meant.
+    same = (F.col("class") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("head"))
+    return found.join(wanted, same).select("class", "text").dropDuplicates(["class"])
 
 
 def _second_links(many: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
