@@ -8,12 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_words, chat, decontamination, id_index, line_dedup, ngram_join, quality_rules, token_fst
+from . import (
+    bpe_words,
+    chat,
+    decontamination,
+    html_extract,
+    id_index,
+    line_dedup,
+    ngram_join,
+    quality_rules,
+    surrogates,
+    token_fst,
+)
 from .common import ship
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
+#: The key of the registered query; real runs bring a secret one.
+SURROGATE_KEY = "example"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,11 +39,20 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_words.encode_documents(_documents(spark, sf_dir), WORD_BPE, keep=["doc_id"])
     return bpe_words.digests(encoded).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY).select("row.doc_id", "n_entities", "row.text")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_contamination(
         _documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"), keep=["doc_id"]
@@ -84,7 +106,9 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Every query of the subpackage by name."""
     registry: dict[str, Query] = {
+        "op1_html": op1_html,
         "op2_bpe": op2_bpe,
+        "op3_surrogates": op3_surrogates,
         "op4_decontamination": op4_decontamination,
         "op5_line_dedup": op5_line_dedup,
         "op6_quality_rules": op6_quality_rules,
@@ -94,6 +118,13 @@ def queries() -> dict[str, Query]:
         "op10_chat": op10_chat,
     }
 
+    def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+        import corpus_pipeline
+
+        return corpus_pipeline.run(spark, sf_dir)
+
+    registry["pipeline"] = pipeline
+
     def shipped(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship(spark)
