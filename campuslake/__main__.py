@@ -50,7 +50,9 @@ def _sources(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFra
             split = Split(table.key[0], *args.jdbc_split) if args.jdbc_split else None
             tables[name] = read_jdbc(spark, database, name, split)
         else:
-            tables[name] = read_csv(spark, f"{args.csv_dir}/{name}.csv", name, args.infer)
+            tables[name] = read_csv(
+                spark, f"{args.csv_dir}/{name}.csv", name, args.infer, keep_malformed=not args.infer
+            )
     return tables
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_number, iso_date, mention
 from ..functions.labels import PASS_MARK
+from ..sources.csv_files import CORRUPT
 from ..schemas import TABLES
 from .dedup import keep_one
 
@@ -107,5 +108,5 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def clean(table: str, df: DataFrame) -> DataFrame:
-    """Apply the cleaner of ``table``."""
-    return CLEANERS[table](df)
+    """Apply the cleaner of ``table``; the text of malformed lines stays in the raw table."""
+    return CLEANERS[table](df.drop(CORRUPT))

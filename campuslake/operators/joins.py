@@ -39,7 +39,7 @@ def split_join(
     """Inner equi-join on ``key`` that no single hot key can hold up; the result is exact.
 
     Rows of a hot key are dealt to numbered pieces by the hash of ``spread`` (a column that
-    varies within the key, such as the fact's own id), and only the dimension rows of hot
+    varies within the key, such as the fact's own id; ``facts`` must give the same rows each time), and only the dimension rows of hot
     keys are repeated, once per piece. Every other key is joined as usual.
     """
     hot = F.broadcast(hot_keys(facts, key, share))
@@ -100,7 +100,6 @@ def performance_with_hours(performance: DataFrame, absenteeism: DataFrame) -> Da
 
 def semester_with_absences(grade_stats: DataFrame, absence_stats: DataFrame) -> DataFrame:
     """Semester results next to the semester's absences; unmatched measures stay NULL."""
-    matched = (grade_stats["semester_id"] == absence_stats["abs_semester_id"]) & (
-        grade_stats["academic_year"] == absence_stats["abs_academic_year"]
+    return grade_stats.join(absence_stats, ["semester_id", "academic_year"], "left").select(
+        *grade_stats.columns, *[c for c in absence_stats.columns if c not in ("semester_id", "academic_year")]
     )
-    return grade_stats.join(absence_stats, matched, "left").drop("abs_semester_id", "abs_academic_year")

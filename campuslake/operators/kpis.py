@@ -173,10 +173,7 @@ def correlation_abs_grades(
 
 def semester_absence_stats(absences: DataFrame) -> DataFrame:
     """Absence measures per semester and academic year, over all programs and cohorts."""
-    return absences.groupBy(
-        F.col("semester_id").alias("abs_semester_id"),
-        F.col("academic_year").alias("abs_academic_year"),
-    ).agg(
+    return absences.groupBy("semester_id", "academic_year").agg(
         F.sum("hours").alias("total_hours_absent"),
         round_dec(F.avg("hours"), 2).alias("avg_hours_per_absence"),
         F.count_if(~F.col("is_justified")).alias("nb_unjustified"),

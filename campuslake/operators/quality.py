@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_number
 from ..schemas import QUALITY_RULES, QualityRule
+from ..sources.csv_files import CORRUPT
 
 
 def _distinct_keys(key: str) -> Column:
@@ -21,7 +22,8 @@ def profile(df: DataFrame, table: str, rule: QualityRule | None = None) -> DataF
     """One row of counts for ``table``: rows, duplicate keys, NULLs, out-of-range values, status.
 
     The status is OK when there are no duplicates and no NULLs; out-of-range values are
-    reported but do not change it.
+    reported but do not change it, and neither do malformed values: text that is no number in a
+    column that was read as text, and lines that were kept as malformed when they were read.
     """
     rule = rule or QUALITY_RULES[table]
     rows = F.count(F.lit(1))
@@ -31,6 +33,10 @@ def profile(df: DataFrame, table: str, rule: QualityRule | None = None) -> DataF
     for name, (low, high) in rule.ranges.items():
         value = as_number(df, name)
         metrics[f"out_of_range_{name}"] = F.count_if((value < low) | (value > high))
+        if df.schema[name].dataType.typeName() == "string":
+            metrics[f"malformed_{name}"] = F.count_if(F.col(name).isNotNull() & value.isNull())
+    if CORRUPT in df.columns:
+        metrics["malformed_rows"] = F.count_if(F.col(CORRUPT).isNotNull())
     counts = df.agg(*[metric.alias(name) for name, metric in metrics.items()])
     faults = [F.col("duplicates")] + [F.col(f"nulls_{name}") for name in rule.not_null]
     clean = reduce(lambda left, right: left & right, [fault == 0 for fault in faults])

@@ -251,7 +251,7 @@ BODIES: dict[str, str] = {
       cast(module_id as varchar) as module_id, grade, session, academic_year,
       cast(cohort_year as integer) as cohort_year from fx_grades""",
     "seed_registrations": """select cast(n as integer) as registration_id,
-        'STU-' || lpad(cast(n as varchar), 4, '0') as student_id,
+        'STU-' || case when n < 10000 then lpad(cast(n as varchar), 4, '0') else cast(n as varchar) end as student_id,
         case n % 3 when 0 then 'BDCC' when 1 then 'CCN' else 'GLSID' end as program_id,
         '2023-2024' as academic_year, date '2023-09-01' + cast(n % 30 as integer) as registration_date,
         case n % 3 when 0 then 'Inscrit' when 1 then 'Redoublant' else 'Transfert' end as status,
@@ -270,7 +270,7 @@ BODIES: dict[str, str] = {
       academic_year, registration_date, status, tuition_paid from cl_registrations""",
     "publish_partitioned_read": "select * from k_performance where program_id = 'ASIA'",
     "catalog_gold_query": """select program_id, difficulty, cast(sum(nb_grades) as bigint) as nb_grades,
-      max(grade_max) as grade_max from k_success where nb_grades > 1 group by program_id, difficulty""",
+      max(grade_max) as grade_max from k_success group by program_id, difficulty""",
     "catalog_listing": _counts("", {f"gold_{name}": cte for name, cte in GOLD.items()}),
     "path_sql_query": "select * from k_program",
     "snapshot_as_of": "select * from k_absent where nb_unjustified = 0",
@@ -279,8 +279,22 @@ BODIES: dict[str, str] = {
     "table_detail": """select 'parquet' as format, count(*) as num_rows, true as has_files, true as has_bytes
       from cl_activities""",
     "compact_files": "select * from cl_grades",
+    "compact_partitioned": "select * from k_performance",
+    "catalog_after_refresh": """select program_id, count(*) as nb_rows,
+      cast(sum(nb_grades) as bigint) as nb_grades, max(grade_max) as best from k_success
+      where program_id <> 'AFRICA' group by program_id""",
+    "ingest_csv_malformed": """select cast(grade_id as varchar) as grade_id,
+      case when grade < 15 then grade end as grade, coalesce(grade >= 15, false) as malformed from fx_grades""",
     "cluster_by_column": "select * from k_performance",
 }
+_SQL_TYPES = {"string": "varchar", "int": "integer", "double": "double", "boolean": "boolean"}
+BODIES |= {
+    f"ingest_csv_{name}": "select "
+    + ", ".join(f"cast({c} as {_SQL_TYPES[kind]}) as {c}" for c, kind in table.columns.items())
+    + f" from fx_{name}"
+    for name, table in TABLES.items()
+    if table.source == "csv" and name not in ("students", "grades")
+}
 BODIES |= {f"clean_{t}": f"select * from cl_{t}" for t in TABLES}
 BODIES |= {f"quality_{t}": sql for t, sql in QUALITY.items()}
 

@@ -29,6 +29,7 @@ from ..sinks import (
 from ..sinks.catalog import register_table
 from ..sinks.storage import scratch_folder
 from ..sources import read_csv, read_path_sql, read_table, registrations_from_series
+from ..sources.csv_files import CORRUPT
 from . import fixtures, lakehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -233,10 +234,36 @@ def catalog_gold_query(t: Tables) -> DataFrame:
     )
     return t.spark.sql(
         f"""SELECT program_id, difficulty, sum(nb_grades) AS nb_grades, max(grade_max) AS grade_max
-        FROM {database}.gold_success_rate WHERE nb_grades > 1 GROUP BY program_id, difficulty"""
+        FROM {database}.gold_success_rate GROUP BY program_id, difficulty"""
     )
 
 
+def catalog_after_refresh(t: Tables) -> DataFrame:
+    """A registered table follows a refresh that drops a program, adds one and renames a column."""
+    folder, name = t.scratch("gold"), f"{_new_database(t)}.gold_success_rate"
+    layout = GOLD_PARTITIONS["success_rate"]
+    first = t.success_rate.where(F.col("program_id") != PROGRAM)
+    publish(first, folder, partition_by=layout)
+    register_table(t.spark, name, folder, schema=first.schema, partition_by=layout)
+    second = t.success_rate.where(F.col("program_id") != "AFRICA").withColumnRenamed("grade_max", "best")
+    publish(second, folder, partition_by=layout)
+    register_table(t.spark, name, folder, schema=second.schema, partition_by=layout)
+    return t.spark.sql(
+        f"""SELECT program_id, count(*) AS nb_rows, sum(nb_grades) AS nb_grades, max(best) AS best
+        FROM {name} GROUP BY program_id"""
+    )
+
+
+def ingest_csv_malformed(t: Tables) -> DataFrame:
+    """Grades of which some are not numbers: the lines are kept beside the parsed values."""
+    folder = t.scratch("csv-malformed")
+    text = F.when(F.col("grade") >= 15, F.concat(F.col("grade").cast("string"), F.lit(" points")))
+    grades = t.raw("grades").withColumn("grade", F.coalesce(text, F.col("grade").cast("string")))
+    grades.write.option("header", True).csv(folder)
+    read = read_csv(t.spark, folder, "grades", keep_malformed=True)
+    return read.select("grade_id", "grade", F.col(CORRUPT).isNotNull().alias("malformed"))
+
+
 def catalog_listing(t: Tables) -> DataFrame:
     """All seven KPI tables published, registered and listed with their row counts."""
     folder, database = t.scratch("gold"), _new_database(t)
@@ -307,6 +334,14 @@ def compact_files(t: Tables) -> DataFrame:
     return read_table(t.spark, target, schema=t.silver("grades").schema)
 
 
+def compact_partitioned(t: Tables) -> DataFrame:
+    source, target = t.scratch("performance"), t.scratch("performance-compact")
+    layout = GOLD_PARTITIONS["student_performance"]
+    publish(t.performance, source, partition_by=layout)
+    compact(t.spark, source, target, t.performance.schema, layout)
+    return read_table(t.spark, target, schema=t.performance.schema)
+
+
 def cluster_by_column(t: Tables) -> DataFrame:
     folder = t.scratch("student_performance-clustered")
     publish(cluster_by(t.performance, ["program_id", "current_level"], ["student_id"]), folder)
@@ -372,11 +407,16 @@ def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
         "snapshot_history": snapshot_versions,
         "retain_snapshots": snapshot_retention,
         "compact_files": compact_files,
+        "compact_partitioned": compact_partitioned,
+        "catalog_after_refresh": catalog_after_refresh,
+        "ingest_csv_malformed": ingest_csv_malformed,
         "cluster_by_column": cluster_by_column,
         "table_detail": table_details,
     }
     for name in TABLES:
         registry[f"clean_{name}"] = lambda t, name=name: t.silver(name)
+        if TABLES[name].source == "csv" and name not in ("students", "grades"):
+            registry[f"ingest_csv_{name}"] = lambda t, name=name: _csv_roundtrip(t, name)
     for name in quality.QUALITY_RULES:
         registry[f"quality_{name}"] = lambda t, name=name: quality.profile(t.raw(name), name)
     return registry

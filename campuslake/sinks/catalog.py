@@ -17,7 +17,15 @@ def register_table(
     schema: StructType | None = None,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """``CREATE TABLE IF NOT EXISTS name USING fmt LOCATION path``, with its partitions."""
+    """Register a folder as table ``name``, or bring the table up to date with the folder.
+
+    Call it after each publication: new partitions come in, gone ones go, and a changed schema or
+    place replaces the entry (the files are external and stay).
+    """
+    if schema is not None and fmt != "delta" and spark.catalog.tableExists(name):
+        order = [f for f in schema if f.name not in partition_by] + [schema[c] for c in partition_by]
+        if [(f.name, f.dataType) for f in spark.table(name).schema] != [(f.name, f.dataType) for f in order]:
+            spark.sql(f"DROP TABLE {name}")
     columns = layout = ""
     if schema is not None and fmt != "delta":
         columns = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ")"
@@ -25,7 +33,8 @@ def register_table(
             layout = "PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {fmt} {layout} LOCATION '{path}'")
     if partition_by and fmt != "delta":
-        spark.catalog.recoverPartitions(name)
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
 
 
 def register_tables(

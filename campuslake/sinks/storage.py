@@ -34,6 +34,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def overlapping(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether two folders are the same or one lies in the other."""
+    resolved = [str(fs.makeQualified(folder).toString()).rstrip("/") + "/" for fs, folder in (_resolve(spark, one), _resolve(spark, other))]
+    return resolved[0].startswith(resolved[1]) or resolved[1].startswith(resolved[0])
+
+
 @functools.cache
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="campuslake-")
@@ -43,7 +49,12 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder name for working tables.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``; only where
-    that is unset, as in tests, is it a local temporary folder.
+    that is unset and everything runs on this machine, as in tests, is it a local folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = _local_scratch()
     return f"{shared.rstrip('/')}/campuslake/{label}-{uuid.uuid4().hex}"

@@ -20,9 +20,12 @@ def _pick(values: tuple[str, ...], number: str):
 def registrations_from_series(series: DataFrame, number: str = "id") -> DataFrame:
     """One registration per number of ``series``, e.g. of ``spark.range(1, 359)``."""
     n = F.col(number)
+    digits = n.cast("string")
+    # At least four digits; lpad alone would cut longer numbers and merge their students.
+    padded = F.lpad(digits, F.greatest(F.lit(4), F.length(digits)), F.lit("0"))
     return series.select(
         n.cast("int").alias("registration_id"),
-        F.concat(F.lit("STU-"), F.lpad(n.cast("string"), 4, "0")).alias("student_id"),
+        F.concat(F.lit("STU-"), padded).alias("student_id"),
         _pick(PROGRAMS, number).alias("program_id"),
         F.lit(ACADEMIC_YEAR).alias("academic_year"),
         F.date_add(F.lit(FIRST_DAY).cast("date"), (n % 30).cast("int")).alias("registration_date"),

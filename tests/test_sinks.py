@@ -185,3 +185,37 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, other = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert one.startswith(shared) and one != other
+
+
+def test_compaction_refuses_what_would_lose_data(spark, frame, tmp_path):
+    source = str(tmp_path / "s")
+    publish(frame.withColumn("program_id", F.lit("007")), source, partition_by=["program_id"])
+    for target in (source, f"{source}/inner", str(tmp_path)):
+        with pytest.raises(ValueError):
+            compact(spark, source, target)
+    with pytest.raises(ValueError):
+        compact(spark, source, str(tmp_path / "t"), partition_by=["program_id"])
+    assert compact(spark, source, str(tmp_path / "t"), frame.schema, ["program_id"]) == 3_000
+    back = read_table(spark, str(tmp_path / "t"), schema=frame.schema)
+    assert [r[0] for r in back.select("program_id").distinct().collect()] == ["007"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError):
+        scratch_folder(Session(), "x")
+    Session.conf = Conf({"spark.master": "local[4]"})
+    assert "campuslake" in scratch_folder(Session(), "x")
+
+
+def test_table_detail_counts_files(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    publish(frame, path)
+    files = spark.read.parquet(path).select("_metadata.file_path").distinct().count()
+    assert table_detail(spark, path).first()["num_files"] == files

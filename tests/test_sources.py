@@ -50,6 +50,21 @@ def test_jdbc_options():
     assert "partitionColumn" not in whole and "user" not in whole
 
 
+def test_seed_keeps_long_numbers_apart(spark):
+    numbers = spark.createDataFrame([(9999,), (10000,), (12345,), (123456,)], "id long")
+    ids = [r["student_id"] for r in registrations_from_series(numbers).collect()]
+    assert ids == ["STU-9999", "STU-10000", "STU-12345", "STU-123456"]
+
+
+def test_malformed_lines_are_kept(spark, tmp_path):
+    path = tmp_path / "modules.csv"
+    path.write_text("module_id,module_name,program_id,semester_id,hours,coefficient,difficulty\n"
+                    "1,Maths,p,s,abc,1.5,x\n2,Law,p,s,3,2.0,y\n")
+    rows = read_csv(spark, str(path), "modules", keep_malformed=True).orderBy("module_id").collect()
+    assert [r["hours"] for r in rows] == [None, 3]
+    assert [r["_corrupt_record"] for r in rows] == ["1,Maths,p,s,abc,1.5,x", None]
+
+
 def test_seed(spark):
     rows = registrations_from_series(spark.range(1, 359)).orderBy("registration_id").collect()
     assert len(rows) == 358
