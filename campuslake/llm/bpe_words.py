@@ -29,7 +29,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from . import wordsplit
 from .common import empty_arrow, materialize, steps
 
-HOT_WORDS = 1 << 19
+HOT_WORDS = 3 << 18
 HOT_BYTES = 48
 #: Distinct words a task gathers before it hands its counts on.
 GATHERED = 400_000
@@ -73,13 +73,42 @@ def word_table(counted: DataFrame, vocabulary: str) -> DataFrame:
     table = F.broadcast(spark.createDataFrame(pieces, "id int, piece string"))
     ids = counted.withColumn("ids", encoded("word"))
     each = ids.select("word", "n", F.posexplode_outer("ids").alias("at", "id")).join(table, "id", "left")
-    put = F.array_sort(F.collect_list(F.struct("at", "id", "piece")))
-    return each.groupBy("word").agg(F.max("n").alias("n"), put.alias("t")).select(
-        "word",
-        "n",
-        F.when(F.col("t")[0]["id"].isNotNull(), F.col("t.id")).otherwise(F.array().cast("array<int>")).alias("ids"),
-        F.concat_ws(" ", "t.piece").alias("decoded"),
-    )
+    # The rows of a word stand together and in order, so they fold without another shuffle.
+    return each.select("word", "n", "at", "id", "piece").mapInArrow(_folded, "word string, n long, ids array<int>, decoded string")
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per word from its consecutive (word, n, at, id, piece) rows."""
+    held: pa.Table | None = None
+
+    def fold(table: pa.Table) -> pa.RecordBatch:
+        at = table.column("at").fill_null(0).to_numpy()
+        starts = np.flatnonzero(at == 0)
+        ids = table.column("id").to_numpy()
+        pieces = table.column("piece").to_pylist()
+        cuts = [*starts.tolist(), len(at)]
+        lists = [ids[a:b].tolist() if pieces[a] is not None else [] for a, b in zip(cuts, cuts[1:])]
+        decoded = [" ".join(pieces[a:b]) if pieces[a] is not None else "" for a, b in zip(cuts, cuts[1:])]
+        heads = table.select(["word", "n"]).take(pa.array(starts)).combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(heads.column("word").to_pylist(), pa.string()), pa.array(heads.column("n").to_pylist(), pa.int64()),
+                pa.array([[int(i) for i in x] for x in lists], pa.list_(pa.int32())), pa.array(decoded, pa.string()),
+            ],
+            names=["word", "n", "ids", "decoded"],
+        )
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        last = np.flatnonzero(table.column("at").fill_null(0).to_numpy() == 0)
+        # The last word may go on in the next batch.
+        cut = int(last[-1]) if len(last) else 0
+        if cut:
+            yield fold(table.slice(0, cut))
+        held = table.slice(cut)
+    if held is not None and held.num_rows:
+        yield fold(held)
 
 
 def _packed(ids: pa.Array) -> list[bytes]:
@@ -131,7 +160,7 @@ def encode_documents(
                 )
 
     def press(batch: pa.RecordBatch) -> Iterator[dict]:
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=3).compress
         for start, texts in steps(batch.column(2)):
             part = batch.slice(start, len(texts))
             bodies = [pack(body) for body in texts.cast(pa.large_binary()).to_pylist()]
