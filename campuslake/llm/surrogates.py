@@ -31,14 +31,15 @@ DRAWS = 40
 
 LETTER = r"\p{L}"
 EMAIL = rf"[{LETTER}0-9][{LETTER}0-9._%+-]*@[{LETTER}0-9-]+(?:\.[{LETTER}0-9-]+)*\.\p{{L}}{{2,}}"
-SECRET = r"""(?<=[ \t=:"'])(?:(?<=(?:token|secret|apikey|api_key|password|passwd) ?[=:] ?["']?)[A-Za-z0-9+/_-]{12,})"""
+SECRET = r"""(?<=[ \t=:"'])(?=[A-Za-z0-9+/_-]{12})(?:(?<=(?:token|secret|apikey|api_key|password|passwd) ?[=:] ?["']?)[A-Za-z0-9+/_-]{12,})"""
 IP = r"(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}(?![0-9]|\.[0-9])"
 PHONE = r"(?<![0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 CARD = r"(?<![0-9.])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
 #: Forms of address, as they tell gender.
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Mlle", "Sra", "Señora", "г-жа", "κα")
 MALE = ("Mr", "Herr", "Monsieur", "Sr", "Señor", "г-н", "κ")
-NAME = rf"(?<=(?<!{LETTER})(?:{'|'.join((*FEMALE, *MALE))})\.? )\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+)?"
+#: The look ahead comes first: it is cheap and fails at most places.
+NAME = rf"(?=\p{{Lu}})(?<=(?<!{LETTER})(?:{'|'.join((*FEMALE, *MALE))})\.? )\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+)?"
 #: Types in the order in which they are tried.
 TYPES = {"email": EMAIL, "secret": SECRET, "ip": IP, "phone": PHONE, "card": CARD}
 FEMALE_NAME = NAME.replace("|".join((*FEMALE, *MALE)), "|".join(FEMALE))
