@@ -29,10 +29,10 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from . import wordsplit
 from .common import empty_arrow, materialize, steps
 
-HOT_WORDS = 3 << 18
+HOT_WORDS = 1 << 18
 HOT_BYTES = 48
 #: Distinct words a task gathers before it hands its counts on.
-GATHERED = 400_000
+GATHERED = 250_000
 ID_TYPE = np.dtype("<u4")
 
 
