@@ -1,13 +1,16 @@
 """BPE encoding and decoding through a table of distinct words.
 
 1. Tasks split texts into words and count them; the counts of each distinct word meet in one
-   row, and that row is encoded once. Decoding joins ids with the id-to-piece table.
+   row, and that row is encoded once.
 2. Ids come back to the positions of the words. The most frequent words, a table of bounded
-   size (``HOT_WORDS`` rows of words up to ``HOT_BYTES`` bytes), are broadcast. All other words
-   are joined by the word itself and return to their document by its key; a text is put together
-   word by word in its own order.
+   size (``HOT_WORDS`` rows of words up to ``HOT_BYTES`` bytes), are broadcast, so tasks write
+   their ids in place and leave a mark for every other word. Those words are joined by the word
+   itself and return to the marks of their document.
+3. Decoding joins every id with its piece; the table of pieces is as large as the vocabulary and
+   broadcast.
 
-The vocabulary is a BPE file with word ends whose tokenizer drops white space.
+The vocabulary is a BPE file with word ends whose tokenizer drops white space. Documents meet
+their words by 96 bits of hashes over the whole row.
 
 Defined results: a null or empty text has no ids and decodes to the empty string; special
 strings in a text are read as the library reads them; repeated rows each get a row.
@@ -21,6 +24,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +38,10 @@ HOT_BYTES = 48
 #: Distinct words a task gathers before it hands its counts on.
 GATHERED = 250_000
 ID_TYPE = np.dtype("<u4")
+#: Set in a word's place to its number among the other words of the document; ids stay below.
+MARK = 1 << 31
+#: A document itself comes behind its words.
+LAST = (1 << 31) - 1
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -61,67 +69,51 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def word_table(counted: DataFrame, vocabulary: str) -> DataFrame:
-    """(word, n, ids, decoded) with each distinct word encoded once and decoded by joining pieces."""
-    spark = counted.sparkSession
+    """(word, n, ids) with each distinct word encoded once; ``ids`` are packed."""
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def encoded(words: pd.Series) -> pd.Series:
-        return pd.Series(wordsplit.encode(vocabulary, words.tolist()))
-
-    pieces = sorted((i, piece) for piece, i in wordsplit.load(vocabulary).get_vocab(with_added_tokens=True).items())
-    # The vocabulary has a fixed size, so the broadcast is bounded.
-    table = F.broadcast(spark.createDataFrame(pieces, "id int, piece string"))
-    ids = counted.withColumn("ids", encoded("word"))
-    each = ids.select("word", "n", F.posexplode_outer("ids").alias("at", "id")).join(table, "id", "left")
-    # The rows of a word stand together and in order, so they fold without another shuffle.
-    return each.select("word", "n", "at", "id", "piece").mapInArrow(_folded, "word string, n long, ids array<int>, decoded string")
-
-
-def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per word from its consecutive (word, n, at, id, piece) rows."""
-    held: pa.Table | None = None
-
-    def fold(table: pa.Table) -> pa.RecordBatch:
-        at = table.column("at").fill_null(0).to_numpy()
-        starts = np.flatnonzero(at == 0)
-        ids = table.column("id").to_numpy()
-        pieces = table.column("piece").to_pylist()
-        cuts = [*starts.tolist(), len(at)]
-        lists = [ids[a:b].tolist() if pieces[a] is not None else [] for a, b in zip(cuts, cuts[1:])]
-        decoded = [" ".join(pieces[a:b]) if pieces[a] is not None else "" for a, b in zip(cuts, cuts[1:])]
-        heads = table.select(["word", "n"]).take(pa.array(starts)).combine_chunks()
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(heads.column("word").to_pylist(), pa.string()), pa.array(heads.column("n").to_pylist(), pa.int64()),
-                pa.array([[int(i) for i in x] for x in lists], pa.list_(pa.int32())), pa.array(decoded, pa.string()),
-            ],
-            names=["word", "n", "ids", "decoded"],
-        )
-
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if held is None else pa.concat_tables([held, table])
-        last = np.flatnonzero(table.column("at").fill_null(0).to_numpy() == 0)
-        # The last word may go on in the next batch.
-        cut = int(last[-1]) if len(last) else 0
-        if cut:
-            yield fold(table.slice(0, cut))
-        held = table.slice(cut)
-    if held is not None and held.num_rows:
-        yield fold(held)
-
-
-def _packed(ids: pa.Array) -> list[bytes]:
-    """Each list of ids as little-endian unsigned 32-bit integers."""
-    flat = ids.flatten().to_numpy(zero_copy_only=False).astype(ID_TYPE).tobytes()
-    ends = np.concatenate([[0], np.cumsum(np.array(ids.value_lengths(), np.int64))]) * 4
-    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
-
-
-def _dictionary(table: pa.Table) -> dict[bytes, tuple[bytes, str]]:
-    words = table.column("word").cast(pa.binary()).to_pylist()
-    ids = _packed(table.column("ids").combine_chunks()) if len(words) else []
-    return dict(zip(words, zip(ids, table.column("decoded").to_pylist())))
+        return pd.Series([np.array(ids, ID_TYPE).tobytes() for ids in wordsplit.encode(vocabulary, words.tolist())])
+
+    return counted.select("word", "n", encoded("word").alias("ids"))
+
+
+def piece_table(vocabulary: str) -> list[str | None]:
+    """The piece of every id."""
+    found = wordsplit.load(vocabulary).get_vocab(with_added_tokens=True)
+    pieces: list[str | None] = [None] * (max(found.values(), default=-1) + 1)
+    for piece, i in found.items():
+        pieces[i] = piece
+    return pieces
+
+
+def decode(ids: list[bytes], pieces: pa.Array) -> pa.Array:
+    """The text of each list of packed ids, by a join of ids and pieces."""
+    ends = np.cumsum([0, *map(len, ids)]) // ID_TYPE.itemsize
+    flat = np.frombuffer(b"".join(ids), ID_TYPE) if ends[-1] else np.zeros(0, ID_TYPE)
+    found = pieces.take(pa.array(flat, pa.uint32()))
+    lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), found)
+    return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
+
+
+def _press(ids: bytes) -> bytes:
+    """Packed ids with equal bytes of all ids side by side, compressed."""
+    return zstandard.compress(np.frombuffer(ids, np.uint8).reshape(-1, ID_TYPE.itemsize).T.tobytes() if ids else b"")
+
+
+def _unpress(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(ID_TYPE.itemsize, -1).T).view(ID_TYPE).ravel()
+
+
+def _filled(ids: np.ndarray, others: dict[int, bytes]) -> bytes:
+    """Packed ids with the ids of the other words at their marks."""
+    marks = np.flatnonzero(ids >= MARK)
+    parts, start = [], 0
+    for at, number in zip(marks.tolist(), (ids[marks] - MARK).tolist()):
+        parts += [ids[start:at].tobytes(), others[number]]
+        start = at + 1
+    return b"".join([*parts, ids[start:].tobytes()])
 
 
 def encode_documents(
@@ -131,105 +123,96 @@ def encode_documents(
     spark = docs.sparkSession
     keep = list(docs.columns if keep is None else keep)
     words = materialize(word_table(count_words(docs, text), vocabulary), "words")
-    hot = (
-        words.where(F.octet_length("word") <= HOT_BYTES)
-        .orderBy(F.desc("n"), "word")
-        .limit(hot_words)
-        .select("word", "ids", "decoded")
-    )
+    hot = words.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(hot_words).select("word", "ids")
     hot = spark.sparkContext.broadcast(_ipc(hot.toArrow()))
+    # As many pieces as the vocabulary has.
+    pieces = spark.sparkContext.broadcast(piece_table(vocabulary))
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").cast("string").alias("text")
-    ).withColumn("key", F.xxhash64("row", "text"))
-    row_field = packed.schema["row"]
+    ).select(F.xxhash64("row", "text").alias("key"), F.hash("row", "text").alias("check"), "row", "text")
+    row_type = packed.schema["row"].dataType
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _dictionary(_table(hot.value))
+    def numbered(body: bytes, known: dict[bytes, bytes]) -> tuple[list[bytes], dict[bytes, int]]:
+        """The words of a text, and numbers of those that are not in ``known``, by first place."""
+        found = wordsplit.split(body)
+        return found, {w: k for k, w in enumerate(dict.fromkeys(w for w in found if w not in known))}
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _dictionary(hot.value)
         for batch in batches:
-            for start, texts in steps(batch.column(1)):
-                out_keys, out_words = [], []
-                for key, body in zip(
-                    batch.column(0).slice(start, len(texts)).to_pylist(), texts.cast(pa.large_binary()).to_pylist()
-                ):
-                    other = set(wordsplit.split(body)).difference(known)
-                    out_words += other
-                    out_keys += [key] * len(other)
+            for start, texts in steps(batch.column(2)):
+                rows, numbers, words_ = [], [], []
+                for i, body in enumerate(texts.cast(pa.large_binary()).to_pylist(), start):
+                    other = numbered(body, known)[1]
+                    rows += [i] * len(other)
+                    numbers += other.values()
+                    words_ += other
+                at = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_keys, pa.int64()), pa.array(out_words, pa.binary()).cast(pa.string())],
-                    names=["key", "word"],
-                )
-
-    def press(batch: pa.RecordBatch) -> Iterator[dict]:
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for start, texts in steps(batch.column(2)):
-            part = batch.slice(start, len(texts))
-            bodies = [pack(body) for body in texts.cast(pa.large_binary()).to_pylist()]
-            yield {"key": part.column(0), "row": part.column(1), "body": bodies}
-
-    # Both kinds of rows meet by document key; a document's rare words come first.
-    returned = packed.select("key", "text").mapInArrow(rare, "key long, word string").join(
-        words.select("word", "ids", "decoded"), "word"
-    )
-    kinds = StructType(
-        [
-            StructField("key", packed.schema["key"].dataType),
-            StructField("row", row_field.dataType),
-            StructField("body", BinaryType()),
-        ]
-    )
-    types = empty_arrow(spark, kinds)
-
-    def pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                    [
+                        batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int32()),
+                        pa.array(words_, pa.binary()).cast(pa.string()),
+                    ],
+                    names=["key", "check", "number", "word"],
+                )
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _dictionary(hot.value)
         for batch in batches:
-            for columns in press(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in types], schema=types)
-
-    bodies = packed.select("key", "row", "text").mapInArrow(pressed, kinds)
-    both = bodies.select(
-        "key", F.lit(1).alias("kind"), "row", "body", F.lit(None).cast("string").alias("word"),
-        F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("string").alias("decoded"),
-    ).unionByName(
-        returned.select(
-            "key", F.lit(0).alias("kind"), F.lit(None).cast(row_field.dataType).alias("row"),
-            F.lit(None).cast("binary").alias("body"), "word", "ids", "decoded",
-        )
-    )
-    result = StructType([row_field, StructField("ids", BinaryType()), StructField("decoded", StringType())])
-    out_types = empty_arrow(spark, result)
+            for start, texts in steps(batch.column(3)):
+                part, data = batch.slice(start, len(texts)), []
+                for body in texts.cast(pa.large_binary()).to_pylist():
+                    found, other = numbered(body, known)
+                    marks = {w: (MARK + k).to_bytes(4, "little") for w, k in other.items()}
+                    data.append(_press(b"".join([known[w] if w in known else marks[w] for w in found])))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(data, pa.binary())], names=["key", "check", "row", "data"])
+
+    returned = (
+        packed.select("key", "check", "text")
+        .mapInArrow(others, "key long, check int, number int, word string")
+        .join(words.select("word", "ids"), "word")
+        .select("key", "check", "number", F.lit(None).cast(row_type).alias("row"), F.col("ids").alias("data"))
+    )
+    kinds = StructType([*packed.schema.fields[:3], StructField("data", BinaryType())])
+    bodies = packed.mapInArrow(marked, kinds).select("key", "check", F.lit(LAST).alias("number"), "row", "data")
+    result = StructType([packed.schema["row"], StructField("ids", BinaryType()), StructField("decoded", StringType())])
+    types = empty_arrow(spark, result)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _dictionary(_table(hot.value))
-        unpack = zstandard.ZstdDecompressor().decompress
-        rest: dict[bytes, tuple[bytes, str]] = {}
+        known = pa.array(pieces.value, pa.large_string())
+        other: dict[int, bytes] = {}
         current = None
+
+        def done(batch: pa.RecordBatch, rows: list[int], ids: list[bytes]) -> pa.RecordBatch:
+            columns = [batch.column(3).take(pa.array(rows)), pa.array(ids, pa.binary()), decode(ids, known)]
+            return pa.RecordBatch.from_arrays(columns, schema=types)
+
         for batch in batches:
-            keys, kinds_ = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            words_, ids_ = batch.column(4).cast(pa.binary()).to_pylist(), _packed(batch.column(5).fill_null([]))
-            decoded_ = batch.column(6).to_pylist()
-            rows, ids, decoded, held = [], [], [], 0
-            for i, (key, kind) in enumerate(zip(keys, kinds_)):
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            data = batch.column(4)
+            rows, ids, held = [], [], 0
+            for i, (key, number) in enumerate(zip(keys, batch.column(2).to_pylist())):
                 if key != current:
-                    rest, current = {}, key
-                if kind == 0:
-                    rest[words_[i]] = (ids_[i], decoded_[i])
+                    other, current = {}, key
+                if number < LAST:
+                    other[number] = data[i].as_py()
                     continue
-                found = [known.get(w) or rest[w] for w in wordsplit.split(unpack(batch.column(3)[i].as_py()))]
                 rows.append(i)
-                ids.append(b"".join([f[0] for f in found]))
-                decoded.append(" ".join([f[1] for f in found if f[0]]))
-                held += len(ids[-1]) + len(decoded[-1])
-                if held > 16 << 20:
-                    yield _done(batch, rows, ids, decoded)
-                    rows, ids, decoded, held = [], [], [], 0
+                ids.append(_filled(_unpress(data[i].as_py()), other))
+                held += len(ids[-1])
+                if held > 8 << 20:
+                    yield done(batch, rows, ids)
+                    rows, ids, held = [], [], 0
             if rows:
-                yield _done(batch, rows, ids, decoded)
+                yield done(batch, rows, ids)
+
+    both = bodies.unionByName(returned)
+    return both.repartition("key").sortWithinPartitions("key", "check", "number").mapInArrow(assemble, result)
 
-    def _done(batch, rows, ids, decoded) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [batch.column(2).take(pa.array(rows)), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], schema=out_types
-        )
 
-    return both.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(assemble, result)
+def _dictionary(data: bytes) -> dict[bytes, bytes]:
+    table = pa.ipc.open_stream(data).read_all()
+    return dict(zip(table.column("word").cast(pa.binary()).to_pylist(), table.column("ids").to_pylist()))
 
 
 def _ipc(table: pa.Table) -> bytes:
@@ -239,10 +222,6 @@ def _ipc(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _table(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(data).read_all()
-
-
 def digests(encoded: DataFrame) -> DataFrame:
     """(row, n_tokens, ids_sha256, decoded_sha256) of encoded documents."""
     return encoded.select(
@@ -253,4 +232,4 @@ def digests(encoded: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["count_words", "digests", "encode_documents", "word_table"]
+__all__ = ["count_words", "decode", "digests", "encode_documents", "piece_table", "word_table"]
