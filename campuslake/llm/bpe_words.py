@@ -4,8 +4,9 @@
    row, and that row is encoded once.
 2. Ids come back to the positions of the words. The most frequent words, a table of bounded
    size (``HOT_WORDS`` rows of words up to ``HOT_BYTES`` bytes), are broadcast, so tasks write
-   their ids in place and leave a mark for every other word. Those words are joined by the word
-   itself and return to the marks of their document.
+   the row of each such word in its place and leave a mark for every other word. Those words are
+   joined by the word itself and return to the marks of their document; there rows and marks
+   become ids. Rows are shorter than ids, so that is what moves.
 3. Decoding joins every id with its piece; the table of pieces is as large as the vocabulary and
    broadcast.
 
@@ -38,7 +39,9 @@ HOT_BYTES = 48
 #: Distinct words a task gathers before it hands its counts on.
 GATHERED = 250_000
 ID_TYPE = np.dtype("<u4")
-#: Set in a word's place to its number among the other words of the document; ids stay below.
+#: Places that become ids in one step.
+PLACES = 1 << 18
+#: Set in a word's place to its number among the other words of the document; rows stay below.
 MARK = 1 << 31
 #: A document itself comes behind its words.
 LAST = (1 << 31) - 1
@@ -96,9 +99,9 @@ def decode(ids: list[bytes], pieces: pa.Array) -> pa.Array:
     return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
-def _press(ids: bytes) -> bytes:
-    """Packed ids with equal bytes of all ids side by side, compressed."""
-    return zstandard.compress(np.frombuffer(ids, np.uint8).reshape(-1, ID_TYPE.itemsize).T.tobytes() if ids else b"")
+def _press(places: np.ndarray) -> bytes:
+    """Places with equal bytes of all of them side by side, compressed."""
+    return zstandard.compress(places.view(np.uint8).reshape(-1, ID_TYPE.itemsize).T.tobytes())
 
 
 def _unpress(data: bytes) -> np.ndarray:
@@ -106,14 +109,34 @@ def _unpress(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(ID_TYPE.itemsize, -1).T).view(ID_TYPE).ravel()
 
 
-def _filled(ids: np.ndarray, others: dict[int, bytes]) -> bytes:
-    """Packed ids with the ids of the other words at their marks."""
-    marks = np.flatnonzero(ids >= MARK)
-    parts, start = [], 0
-    for at, number in zip(marks.tolist(), (ids[marks] - MARK).tolist()):
-        parts += [ids[start:at].tobytes(), others[number]]
-        start = at + 1
-    return b"".join([*parts, ids[start:].tobytes()])
+class Ragged:
+    """Lists of ids end to end, and where each begins."""
+
+    def __init__(self, lists: Sequence[bytes]) -> None:
+        self.flat = np.frombuffer(b"".join(lists), ID_TYPE)
+        self.sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // ID_TYPE.itemsize
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the lists at ``rows``, and how many each has."""
+        sizes = self.sizes[rows]
+        shift = self.starts[rows] - (np.cumsum(sizes) - sizes)
+        return self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+
+
+def _filled(places: np.ndarray, hot: Ragged, others: Ragged) -> bytes:
+    """Packed ids of the words at all places of a document."""
+    parts = []
+    for start in range(0, len(places), PLACES):
+        part = places[start : start + PLACES]
+        marks = part >= MARK
+        sizes = np.empty(len(part), np.int64)
+        common, sizes[~marks] = hot.take(part[~marks])
+        rare, sizes[marks] = others.take(part[marks] - MARK)
+        ids, is_rare = np.empty(sizes.sum(), ID_TYPE), np.repeat(marks, sizes)
+        ids[~is_rare], ids[is_rare] = common, rare
+        parts.append(ids.tobytes())
+    return b"".join(parts)
 
 
 def encode_documents(
@@ -132,7 +155,7 @@ def encode_documents(
     ).select(F.xxhash64("row", "text").alias("key"), F.hash("row", "text").alias("check"), "row", "text")
     row_type = packed.schema["row"].dataType
 
-    def numbered(body: bytes, known: dict[bytes, bytes]) -> tuple[list[bytes], dict[bytes, int]]:
+    def numbered(body: bytes, known: dict[bytes, int]) -> tuple[list[bytes], dict[bytes, int]]:
         """The words of a text, and numbers of those that are not in ``known``, by first place."""
         found = wordsplit.split(body)
         return found, {w: k for k, w in enumerate(dict.fromkeys(w for w in found if w not in known))}
@@ -163,8 +186,8 @@ def encode_documents(
                 part, data = batch.slice(start, len(texts)), []
                 for body in texts.cast(pa.large_binary()).to_pylist():
                     found, other = numbered(body, known)
-                    marks = {w: (MARK + k).to_bytes(4, "little") for w, k in other.items()}
-                    data.append(_press(b"".join([known[w] if w in known else marks[w] for w in found])))
+                    places = (known[w] if w in known else MARK + other[w] for w in found)
+                    data.append(_press(np.fromiter(places, ID_TYPE, len(found))))
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(data, pa.binary())], names=["key", "check", "row", "data"])
 
     returned = (
@@ -180,6 +203,7 @@ def encode_documents(
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(pieces.value, pa.large_string())
+        common = Ragged(_table(hot.value).column("ids").to_pylist())
         other: dict[int, bytes] = {}
         current = None
 
@@ -198,7 +222,7 @@ def encode_documents(
                     other[number] = data[i].as_py()
                     continue
                 rows.append(i)
-                ids.append(_filled(_unpress(data[i].as_py()), other))
+                ids.append(_filled(_unpress(data[i].as_py()), common, Ragged([other[k] for k in sorted(other)])))
                 held += len(ids[-1])
                 if held > 8 << 20:
                     yield done(batch, rows, ids)
@@ -210,9 +234,14 @@ def encode_documents(
     return both.repartition("key").sortWithinPartitions("key", "check", "number").mapInArrow(assemble, result)
 
 
-def _dictionary(data: bytes) -> dict[bytes, bytes]:
-    table = pa.ipc.open_stream(data).read_all()
-    return dict(zip(table.column("word").cast(pa.binary()).to_pylist(), table.column("ids").to_pylist()))
+def _table(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def _dictionary(data: bytes) -> dict[bytes, int]:
+    """The row of each word in the table."""
+    words = _table(data).column("word").cast(pa.binary()).to_pylist()
+    return dict(zip(words, range(len(words))))
 
 
 def _ipc(table: pa.Table) -> bytes:
