@@ -43,8 +43,10 @@ ID_TYPE = np.dtype("<u4")
 PLACES = 1 << 18
 #: Set in a word's place to its number among the other words of the document; rows stay below.
 MARK = 1 << 31
+#: The low half of a place key is a word's number, the high half more hash bits of the document.
 #: A document itself comes behind its words.
 LAST = (1 << 31) - 1
+LOW = (1 << 32) - 1
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -152,7 +154,12 @@ def encode_documents(
     pieces = spark.sparkContext.broadcast(piece_table(vocabulary))
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").cast("string").alias("text")
-    ).select(F.xxhash64("row", "text").alias("key"), F.hash("row", "text").alias("check"), "row", "text")
+    ).select(
+        F.xxhash64("row", "text").alias("key"),
+        F.shiftleft(F.hash("row", "text").cast("long"), 32).alias("check"),
+        "row",
+        "text",
+    )
     row_type = packed.schema["row"].dataType
 
     def numbered(body: bytes, known: dict[bytes, int]) -> tuple[list[bytes], dict[bytes, int]]:
@@ -171,13 +178,9 @@ def encode_documents(
                     numbers += other.values()
                     words_ += other
                 at = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int32()),
-                        pa.array(words_, pa.binary()).cast(pa.string()),
-                    ],
-                    names=["key", "check", "number", "word"],
-                )
+                place = pc.add(batch.column(1).take(at), pa.array(numbers, pa.int64()))
+                words_ = pa.array(words_, pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), place, words_], names=["key", "place", "word"])
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _dictionary(hot.value)
@@ -192,12 +195,12 @@ def encode_documents(
 
     returned = (
         packed.select("key", "check", "text")
-        .mapInArrow(others, "key long, check int, number int, word string")
+        .mapInArrow(others, "key long, place long, word string")
         .join(words.select("word", "ids"), "word")
-        .select("key", "check", "number", F.lit(None).cast(row_type).alias("row"), F.col("ids").alias("data"))
+        .select("key", "place", F.lit(None).cast(row_type).alias("row"), F.col("ids").alias("data"))
     )
     kinds = StructType([*packed.schema.fields[:3], StructField("data", BinaryType())])
-    bodies = packed.mapInArrow(marked, kinds).select("key", "check", F.lit(LAST).alias("number"), "row", "data")
+    bodies = packed.mapInArrow(marked, kinds).select("key", (F.col("check") + LAST).alias("place"), "row", "data")
     result = StructType([packed.schema["row"], StructField("ids", BinaryType()), StructField("decoded", StringType())])
     types = empty_arrow(spark, result)
 
@@ -208,14 +211,15 @@ def encode_documents(
         current = None
 
         def done(batch: pa.RecordBatch, rows: list[int], ids: list[bytes]) -> pa.RecordBatch:
-            columns = [batch.column(3).take(pa.array(rows)), pa.array(ids, pa.binary()), decode(ids, known)]
+            columns = [batch.column(2).take(pa.array(rows)), pa.array(ids, pa.binary()), decode(ids, known)]
             return pa.RecordBatch.from_arrays(columns, schema=types)
 
         for batch in batches:
-            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            data = batch.column(4)
+            places = batch.column(1).to_numpy()
+            keys = zip(batch.column(0).to_pylist(), (places >> 32).tolist())
+            data = batch.column(3)
             rows, ids, held = [], [], 0
-            for i, (key, number) in enumerate(zip(keys, batch.column(2).to_pylist())):
+            for i, (key, number) in enumerate(zip(keys, (places & LOW).tolist())):
                 if key != current:
                     other, current = {}, key
                 if number < LAST:
@@ -231,7 +235,7 @@ def encode_documents(
                 yield done(batch, rows, ids)
 
     both = bodies.unionByName(returned)
-    return both.repartition("key").sortWithinPartitions("key", "check", "number").mapInArrow(assemble, result)
+    return both.repartition("key").sortWithinPartitions("key", "place").mapInArrow(assemble, result)
 
 
 def _table(data: bytes) -> pa.Table:
