@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -162,10 +163,9 @@ def encode_documents(
     )
     row_type = packed.schema["row"].dataType
 
-    def numbered(body: bytes, known: dict[bytes, int]) -> tuple[list[bytes], dict[bytes, int]]:
-        """The words of a text, and numbers of those that are not in ``known``, by first place."""
-        found = wordsplit.split(body)
-        return found, {w: k for k, w in enumerate(dict.fromkeys(w for w in found if w not in known))}
+    def numbered(words_: list[bytes], known: dict[bytes, int]) -> dict[bytes, int]:
+        """Numbers of the words that are not in ``known``, the same in every run."""
+        return {w: k for k, w in enumerate(sorted(set(words_).difference(known)))}
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _dictionary(hot.value)
@@ -173,7 +173,7 @@ def encode_documents(
             for start, texts in steps(batch.column(2)):
                 rows, numbers, words_ = [], [], []
                 for i, body in enumerate(texts.cast(pa.large_binary()).to_pylist(), start):
-                    other = numbered(body, known)[1]
+                    other = numbered(wordsplit.split(body), known)
                     rows += [i] * len(other)
                     numbers += other.values()
                     words_ += other
@@ -188,9 +188,12 @@ def encode_documents(
             for start, texts in steps(batch.column(3)):
                 part, data = batch.slice(start, len(texts)), []
                 for body in texts.cast(pa.large_binary()).to_pylist():
-                    found, other = numbered(body, known)
-                    places = (known[w] if w in known else MARK + other[w] for w in found)
-                    data.append(_press(np.fromiter(places, ID_TYPE, len(found))))
+                    found = wordsplit.split(body)
+                    other = numbered(found, known)
+                    places = np.fromiter(map(known.get, found, repeat(MARK)), ID_TYPE, len(found))
+                    for at in np.flatnonzero(places == MARK).tolist():
+                        places[at] = MARK + other[found[at]]
+                    data.append(_press(places))
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(data, pa.binary())], names=["key", "check", "row", "data"])
 
     returned = (
