@@ -74,12 +74,25 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def narrow(ids: Sequence[int]) -> bytes:
+    """Ids of one word in the fewest bytes each that hold them all, behind that number."""
+    width = 1
+    while max(ids, default=0) >> 8 * width:
+        width *= 2
+    return bytes([width]) + np.array(ids, f"<u{width}").tobytes()
+
+
+def widen(data: bytes) -> bytes:
+    """What :func:`narrow` packed, in 32 bits each."""
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(ID_TYPE).tobytes()
+
+
 def word_table(counted: DataFrame, vocabulary: str) -> DataFrame:
-    """(word, n, ids) with each distinct word encoded once; ``ids`` are packed."""
+    """(word, n, ids) with each distinct word encoded once; ``ids`` as :func:`narrow` packs them."""
 
     @F.pandas_udf("binary")
     def encoded(words: pd.Series) -> pd.Series:
-        return pd.Series([np.array(ids, ID_TYPE).tobytes() for ids in wordsplit.encode(vocabulary, words.tolist())])
+        return pd.Series([narrow(ids) for ids in wordsplit.encode(vocabulary, words.tolist())])
 
     return counted.select("word", "n", encoded("word").alias("ids"))
 
@@ -149,8 +162,8 @@ def encode_documents(
     spark = docs.sparkSession
     keep = list(docs.columns if keep is None else keep)
     words = materialize(word_table(count_words(docs, text), vocabulary), "words")
-    hot = words.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(hot_words).select("word", "ids")
-    hot = spark.sparkContext.broadcast(_ipc(hot.toArrow()))
+    hot = words.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(hot_words).select("word", "ids").toArrow()
+    hot = spark.sparkContext.broadcast(_ipc(hot.set_column(1, "ids", pa.array(map(widen, hot["ids"].to_pylist()), pa.binary()))))
     # As many pieces as the vocabulary has.
     pieces = spark.sparkContext.broadcast(piece_table(vocabulary))
     packed = docs.select(
@@ -226,7 +239,7 @@ def encode_documents(
                 if key != current:
                     other, current = {}, key
                 if number < LAST:
-                    other[number] = data[i].as_py()
+                    other[number] = widen(data[i].as_py())
                     continue
                 rows.append(i)
                 ids.append(_filled(_unpress(data[i].as_py()), common, Ragged([other[k] for k in sorted(other)])))

@@ -360,3 +360,8 @@ def test_contested_surrogates_are_drawn_again(spark):
     out = surrogates.assign(few, "k").collect()
     drawn = [r["surrogate"] for r in out]
     assert len(set(drawn)) == 25 and not set(drawn) & {r["canonical"] for r in out}
+
+
+@pytest.mark.parametrize("ids", [[], [3], [255], [256, 1], [65535], [65536], [5, 2**32 - 1]])
+def test_ids_of_a_word_return_from_their_narrow_form(ids):
+    assert bpe_words.widen(bpe_words.narrow(ids)) == np.array(ids, "<u4").tobytes()
