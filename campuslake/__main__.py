@@ -17,14 +17,15 @@ from .schemas import TABLES
 from .sources import read_csv, read_jdbc
 from .sources.jdbc import Database, Split
 
-STAGES = ("bronze", "quality", "silver", "gold")
+STAGES = ("bronze", "quality", "silver", "gold", "register")
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="campuslake", description=__doc__.splitlines()[0])
     parser.add_argument("--root", required=True, help="folder that holds bronze, silver and gold")
-    parser.add_argument("--stage", nargs="+", choices=STAGES, default=STAGES, help="stages to run, in order")
+    parser.add_argument("--stage", nargs="+", choices=STAGES, default=STAGES[:-1], help="stages to run, in order; register only on request")
     parser.add_argument("--format", default="parquet", help="format of silver and gold: parquet or delta")
+    parser.add_argument("--prefix", default="gold_", help="what names of registered tables begin with, such as a database")
     parser.add_argument("--on-issue", choices=("report", "fail"), default="report")
     parser.add_argument("--csv-dir", help="folder with one <table>.csv per file source")
     parser.add_argument("--infer", action="store_true", help="infer CSV types instead of the declared ones")
@@ -64,6 +65,10 @@ def main(argv: Sequence[str] | None = None) -> None:
             for row in lakehouse.check(spark, args.root, args.on_issue):
                 print(f"quality {row['status']:6s} {row['table']:12s} {row['metric']}={row['value']}")
             continue
+        if stage == "register":
+            for table in lakehouse.register(spark, args.root, args.format, args.prefix):
+                print(f"register {table}")
+            continue
         if stage == "bronze":
             counts = lakehouse.ingest(_sources(spark, args), args.root)
         elif stage == "silver":

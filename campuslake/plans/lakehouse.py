@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, kpis, quality
 from ..schemas import GOLD_PARTITIONS, TABLES
+from ..sinks.catalog import register_tables
 from ..sinks.publish import publish_all
 from ..sources.tables import read_table
 
@@ -102,14 +103,23 @@ def to_gold(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, i
     return publish_gold(spark, _read_all(spark, root, "silver", fmt), f"{root}/gold", fmt)
 
 
+def register(spark: SparkSession, root: str, fmt: str = "parquet", prefix: str = "gold_") -> list[str]:
+    """Stage 5: SQL tables over the seven KPI tables, brought up to date with what gold wrote."""
+    # Schemas of the plans, not of the folders: those would turn partition values into numbers.
+    plans = gold_tables(_read_all(spark, root, "silver", fmt))
+    schemas = {name: df.schema for name, df in plans.items()}
+    return register_tables(spark, f"{root}/gold", schemas, GOLD_PARTITIONS, fmt, prefix)
+
+
 def run(
     spark: SparkSession,
     sources: dict[str, DataFrame],
     root: str,
     fmt: str = "parquet",
     on_issue: str = "report",
+    prefix: str | None = None,
 ) -> Run:
-    """Run every stage through files under ``root``.
+    """Run every stage through files under ``root``; with a ``prefix``, also register the KPI tables.
 
     Each stage reads what the one before wrote, so a stage can be started again on its own
     and no plan grows longer than one stage. Bronze is always Parquet; ``fmt`` is the format
@@ -120,4 +130,6 @@ def run(
     result.quality = check(spark, root, on_issue)
     result.add("silver", to_silver(spark, root, fmt))
     result.add("gold", to_gold(spark, root, fmt))
+    if prefix is not None:
+        register(spark, root, fmt, prefix)
     return result

@@ -68,3 +68,18 @@ def test_command_line_runs_single_stages(spark, tables, tmp_path, capsys):
     assert written.exceptAll(tables.program_kpis.select(*keys)).isEmpty()
     with pytest.raises(SystemExit):
         main(["--root", root, "--stage", "bronze"])
+
+
+def test_registered_tables_hold_what_gold_wrote(spark, finished):
+    root, _ = finished
+    spark.sql("CREATE DATABASE IF NOT EXISTS run_register")
+    try:
+        for _ in range(2):  # the nightly repetition finds its tables
+            names = lakehouse.register(spark, root, prefix="run_register.")
+        assert names == [f"run_register.{name}" for name in GOLD_PARTITIONS]
+        for name, df in lakehouse.gold_tables({n: spark.read.parquet(f"{root}/silver/{n}") for n in TABLES}).items():
+            table = spark.table(f"run_register.{name}").select(*df.columns)
+            assert [f.dataType for f in table.schema] == [f.dataType for f in df.schema]
+            assert table.count() == spark.read.parquet(f"{root}/gold/{name}").count()
+    finally:
+        spark.sql("DROP DATABASE run_register CASCADE")
