@@ -399,13 +399,16 @@ def _place(tiled: DataFrame, first: bool) -> DataFrame:
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """The documents with all their columns, one of each component: the smallest doc_id in it.
 
-    Documents without words stay. Of repeated rows with one doc_id and one set, one stays.
+    Documents without words stay. Of repeated rows with one doc_id and one set, one stays. Different
+    texts that do not link stay, also on rows with one doc_id or without any; a null doc_id is kept
+    only of a component that has no other.
     """
     linked = linked_components(docs, with_class=True, **options)
+    # A component is told by its part: the doc_id that names it may be null or name others as well.
     kept = (
         linked.where(F.col("class").isNotNull())
-        .groupBy("component_id")
-        .agg(F.min(F.struct("doc_id", "class")).alias("k"))
+        .groupBy("part")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "class")).alias("k"))
         .select(F.col("k.doc_id").alias("kept_id"), F.col("k.class").alias("kept_class"))
     )
 
@@ -452,7 +455,7 @@ def linked_components(
         "part", F.coalesce("root", "class")
     )
     named = labelled.where(F.col("part").isNotNull()).groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    extra = ["class"] if with_class else []
+    extra = ["class", "part"] if with_class else []
     return labelled.join(named, "part", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *extra
     )

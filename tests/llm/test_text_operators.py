@@ -208,6 +208,17 @@ def test_ngram_join_of_nothing_and_of_null_ids(spark, empty):
     assert got == bag([(None, 2, 7), (7, 2, 7), (None, 0, None)])
 
 
+def test_near_copies_of_null_and_repeated_ids(spark):
+    own = [" ".join(f"t{i}w{j}" for j in range(40)) for i in range(8)]
+    near = own[0].replace("t0w39", "other")
+    rows = [(None, own[0]), (None, own[1]), (None, own[2]), (None, own[2]), (9, own[3]), (9, own[4]), (9, own[4].upper())]
+    rows += [(4, near), (2, own[5]), (None, own[5]), (9, own[6]), (3, own[6]), (None, None), (9, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r["doc_id"], lower(r["text"] or "")) for r in ngram_join.drop_near_copies(frame).collect()]
+    want = [(4, near), (None, own[1]), (None, own[2]), (9, own[3]), (9, own[4]), (2, own[5]), (3, own[6]), (None, ""), (9, "")]
+    assert bag(got) == bag(want)
+
+
 def words_of(line: str) -> tuple:
     return tuple(w for w in re.split("[ \t\x0b\f\r]+", line.lower()) if w)
 
