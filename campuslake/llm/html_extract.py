@@ -11,8 +11,10 @@ within tasks, over the pages of a batch; each hands on one row per distinct subs
 smallest and largest page, and these rows meet by (host, substring), so a host of any size is
 split over tasks and still judged as a whole.
 
-A page's text is its article blocks; a page without an article keeps the unique runs of its open
-text: what is left of a block when the boilerplate tokens are taken out. Furniture never stays.
+A page's text is its article blocks; a page without an article, or whose articles hold only a small
+part of its text, also keeps the unique runs of its open text: what is left of a block when the
+boilerplate tokens are taken out. Furniture never stays; an article inside it (a teaser, a comment)
+is part of it, unless the furniture was never closed or is a wrapper around all of the page.
 
 Pages that are copies of each other are not distinct here: a page is told by the hash of all its
 text outside furniture, else every page without an article that was copied would lose its text.
@@ -40,6 +42,10 @@ from .textarrays import ranges_hash, windows_hash
 #: Tokens of the shortest substring that counts as repeated: a power of two.
 RUN = 8
 ARTICLE, OPEN, FURNITURE = 0, 1, 2
+#: While a page is read: an article in furniture that closes properly.
+HELD = 3
+#: Articles that hold less than one part in so many of the text outside furniture do not decide alone.
+SMALL_PART = 4
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
@@ -62,6 +68,11 @@ NAMES = frozenset(
 )
 #: Names of the page's own content; they win over a word of NAMES beside them.
 CONTENT = frozenset(("content", "article", "post", "entry", "story", "main", "body", "text"))
+#: Names of what readers wrote; they win over CONTENT, unless the name only tells a state.
+READERS = frozenset("comment comments disqus replies reply respond".split())
+STATES = frozenset("allow closed disabled enabled has no off on open with without".split())
+#: Furniture by these names never holds the page's article when it closes properly.
+APART = READERS | {"related"}
 
 
 def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
@@ -79,12 +90,48 @@ def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
         if name == "role" and value in ROLES:
             return True
         if name in ("class", "id"):
-            words = {w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()) if w}
-            if words & NAMES and not (tag in CENTRE and words & CONTENT) and tag not in ("html", "body"):
+            each = _names(a or b or c)
+            words = set().union(*each)
+            own = tag in CENTRE and words & CONTENT and not any(w & READERS and not w & STATES for w in each)
+            if words & NAMES and not own and tag not in ("html", "body"):
                 return True
     return False
 
 
+def _names(value: str) -> list[set[str]]:
+    """The words of each name in a class or id."""
+    spaced = [re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower() for name in value.split()]
+    return [{w for w in re.split(r"[^a-z]+", name) if w} for name in spaced]
+
+
+def _apart(tag: str, attributes: str) -> bool:
+    """Whether furniture that closes properly cannot be a wrapper of the page's article."""
+    if tag in ASIDE and tag != "form":
+        return True
+    named = [v for n, a, b, c, _ in _ATTRIBUTE.findall(attributes) if n.lower() in ("class", "id") for v in _names(a or b or c)]
+    return any(words & APART and not words & STATES for words in named)
+
+
+def _closed(page: str) -> set[int]:
+    """Where the start tags stand that have an end tag of their own."""
+    waiting: dict[str, list[int]] = defaultdict(list)
+    found: set[int] = set()
+    at = 0
+    while (match := _TOKEN.search(page, at)) is not None:
+        at = match.end()
+        tag = (match[2] or "").lower()
+        if tag in UNSEEN:
+            if not match[1] and not match[3].rstrip().endswith("/"):
+                ending = re.compile(rf"</{re.escape(tag)}\s*(?:>|\Z)", re.I).search(page, at)
+                at = ending.end() if ending else len(page)
+        elif match[1]:
+            if waiting[tag]:
+                found.add(waiting[tag].pop())
+        elif tag:
+            waiting[tag].append(match.start())
+    return found
+
+
 def blocks_of(page: str) -> list[tuple[int, str]]:
     """(zone, text) of every block with text, in page order."""
     out: list[tuple[int, str]] = []
@@ -92,6 +139,8 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     # Open elements as (tag, zone of what was around them).
     stack: list[tuple[str, int]] = []
     zone, at, end = OPEN, 0, len(page)
+    # The outermost furniture that is open: where it starts, and whether it is apart.
+    root, apart, closed = 0, False, None
 
     def close() -> None:
         words = " ".join("".join(text).split())
@@ -138,19 +187,30 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             continue
         if tag == "p" and stack and stack[-1][0] == "p":
             zone = stack.pop()[1]
+        held = False
         if tag in CENTRE and zone == FURNITURE and not _furniture(tag, match[3], False):
-            # A menu or header that was never closed does not swallow the article.
             if not any(name in CENTRE for name, _ in stack):
-                while stack and zone == FURNITURE:
+                closed = _closed(page) if closed is None else closed
+                held = root in closed
+                # A menu or header that was never closed does not swallow the article.
+                while stack and zone == FURNITURE and not held:
                     zone = stack.pop()[1]
         stack.append((tag, zone))
-        if zone != FURNITURE:
-            if _furniture(tag, match[3], zone == ARTICLE):
+        if held and not apart:
+            zone = HELD
+        elif zone != FURNITURE:
+            if _furniture(tag, match[3], zone in (ARTICLE, HELD)):
+                # Within what is held the furniture around it stays the outermost.
+                if zone != HELD:
+                    root, apart = match.start(), _apart(tag, match[3])
                 zone = FURNITURE
-            elif tag in CENTRE:
+            elif tag in CENTRE and zone == OPEN:
                 zone = ARTICLE
     close()
-    return out
+    # Furniture around all of the page was no furniture: what an article in it held is the text.
+    size = {z: sum(len(t) for y, t in out if y == z) for z in (ARTICLE, OPEN, HELD)}
+    kept = ARTICLE if not size[ARTICLE] and size[HELD] > size[OPEN] else FURNITURE
+    return [(kept if z == HELD else z, t) for z, t in out]
 
 
 def host_of(url: str | None) -> str | None:
@@ -215,6 +275,12 @@ class Streams:
         return self.keys[order][heads], np.minimum.reduceat(who, heads), np.maximum.reduceat(who, heads)
 
 
+def _declares(blocks: list[tuple[int, str]]) -> bool:
+    """Whether the articles of a page are its text: they are no small part of it."""
+    article, other = (sum(len(t) for z, t in blocks if z == zone) for zone in (ARTICLE, OPEN))
+    return article > 0 and SMALL_PART * article >= article + other
+
+
 PARSED = "page_id long, url string, host string, identity long, declared boolean, zones array<tinyint>, texts array<string>"
 
 
@@ -231,7 +297,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
             yield {
                 "page_id": ids, "url": urls, "host": [host_of(u) for u in urls],
                 "identity": signed(ranges_hash(data, np.concatenate([[0], ends[:-1]]), ends)),
-                "declared": [any(z == ARTICLE for z, _ in b) for b in found],
+                "declared": [_declares(b) for b in found],
                 "zones": [[z for z, _ in b] for b in found],
                 "texts": [[t for _, t in b] for b in found],
             }
@@ -279,8 +345,8 @@ def extract(pages: DataFrame) -> DataFrame:
     )
     declared = done.select("page_id", "url", text.alias("text"))
 
-    # Only pages that do not declare their article depend on the runs of their host; the runs
-    # themselves come from all pages of it.
+    # Only the open text of pages that do not declare their article depends on the runs of their
+    # host; the runs themselves come from all pages of it.
     loose = materialize(
         parsed.where(~F.col("declared")).withColumn("row", F.xxhash64("page_id", "url", "texts")), "loose-pages"
     )
@@ -307,6 +373,9 @@ def extract(pages: DataFrame) -> DataFrame:
             kept, place = [], 0
             for zone, block in zip(zones, blocks):
                 words = block.split()
+                if zone == ARTICLE:
+                    kept += words
+                    continue
                 if zone == OPEN:
                     kept += [w for i, w in enumerate(words, place) if i not in gone]
                 place += len(words)

@@ -332,6 +332,29 @@ def test_pages(spark):
     assert html_extract.extract(frame.where("false")).count() == 0
 
 
+def test_articles_inside_furniture_are_no_text(spark):
+    real = "the real text of this page stands in plain elements and goes on for a good while here"
+    teaser = '<article class="teaser"><h3>Teaser</h3></article>'
+    comment = '<section id="comments"><article class="comment-body"><p>first of all nice</p></article></section>'
+    pages = {
+        f"<aside>{teaser}</aside><div>{real}</div>": real,
+        f"<main><p>{real}</p></main>{comment}": real,
+        f"<article><p>{real}</p>{comment}</article><aside>{teaser}</aside>": real,
+        f"<article><p>{real}</p></article><article class='comment post'>nice</article>": real,
+        f"<div>{real}</div>{comment}": real,
+        f"<div>{real}<article>short</article></div>": f"{real} short",
+        # What was not closed, or is around everything, is no furniture.
+        f"<nav><ul><li>Menu<main><p>{real}</p></main>": real,
+        f"<nav>Menu<article>{real}</article><nav>More</nav>": real,
+        f"<form id='f'><nav>Menu</nav><main>{real}</main></form>": real,
+        f"<div class='site no-sidebar'><nav>Menu</nav><article>{real}<div class=ad>Buy</div></article></div>": real,
+        f"<article class='post comments-open'>{real}</article>": real,
+    }
+    frame = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").withColumn("url", F.concat(F.lit("h"), "page_id"))
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(frame).collect()}
+    assert got == dict(enumerate(pages.values()))
+
+
 def test_suffix_ranks_are_those_of_sorted_suffixes():
     tokens = np.random.default_rng(1).integers(0, 3, 200).astype(np.uint64)
     heads = [tuple(tokens[i : i + 8]) for i in range(len(tokens))]
