@@ -41,14 +41,14 @@ def ship(spark: SparkSession) -> None:
         context.addPyFile(_archive())
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, **options) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Later passes then read files instead of running the plan again, and an executor that is
     lost costs no more than the step at hand.
     """
     path = scratch_folder(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

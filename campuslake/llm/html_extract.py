@@ -16,6 +16,11 @@ part of its text, also keeps the unique runs of its open text: what is left of a
 boilerplate tokens are taken out. Furniture never stays; an article inside it (a teaser, a comment)
 is part of it, unless the furniture was never closed or is a wrapper around all of the page.
 
+Articles are judged by the same substrings, block by block: an article block of ``RUN`` tokens or
+more that occurs, as a whole, in the articles of two distinct pages of the host goes. What declares
+itself guards it: blocks in a ``blockquote`` or ``pre`` are quoted and stay, and where repeated blocks
+make up half of an article or more, the page is a near copy of another and keeps its article whole.
+
 Pages that are copies of each other are not distinct here: a page is told by the hash of all its
 text outside furniture, else every page without an article that was copied would lose its text.
 
@@ -36,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, materialize, steps
-from .ngram_join import signed
+from .ngram_join import BITMAP_BITS, signed
 from .textarrays import ranges_hash, windows_hash
 
 #: Tokens of the shortest substring that counts as repeated: a power of two.
@@ -44,6 +49,8 @@ RUN = 8
 ARTICLE, OPEN, FURNITURE = 0, 1, 2
 #: While a page is read: an article in furniture that closes properly.
 HELD = 3
+#: Elements whose text is quoted.
+QUOTES = frozenset(("blockquote", "pre"))
 #: Articles that hold less than one part in so many of the text outside furniture do not decide alone.
 SMALL_PART = 4
 
@@ -132,9 +139,15 @@ def _closed(page: str) -> set[int]:
     return found
 
 
-def blocks_of(page: str) -> list[tuple[int, str]]:
+class Block(tuple):
+    """(zone, text), and whether the text is quoted."""
+
+    quoted = False
+
+
+def blocks_of(page: str) -> list[Block]:
     """(zone, text) of every block with text, in page order."""
-    out: list[tuple[int, str]] = []
+    out: list[Block] = []
     text: list[str] = []
     # Open elements as (tag, zone of what was around them).
     stack: list[tuple[str, int]] = []
@@ -146,7 +159,8 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
         words = " ".join("".join(text).split())
         text.clear()
         if words:
-            out.append((zone, words))
+            out.append(Block((zone, words)))
+            out[-1].quoted = any(name in QUOTES for name, _ in stack)
 
     while at < end:
         match = _TOKEN.search(page, at)
@@ -210,7 +224,11 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     # Furniture around all of the page was no furniture: what an article in it held is the text.
     size = {z: sum(len(t) for y, t in out if y == z) for z in (ARTICLE, OPEN, HELD)}
     kept = ARTICLE if not size[ARTICLE] and size[HELD] > size[OPEN] else FURNITURE
-    return [(kept if z == HELD else z, t) for z, t in out]
+    for i, block in enumerate(out):
+        if block[0] == HELD:
+            out[i] = Block((kept, block[1]))
+            out[i].quoted = block.quoted
+    return out
 
 
 def host_of(url: str | None) -> str | None:
@@ -281,11 +299,25 @@ def _declares(blocks: list[tuple[int, str]]) -> bool:
     return article > 0 and SMALL_PART * article >= article + other
 
 
-PARSED = "page_id long, url string, host string, identity long, declared boolean, zones array<tinyint>, texts array<string>"
+PARSED = "page_id long, url string, host string, identity long, declared boolean, zones array<tinyint>, texts array<string>, row long, keys array<bigint>"
+
+
+def block_keys(pages: list[list[Block]]) -> list[list[int]]:
+    """Per page and block a hash of its tokens where it is an article block that may go, else 0."""
+    held = [t.encode() if z == ARTICLE and not b.quoted and t.count(" ") >= RUN - 1 else b"" for p in pages for b in p for z, t in [b]]
+    ends = np.cumsum([len(h) for h in held], dtype=np.int64)
+    starts = np.concatenate([[0], ends[:-1]]) if len(held) else ends
+    keys = signed(ranges_hash(np.frombuffer(b"".join(held), np.uint8), starts, ends)) if len(held) else ends
+    keys = np.where(ends > starts, keys, 0).tolist()
+    bounds = np.concatenate([[0], np.cumsum([len(p) for p in pages], dtype=np.int64)])
+    return [keys[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """Pages as blocks: (page_id, url, host, identity, declared, zones, texts)."""
+    """Pages as blocks: (page_id, url, host, identity, declared, zones, texts, row, keys).
+
+    ``row`` is equal for equal id, address and text only.
+    """
 
     def parse(batch: pa.RecordBatch) -> Iterator[dict]:
         for start, part in steps(batch.column(2)):
@@ -300,6 +332,8 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                 "declared": [_declares(b) for b in found],
                 "zones": [[z for z, _ in b] for b in found],
                 "texts": [[t for _, t in b] for b in found],
+                "row": _rows(ids, urls, found),
+                "keys": block_keys(found),
             }
 
     source = pages.select(
@@ -308,6 +342,12 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     return arrow_map(source, parse, PARSED)
 
 
+def _rows(ids: pa.Array, urls: list[str | None], pages: list[list[Block]]) -> np.ndarray:
+    named = [repr((i, u, *p)).encode() for i, u, p in zip(ids.to_pylist(), urls, pages)]
+    ends = np.cumsum([len(x) for x in named], dtype=np.int64)
+    return signed(ranges_hash(np.frombuffer(b"".join(named), np.uint8), np.concatenate([[0], ends[:-1]]), ends))
+
+
 def _streams(batch: pa.RecordBatch) -> Iterator[tuple[str | None, list[int], Streams]]:
     """The pages of a batch by host, with the tokens of their text outside articles."""
     names = batch.schema.names
@@ -336,19 +376,55 @@ def repeated_runs(parsed: DataFrame) -> DataFrame:
     )
 
 
+def repeated_blocks(parsed: DataFrame) -> DataFrame:
+    """(row, gone): the keys of the article blocks of a page that occur on two distinct pages of its host."""
+    each = parsed.select("host", "identity", "row", F.explode(F.array_distinct(F.array_remove("keys", 0))).alias("key"))
+    same = each.groupBy("host", "key").agg(F.min("identity").alias("low"), F.max("identity").alias("high"))
+    same = same.where("low != high").select(F.col("host").alias("block_host"), F.col("key").alias("block"))
+    met = each.join(same, each["host"].eqNullSafe(same["block_host"]) & (each["key"] == same["block"]))
+    return met.groupBy("row").agg(F.collect_set("key").alias("gone"))
+
+
+def _without_repeated_blocks(done: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(page_id, url, text) of declared pages."""
+    blocks = F.filter(
+        F.arrays_zip("zones", "texts", "keys"), lambda b: b["zones"] == ARTICLE
+    )
+    # A bitmap of fixed size, of hashed pages, keeps most pages without such blocks out of the join.
+    repeated = materialize(repeated, "repeated-blocks")
+    place = F.pmod(F.col("row"), F.lit(1 << BITMAP_BITS))
+    marks = (
+        repeated.select(place.alias("place"))
+        .groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
+    )
+    slim = done.select("page_id", "url", blocks.alias("blocks"), "row", place.alias("place"))
+    slim = slim.withColumn("word", F.shiftright("place", 6)).join(F.broadcast(marks), "word", "left")
+    marked = F.coalesce(F.expr("shiftright(bits, cast(place & 63 as int)) & 1L = 1L"), F.lit(False))
+    columns = ["page_id", "url", "blocks", "gone"]
+    joined = slim.where(marked).join(repeated, "row", "left").select(*columns)
+    passed = slim.where(~marked).withColumn("gone", F.lit(None).cast(repeated.schema["gone"].dataType))
+    joined = joined.unionByName(passed.select(*columns))
+
+    def text(blocks):
+        return F.array_join(F.transform(blocks, lambda b: b["texts"]), " ")
+
+    left = F.filter("blocks", lambda b: ~F.array_contains("gone", b["keys"]))
+    judged = joined.withColumn("whole", text(F.col("blocks"))).withColumn("part", F.when(F.col("gone").isNotNull(), text(left)))
+    near_copy = 2 * F.char_length("part") <= F.char_length("whole")
+    chosen = F.when(F.col("part").isNull() | near_copy, F.col("whole")).otherwise(F.col("part"))
+    return judged.select("page_id", "url", chosen.alias("text"))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every page."""
-    parsed = materialize(parse_pages(pages), "pages")
-    done = parsed.where("declared")
-    text = F.array_join(
-        F.filter("texts", lambda _, i: F.get("zones", i) == ARTICLE), " "
-    )
-    declared = done.select("page_id", "url", text.alias("text"))
+    parsed = materialize(parse_pages(pages), "pages", compression="zstd")
+    declared = _without_repeated_blocks(parsed.where("declared"), repeated_blocks(parsed))
 
     # Only the open text of pages that do not declare their article depends on the runs of their
     # host; the runs themselves come from all pages of it.
     loose = materialize(
-        parsed.where(~F.col("declared")).withColumn("row", F.xxhash64("page_id", "url", "texts")), "loose-pages"
+        parsed.where(~F.col("declared")), "loose-pages"
     )
 
     def places(batch: pa.RecordBatch) -> Iterator[dict]:

@@ -355,6 +355,23 @@ def test_articles_inside_furniture_are_no_text(spark):
     assert got == dict(enumerate(pages.values()))
 
 
+def test_repeated_blocks_leave_articles(spark):
+    own = [" ".join(f"p{i}w{j}" for j in range(30)) for i in range(4)]
+    notice, short = "our terms have changed please read all of them now", "read more here"
+    page = "<article><p>{}</p><p>{}</p><p>{}</p></article>"
+    rows = [(0, "http://h/0", page.format(own[0], notice, short)), (1, "http://h/1", page.format(notice, own[1], short))]
+    rows += [(2, "http://other/", page.format(own[2], notice, short))]
+    rows += [(3, "http://h/3", f"<article><p>{own[3]}</p><blockquote><p>{notice}</p></blockquote></article>")]
+    # Copies and near copies keep their text, and repeated rows each get a row.
+    rows += [(4, "http://n/4", page.format(own[0], own[1], "a b")), (5, "http://n/5", page.format(own[0], own[1], "c d"))]
+    rows += [rows[0], (6, None, page.format(own[2], notice, "")), (7, None, page.format(own[3], notice, ""))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = [(r["page_id"], r["text"]) for r in html_extract.extract(frame).collect()]
+    want = [(0, f"{own[0]} {short}"), (1, f"{own[1]} {short}"), (2, f"{own[2]} {notice} {short}"), (3, f"{own[3]} {notice}")]
+    want += [(4, f"{own[0]} {own[1]} a b"), (5, f"{own[0]} {own[1]} c d"), want[0], (6, own[2]), (7, own[3])]
+    assert bag(got) == bag(want)
+
+
 def test_suffix_ranks_are_those_of_sorted_suffixes():
     tokens = np.random.default_rng(1).integers(0, 3, 200).astype(np.uint64)
     heads = [tuple(tokens[i : i + 8]) for i in range(len(tokens))]
