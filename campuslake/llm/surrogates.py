@@ -11,7 +11,9 @@ top level, names keep gender (told by the form of address) and script.
 
 Distinctness: surrogates are checked against each other and against all entities found; the
 smallest canonical form keeps a contested surrogate and the others draw again, until none is
-contested.
+contested. After ``NARROW`` draws names, local parts, domains and octets may grow, so there are always
+new ones; numbers keep their count of digits, and only where these are all used up does the job
+stop. E-mail domains are entities of their own, distinct like all others.
 
 Only documents with entities are joined; all others pass by.
 
@@ -27,7 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-DRAWS = 40
+#: Draws after which at least one entity must have got its surrogate.
+DRAWS = 20
+#: Draws of the same length as the entity.
+NARROW = 8
 
 LETTER = r"\p{L}"
 EMAIL = rf"[{LETTER}0-9][{LETTER}0-9._%+-]*@[{LETTER}0-9-]+(?:\.[{LETTER}0-9-]+)*\.\p{{L}}{{2,}}"
@@ -72,6 +77,22 @@ ALPHABETS = (
     "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
     "0123456789",
 )
+#: Stand-ins for letters outside these alphabets, by script; the first that fits is drawn from.
+OTHERS = {
+    r"\p{IsHan}": "天地人山水火木金土日月星風雨雲花草林石川海田村城門道光明文心",
+    r"\p{IsHiragana}": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほ",
+    r"\p{IsKatakana}": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホ",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하고노도로모보소오조초코토포호",
+    r"\p{IsArabic}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
+    r"\p{IsDevanagari}": "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह",
+    r"(?=\p{IsCyrillic})\p{Lu}": ALPHABETS[5],
+    r"\p{IsCyrillic}": ALPHABETS[4],
+    r"(?=\p{IsGreek})\p{Lu}": ALPHABETS[7],
+    r"\p{IsGreek}": ALPHABETS[6],
+    r"\p{Lu}": ALPHABETS[1],
+    r"\p{L}": ALPHABETS[0],
+}
 
 
 def detected(text: Column) -> Column:
@@ -94,21 +115,22 @@ def _redrawn(word: Column, seed: Column, alphabets: tuple[str, ...] = ALPHABETS)
     def letter(c: Column, i: Column) -> Column:
         # Every eight characters a new digest.
         number = _number(F.sha2(F.concat_ws("|", seed, (i / 8).cast("int")), 256), i % 8)
+        pick = lambda alphabet: F.substring(F.lit(alphabet), (number % len(alphabet) + 1).cast("int"), F.lit(1))
         choice = c
+        for pattern, alphabet in reversed(OTHERS.items()):
+            choice = F.when(c.rlike(pattern), pick(alphabet)).otherwise(choice)
         for alphabet in alphabets:
-            letters = F.lit(alphabet)
-            drawn = F.substring(letters, (number % len(alphabet) + 1).cast("int"), F.lit(1))
-            choice = F.when(F.contains(letters, c), drawn).otherwise(choice)
+            choice = F.when(F.contains(F.lit(alphabet), c), pick(alphabet)).otherwise(choice)
         return choice
 
     return F.array_join(F.transform(F.split(word, ""), letter), "")
 
 
-def _octet(octet: Column, i: Column, seed: Column) -> Column:
+def _octet(octet: Column, i: Column, seed: Column, draw: Column) -> Column:
     number = _number(F.sha2(seed, 256), i)
     return (
-        F.when(F.length(octet) == 1, number % 9 + 1)
-        .when(F.length(octet) == 2, number % 90 + 10)
+        F.when((F.length(octet) == 1) & (draw < NARROW), number % 9 + 1)
+        .when((F.length(octet) == 2) & (draw < NARROW), number % 90 + 10)
         .otherwise(number % 155 + 100)
         .cast("string")
     )
@@ -136,16 +158,18 @@ def _name(type_: Column, canonical: Column, seed: Column, draw: Column) -> Colum
     return out
 
 
-def drawn(type_: Column, canonical: Column, key: str, draw: Column) -> Column:
-    """The surrogate of a canonical entity at a draw."""
+def drawn(type_: Column, canonical: Column, key: str, draw: Column, place: Column) -> Column:
+    """The surrogate of a canonical entity at a draw; ``place`` is the surrogate of an address's domain."""
     seed = F.concat_ws("|", F.lit(key), type_, canonical, draw.cast("string"))
-    local = F.regexp_extract(canonical, "^(.*)@", 1)
-    domain = F.regexp_extract(canonical, r"@(.*)\.[^.]*$", 1)
+    # The longer it takes to find a free one, the more letters stand for the ones there are.
+    longer = F.repeat(F.lit("a"), F.greatest(draw - NARROW + 1, F.lit(0)))
+    local = F.concat(F.regexp_extract(canonical, "^(.*)@", 1), longer)
+    domain = F.concat(F.regexp_extract(canonical, r"^(.*)\.[^.]*$", 1), longer)
     top = F.regexp_extract(canonical, r"\.[^.]*$", 0)
-    domain_seed = F.concat_ws("|", F.lit(key), F.lit("domain"), domain, top)
-    octets = F.array_join(F.transform(F.split(canonical, r"\."), lambda o, i: _octet(o, i, seed)), ".")
+    octets = F.array_join(F.transform(F.split(canonical, r"\."), lambda o, i: _octet(o, i, seed, draw)), ".")
     return (
-        F.when(type_ == "email", F.concat(_redrawn(local, seed), F.lit("@"), _redrawn(domain, domain_seed), top))
+        F.when(type_ == "email", F.concat(_redrawn(local, seed), F.lit("@"), place))
+        .when(type_ == "domain", F.concat(_redrawn(domain, seed), top))
         .when(type_ == "ip", octets)
         .when(type_.startswith("name"), _name(type_, canonical, seed, draw))
         .when(canonical.rlike("^[0-9a-f]+$") & (type_ == "secret"), _redrawn(canonical, seed, ("abcdef", "0123456789")))
@@ -183,11 +207,24 @@ def _typed(found: DataFrame) -> DataFrame:
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """(type, canonical, surrogate) for distinct (type, canonical), all surrogates different from each other and from all entities."""
+    at = F.when(F.col("type") == "email", F.regexp_extract("canonical", "@(.*)$", 1))
+    held = entities.withColumn("at", at)
+    found = held.where(F.col("at").isNotNull()).select(F.lit("domain").alias("type"), F.col("at").alias("canonical")).distinct()
+    places = _settled(found.withColumn("place", F.lit(None).cast("string")), key)
+    places = places.select(F.col("canonical").alias("at"), F.col("surrogate").alias("place"))
+    # Most entities of a domain may be those of one: only its distinct addresses meet here.
+    return _settled(materialize(held.join(places, "at", "left").select("type", "canonical", "place"), "placed"), key)
+
+
+def _settled(entities: DataFrame, key: str) -> DataFrame:
+    """``assign`` for (type, canonical, place)."""
     known = entities.select("type", F.col("canonical").alias("surrogate"))
     settled = None
     open_ = entities.withColumn("draw", F.lit(0))
-    for _ in range(DRAWS):
-        tried = materialize(open_.withColumn("surrogate", drawn(F.col("type"), F.col("canonical"), key, F.col("draw"))), "drawn")
+    draws = done = 0
+    while True:
+        surrogate = drawn(F.col("type"), F.col("canonical"), key, F.col("draw"), F.col("place"))
+        tried = materialize(open_.withColumn("surrogate", surrogate), "drawn")
         taken = known if settled is None else known.unionByName(settled.select("type", "surrogate"))
         first = tried.groupBy("type", "surrogate").agg(F.min("canonical").alias("winner"))
         free = first.join(taken.distinct(), ["type", "surrogate"], "left_anti")
@@ -195,10 +232,14 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         won = F.coalesce(F.col("winner") == F.col("canonical"), F.lit(False))
         fresh = judged.where(won).select("type", "canonical", "surrogate")
         settled = materialize(fresh if settled is None else settled.unionByName(fresh), "settled")
-        open_ = judged.where(~won).select("type", "canonical", (F.col("draw") + 1).alias("draw"))
+        open_ = judged.where(~won).select("type", "canonical", "place", (F.col("draw") + 1).alias("draw"))
         if not open_.limit(1).count():
             return settled
-    raise RuntimeError(f"no distinct surrogates after {DRAWS} draws")
+        draws += 1
+        if draws % DRAWS == 0:
+            before, done = done, settled.count()
+            if done == before:
+                raise RuntimeError(f"no distinct surrogate in {DRAWS} draws")
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:

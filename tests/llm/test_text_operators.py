@@ -413,6 +413,20 @@ def test_contested_surrogates_are_drawn_again(spark):
     assert len(set(drawn)) == 25 and not set(drawn) & {r["canonical"] for r in out}
 
 
+def test_letters_of_any_script_and_dense_spaces_get_surrogates(spark):
+    foreign = ["王小明@例子.中国", "דוד@דואר.example.com", "łukaš@ёж.example.com", "ήλιος@mail.example.com"]
+    dense = [f"{c}@{d}.org" for c in "abcdefghijklmnopqrstuvwxyz" for d in "xy"]
+    lone = [f"{a}.{b}.1.1" for a in range(1, 10) for b in range(1, 10)]
+    frame = spark.createDataFrame([(t, c) for t, all_ in (("email", foreign + dense), ("ip", lone)) for c in all_], "type string, canonical string")
+    out = {r["canonical"]: r["surrogate"] for r in surrogates.assign(frame, "k").collect()}
+    assert set(out) == {*foreign, *dense, *lone} and len(set(out.values())) == len(out) and not set(out) & set(out.values())
+    for entity in foreign:
+        name, new = entity.split("@")[0], out[entity].split("@")[0]
+        assert len(new) >= len(name) and not [a for a, b in zip(name, new) if a == b and a not in "uka"]
+    homes = {c.split("@")[1]: out[c].split("@")[1] for c in foreign + dense}
+    assert len(set(homes.values())) == len(homes) and not set(homes) & set(homes.values())
+
+
 @pytest.mark.parametrize("ids", [[], [3], [255], [256, 1], [65535], [65536], [5, 2**32 - 1]])
 def test_ids_of_a_word_return_from_their_narrow_form(ids):
     assert bpe_words.widen(bpe_words.narrow(ids)) == np.array(ids, "<u4").tobytes()
