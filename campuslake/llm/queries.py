@@ -17,6 +17,7 @@ from . import (
     line_dedup,
     ngram_join,
     quality_rules,
+    simhash,
     surrogates,
     token_fst,
 )
@@ -103,6 +104,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(chat.format_conversations(turns.unionByName(hostile), BYTE_BPE), BYTE_BPE)
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.linked_components(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     """Every query of the subpackage by name."""
     registry: dict[str, Query] = {
@@ -116,6 +121,7 @@ def queries() -> dict[str, Query]:
         "op8_token_counts": op8_token_counts,
         "op9_ngram_join": op9_ngram_join,
         "op10_chat": op10_chat,
+        "op13_simhash": op13_simhash,
     }
 
     def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
