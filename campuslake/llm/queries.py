@@ -16,12 +16,14 @@ from . import (
     id_index,
     line_dedup,
     ngram_join,
+    prefix_trie,
     quality_rules,
     simhash,
+    structure_repair,
     surrogates,
     token_fst,
 )
-from .common import ship
+from .common import materialize, ship
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -104,6 +106,23 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(chat.format_conversations(turns.unionByName(hostile), BYTE_BPE), BYTE_BPE)
 
 
+#: Conversations share the opening of the first of so many, by up to one turn less than ``OPENINGS``.
+SHARING, OPENINGS = 100, 6
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = materialize(prefix_trie.sequences(_table(spark, sf_dir, "conversations")), "sequences")
+    base = F.col("conv_id") - F.col("conv_id") % SHARING
+    head = (F.crc32(F.col("conv_id").cast("string")) % OPENINGS).cast("int")
+    rebuilt = materialize(prefix_trie.rebuild(known, base, head, OPENINGS - 1), "rebuilt")
+    return prefix_trie.prefix_nodes(rebuilt)
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return structure_repair.repair(structure_repair.damage(turns), turns)
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.linked_components(_documents(spark, sf_dir))
 
@@ -121,6 +140,8 @@ def queries() -> dict[str, Query]:
         "op8_token_counts": op8_token_counts,
         "op9_ngram_join": op9_ngram_join,
         "op10_chat": op10_chat,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_structure_repair": op12_structure_repair,
         "op13_simhash": op13_simhash,
     }
 

@@ -1,0 +1,142 @@
+"""The prefix trie against a plain version."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+
+from campuslake.llm import prefix_trie, queries
+
+
+def plain_sequences(rows: list[tuple]) -> dict[int, list[tuple]]:
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    return {c: [(r, t) for *_, r, t in sorted(v)] for c, v in convs.items()}
+
+
+def plain_rebuilt(convs: dict) -> dict:
+    out = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = convs.get(c - c % 100, [])[:h] + own[h:]
+    return out
+
+
+def plain_nodes(convs: dict) -> list[tuple]:
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children[node]
+        own = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        leaves[node] = sum(leaves[x] for x in below) or 1
+        saved[node] = own + sum(saved[x] for x in below)
+    out = []
+    for node, who in members.items():
+        ends = ",".join(str(c) for c in sorted(who) if len(convs[c]) == len(node))
+        out.append((
+            min(who), len(node), min(members[node[:-1]]) if node else None, len(who), len(children[node]),
+            leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(out, key=repr)
+
+
+def collected(nodes) -> list[tuple]:
+    return sorted((tuple(r) for r in nodes.collect()), key=repr)
+
+
+def nodes_of(spark, convs: dict):
+    rows = [(c, i, r, t) for c, v in convs.items() for i, (r, t) in enumerate(v)]
+    return prefix_trie.prefix_nodes(prefix_trie.sequences(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = queries.queries()["op11_prefix_trie"](spark, sf_dir)
+    assert collected(got) == plain_nodes(plain_rebuilt(plain_sequences(rows)))
+
+
+def test_hard_rows(spark, tmp_path):
+    rows = [
+        (0, 0, "user", "hi"), (0, 1, "assistant", "x" * 100_000), (0, None, None, None), (0, 1, "assistant", "a"),
+        (1, 0, "user", "hi"), (1, 0, "user", "hi"), (2, 5, "", ""), (None, 0, "user", "hi"), (3, 1, "user", None),
+        (199, 0, "user", "own"), (205, 0, "user", "é🙂"), (200, 1, "system", "é🙂"), (200, 2, "user", "q"), (204, 9, "ab", "c"),
+        (206, 9, "a", "bc"),
+    ]
+    frame = spark.createDataFrame([(*r, "k", 1) for r in rows], "conv_id long, turn long, role string, text string, key string, depth int")
+    frame.write.parquet(f"{tmp_path}/conversations.parquet")
+    assert collected(queries.queries()["op11_prefix_trie"](spark, str(tmp_path))) == plain_nodes(plain_rebuilt(plain_sequences(rows)))
+    assert prefix_trie.prefix_nodes(prefix_trie.sequences(frame.where("false"))).count() == 0
+
+
+def test_copies_prefixes_and_long_chains_over_many_tasks(spark):
+    random = np.random.default_rng(3)
+    convs = {}
+    for c in range(300):
+        n = int(random.integers(1, 7))
+        convs[c] = [("ua"[i % 2], "x" * int(random.integers(1, 3))) for i in range(n)]
+    for c in range(300, 500):  # a large group of copies
+        convs[c] = [("u", "same"), ("a", "same")]
+    for c in range(500, 520):  # each continues the one before
+        convs[c] = [("u", "deep")] * (c - 499)
+    assert collected(nodes_of(spark, convs)) == plain_nodes(convs)
+
+
+def test_runs_of_any_length_add_up():
+    random = np.random.default_rng(5)
+    convs = {c: [(str(random.integers(0, 2)), "t" * int(random.integers(0, 3))) for _ in range(random.integers(0, 6))] for c in range(200)}
+    convs |= {c: [("0", "t")] * 3 for c in range(200, 260)}
+    order = sorted((([f"{r}:{t}".encode() for r, t in v], [len(t) for _, t in v], c) for c, v in convs.items()), key=lambda x: (x[0], x[2]))
+
+    def merged(size: int) -> dict:
+        nodes = defaultdict(lambda: [10**9, 0, 0, 0])
+        run, chain, before = prefix_trie.Run(), [], None
+
+        def close(after: int) -> None:
+            nonlocal chain
+            node, _, chain = run.nodes(after, chain)
+            for k, conv, n, saved, leaves in zip(*(node[c] for c in ("key", "conv_id", "n_convs", "saved", "leaves"))):
+                have = nodes[k]
+                nodes[k] = [min(have[0], conv), have[1] + n, have[2] + saved, have[3] + leaves]
+
+        for i, (ids, chars, c) in enumerate(order):
+            lcp = prefix_trie.common(before, ids) if before is not None else -1
+            if i and i % size == 0:
+                close(lcp)
+                run = prefix_trie.Run()
+            run.add(c, ids, chars, lcp)
+            before = ids
+        close(-1)
+        return dict(nodes)
+
+    whole = merged(10**6)
+    assert merged(1) == whole and merged(7) == whole
+    want = plain_nodes(convs)
+    got = sorted(tuple(int(x) for x in v) for v in whole.values())
+    assert got == sorted((c, n, saved, leaves) for c, _, _, n, _, leaves, saved, _ in want)
+
+
+def test_extents_by_binary_search():
+    random = np.random.default_rng(1)
+    values = random.integers(0, 5, 200)
+    values[0] = -1
+    place, depth = np.repeat(np.arange(200), 5), np.tile(np.arange(5), 200)
+    left, right = prefix_trie.Minima(values).extents(place, depth)
+    for p, d, a, z in zip(place, depth, left, right):
+        x = y = p
+        while x > 0 and values[x] >= d:
+            x -= 1
+        while y + 1 < 200 and values[y + 1] >= d:
+            y += 1
+        assert (a, z) == (x, y)
