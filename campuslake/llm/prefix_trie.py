@@ -19,7 +19,7 @@ every distinct sequence of first turns with its members and what holds for its s
    range make good for that.
 
 Defined results: a null role or text is empty, a null turn comes first, rows that share a turn are
-ordered by role and text and repeated rows are turns of their own; rows without conv_id belong to
+ordered by role and id and repeated rows are turns of their own; rows without conv_id belong to
 no conversation; no rows give no nodes; other columns are ignored. Texts of any length take the
 memory of a row. A conversation is one array of 24 bytes per turn.
 """
@@ -46,23 +46,18 @@ EMPTY_HASH = hashlib.sha256(b"").hexdigest()
 
 def sequences(turns: DataFrame) -> DataFrame:
     """(conv_id, turns): of each conversation the (id, chars) of its turns in order."""
-    clean = turns.select(
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
+    # The length of the role keeps ("ab", "c") apart from ("a", "bc").
+    whole = F.concat(F.length(role).cast("string"), F.lit(":"), role, text)
+    brief = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        role.alias("role"),
+        F.substring(F.unhex(F.sha2(whole, 256)), 1, 16).alias("id"),
+        F.length(text).cast("long").alias("chars"),
     ).where("conv_id IS NOT NULL")
-    # The length of the role keeps ("ab", "c") apart from ("a", "bc").
-    whole = F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text")
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    numbered = clean.withColumn("no", F.row_number().over(order)).select(
-        "conv_id",
-        F.struct(
-            "no",
-            F.substring(F.unhex(F.sha2(whole, 256)), 1, 16).alias("id"),
-            F.length("text").cast("long").alias("chars"),
-        ).alias("t"),
-    )
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "id")
+    numbered = brief.select("conv_id", F.struct(F.row_number().over(order).alias("no"), "id", "chars").alias("t"))
     listed = numbered.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t"))
     return listed.select("conv_id", F.transform("t", lambda t: F.struct(t["id"], t["chars"])).alias("turns"))
 
@@ -113,7 +108,7 @@ class Minima:
 
 
 COUNTS = "key binary, parent binary, depth long, conv_id long, n_convs long, saved long, leaves long"
-FOUND = f"kind string, {COUNTS}, part long, turns array<struct<id: binary, chars: long>>"
+FOUND = f"kind string, {COUNTS}, ends string, part long, turns array<struct<id: binary, chars: long>>"
 
 
 def node_keys(ids: list[bytes], chain: list[bytes], shared: int) -> list[bytes]:
@@ -201,7 +196,14 @@ class Run:
             "kind": ["node"] * len(keys), "key": keys, "parent": parents, "depth": depth, "conv_id": lowest,
             "n_convs": members, "saved": saved, "leaves": leaves,
         }
-        return node, {"kind": ["end"] * n, "key": ends, "conv_id": convs}, chain
+        # Conversations that end at one node stand together, their ids ascending.
+        first = [i for i in range(n) if not i or ends[i] != ends[i - 1]]
+        groups = zip(first, [*first[1:], n])
+        end = {
+            "kind": ["end"] * len(first), "key": [ends[i] for i in first], "conv_id": convs[first],
+            "ends": [",".join(map(str, self.convs[a:z])) for a, z in groups],
+        }
+        return node, end, chain
 
 
 def _minima_of(values: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -286,9 +288,9 @@ def _seams(found: DataFrame) -> DataFrame:
 
 
 def ends_hashes(ends: DataFrame) -> DataFrame:
-    """(key, ends_sha256) from (key, conv_id): ids in order, read one after another."""
+    """(key, ends_sha256) from (key, conv_id, ends): lists of ids by their first, read one after another."""
     types = empty_arrow(ends.sparkSession, schema := StructType.fromDDL("key binary, ends_sha256 string"))
-    ordered = ends.repartition("key").sortWithinPartitions("key", "conv_id")
+    ordered = ends.repartition("key").sortWithinPartitions("key", "conv_id").select("key", "ends")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, digest, done = None, None, []
@@ -298,13 +300,13 @@ def ends_hashes(ends: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, types)], schema=types)
 
         for batch in batches:
-            for key, conv in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for key, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if key != current:
                     if digest:
                         done.append((current, digest.hexdigest()))
-                    current, digest = key, hashlib.sha256(str(conv).encode())
+                    current, digest = key, hashlib.sha256(ids.as_py().encode())
                 else:
-                    digest.update(f",{conv}".encode())
+                    digest.update(f",{ids}".encode())
             if len(done) > 10_000:
                 yield from closed()
                 done.clear()
@@ -347,7 +349,7 @@ def prefix_nodes(conversations: DataFrame) -> DataFrame:
     children = nodes.where("parent IS NOT NULL").groupBy(F.col("parent").alias("key")).agg(
         F.count(F.lit(1)).alias("n_children")
     )
-    ends = ends_hashes(found.where("kind = 'end'").select("key", "conv_id"))
+    ends = ends_hashes(found.where("kind = 'end'").select("key", "conv_id", "ends"))
     # Many children may have one parent, so they are spread over tasks by their own keys.
     parents = nodes.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     root = nodes.where("parent IS NULL").withColumn("parent_conv_id", F.lit(None).cast("long"))

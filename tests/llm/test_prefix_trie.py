@@ -15,8 +15,10 @@ def plain_sequences(rows: list[tuple]) -> dict[int, list[tuple]]:
     convs = defaultdict(list)
     for conv, turn, role, text in rows:
         if conv is not None:
-            convs[conv].append((turn is not None, turn or 0, role or "", text or ""))
-    return {c: [(r, t) for *_, r, t in sorted(v)] for c, v in convs.items()}
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+            convs[conv].append((turn is not None, turn or 0, role, digest, text))
+    return {c: [(r, t) for *_, r, _, t in sorted(v)] for c, v in convs.items()}
 
 
 def plain_rebuilt(convs: dict) -> dict:
