@@ -2,6 +2,7 @@
 
     python -m campuslake --root /data/lake --csv-dir /data/sources
     python -m campuslake --root /data/lake --csv-dir /data/sources --stage silver gold
+    python -m campuslake --root /data/lake --csv-dir /data/sources --dated
 """
 
 from __future__ import annotations
@@ -9,11 +10,13 @@ from __future__ import annotations
 import argparse
 import os
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import lakehouse
 from .schemas import TABLES
+from .sinks import run_folder
 from .sources import read_csv, read_jdbc
 from .sources.jdbc import Database, Split
 
@@ -23,7 +26,9 @@ STAGES = ("bronze", "quality", "silver", "gold", "register")
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="campuslake", description=__doc__.splitlines()[0])
     parser.add_argument("--root", required=True, help="folder that holds bronze, silver and gold")
-    parser.add_argument("--stage", nargs="+", choices=STAGES, default=STAGES[:-1], help="stages to run, in order; register only on request")
+    parser.add_argument("--stage", nargs="+", choices=STAGES, default=STAGES, help="stages to run, in order")
+    parser.add_argument("--dated", action="store_true",
+                        help="write the run to a dated folder under root and move registered tables to it at the end")
     parser.add_argument("--format", default="parquet", help="format of silver and gold: parquet or delta")
     parser.add_argument("--prefix", default="gold_", help="what names of registered tables begin with, such as a database")
     parser.add_argument("--on-issue", choices=("report", "fail"), default="report")
@@ -36,6 +41,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--jdbc-split", type=int, nargs=3, metavar=("LOWER", "UPPER", "PARTITIONS"),
                         help="read registrations in parallel ranges of their id")
     args = parser.parse_args(argv)
+    if args.dated and len(set(args.stage)) < len(STAGES):
+        parser.error("a dated run has all stages")
     if "bronze" in args.stage and not args.csv_dir:
         parser.error("the bronze stage needs --csv-dir")
     return args
@@ -60,13 +67,16 @@ def _sources(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFra
 def main(argv: Sequence[str] | None = None) -> None:
     args = _arguments(argv)
     spark = SparkSession.builder.appName("campuslake").getOrCreate()
+    if args.dated:
+        args.root = run_folder(args.root, datetime.now(timezone.utc))
     for stage in (s for s in STAGES if s in args.stage):
         if stage == "quality":
             for row in lakehouse.check(spark, args.root, args.on_issue):
                 print(f"quality {row['status']:6s} {row['table']:12s} {row['metric']}={row['value']}")
             continue
         if stage == "register":
-            for table in lakehouse.register(spark, args.root, args.format, args.prefix):
+            names = lakehouse.repoint_run if args.dated else lakehouse.register
+            for table in names(spark, args.root, args.format, args.prefix):
                 print(f"register {table}")
             continue
         if stage == "bronze":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,9 +11,14 @@ from ..operators import cleaning, kpis, quality
 from ..schemas import GOLD_PARTITIONS, TABLES
 from ..sinks.catalog import register_tables
 from ..sinks.publish import publish_all
+from ..sinks.runs import repoint, run_folder
 from ..sources.tables import read_table
 
 
+#: The tables of a whole run by stage.
+LAYOUT: dict[str, tuple[str, ...]] = {"bronze": tuple(TABLES), "silver": tuple(TABLES), "gold": tuple(GOLD_PARTITIONS)}
+
+
 @dataclass
 class Run:
     """Row counts per stage and table, and the quality rows of the bronze tables."""
@@ -133,3 +139,50 @@ def run(
     if prefix is not None:
         register(spark, root, fmt, prefix)
     return result
+
+
+def refresh_gold(
+    spark: SparkSession,
+    silver: dict[str, DataFrame],
+    root: str,
+    started: datetime | None = None,
+    fmt: str = "parquet",
+    prefix: str | None = None,
+) -> dict[str, int]:
+    """Write the seven KPI tables as one dated run, then point the registered names at it.
+
+    Readers of the names see the tables of the run before until all seven are written, and if one
+    cannot be written they go on seeing those.
+    """
+    folder = f"{run_folder(root, started or datetime.now(timezone.utc))}/gold"
+    counts = publish_gold(spark, silver, folder, fmt)
+    if prefix is not None:
+        schemas = {name: df.schema for name, df in gold_tables(silver).items()}
+        repoint(spark, folder, schemas, GOLD_PARTITIONS, fmt, prefix)
+    return counts
+
+
+def run_dated(
+    spark: SparkSession,
+    sources: dict[str, DataFrame],
+    root: str,
+    started: datetime | None = None,
+    fmt: str = "parquet",
+    on_issue: str = "report",
+    prefix: str | None = None,
+) -> Run:
+    """A whole run in a dated folder of its own; with a ``prefix``, registered names move to it at the end.
+
+    ``sinks.runs`` reads runs back, of any date, and removes old ones.
+    """
+    folder = run_folder(root, started or datetime.now(timezone.utc))
+    result = run(spark, sources, folder, fmt, on_issue)
+    if prefix is not None:
+        repoint_run(spark, folder, fmt, prefix)
+    return result
+
+
+def repoint_run(spark: SparkSession, folder: str, fmt: str = "parquet", prefix: str = "gold_") -> list[str]:
+    """Point the registered names at the KPI tables of one run's folder."""
+    schemas = {name: df.schema for name, df in gold_tables(_read_all(spark, folder, "silver", fmt)).items()}
+    return repoint(spark, f"{folder}/gold", schemas, GOLD_PARTITIONS, fmt, prefix)

@@ -287,6 +287,19 @@ BODIES: dict[str, str] = {
       case when grade < 15 then grade end as grade, coalesce(grade >= 15, false) as malformed from fx_grades""",
     "cluster_by_column": "select * from k_performance",
 }
+_EARLIER = ("student_performance", "absenteeism", "activity_summary", "program_kpis", "correlation_abs_grades")
+BODIES |= {
+    "catalog_after_swap": """select 'before' as planned, program_id, current_level, nb_students, nb_students as nb_rows
+        from k_program where program_id <> 'ASIA'
+      union all select 'after', program_id, current_level, nb_students, nb_students from k_program""",
+    "run_history": " union all ".join(
+        f"""select '{day}' as day, 'gold' as stage, '{name}' as table_name, count(*) as num_rows from {cte}
+          {"where program_id <> 'ASIA'" if day == "2024-01-01" and name in _EARLIER else ""}"""
+        for day in ("2024-01-01", "2024-01-02")
+        for name, cte in GOLD.items()
+    ),
+    "run_as_of": "select *, nb_students as nb_rows from k_program where program_id <> 'ASIA'",
+}
 _SQL_TYPES = {"string": "varchar", "int": "integer", "double": "double", "boolean": "boolean"}
 BODIES |= {
     f"ingest_csv_{name}": "select "

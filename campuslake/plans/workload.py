@@ -27,6 +27,7 @@ from ..sinks import (
     table_detail,
 )
 from ..sinks.catalog import register_table
+from ..sinks.runs import read_run, run_history
 from ..sinks.storage import scratch_folder
 from ..sources import read_csv, read_path_sql, read_table, registrations_from_series
 from ..sources.csv_files import CORRUPT
@@ -360,6 +361,57 @@ def table_details(t: Tables) -> DataFrame:
     )
 
 
+# --- runs ------------------------------------------------------------------------------
+
+
+def _enrolled(t: Tables, programs: str) -> dict[str, DataFrame]:
+    """The cleaned tables, with the students of some programs."""
+    silver = {name: t.silver(name) for name in TABLES}
+    return silver | {"students": silver["students"].where(programs)}
+
+
+#: What the two runs of the queries below know of: all programs but one, then all programs.
+EARLIER, ALL = f"program_id <> '{PROGRAM}'", "true"
+GOLD_ONLY = {"gold": lakehouse.LAYOUT["gold"]}
+
+
+def catalog_after_swap(t: Tables) -> DataFrame:
+    """Report SQL over two registered KPI tables, planned before and after a refresh of all of them."""
+    folder, database = t.scratch("lake"), _new_database(t)
+    sql = f"""SELECT '{{}}' AS planned, k.program_id, k.current_level, k.nb_students, count(p.student_id) AS nb_rows
+        FROM {database}.gold_program_kpis k JOIN {database}.gold_student_performance p
+        ON k.program_id = p.program_id AND k.current_level = p.current_level GROUP BY ALL"""
+    lakehouse.refresh_gold(t.spark, _enrolled(t, EARLIER), folder, FIRST_PUBLICATION, prefix=f"{database}.gold_")
+    before = t.spark.sql(sql.format("before"))
+    later = FIRST_PUBLICATION + timedelta(days=1)
+    lakehouse.refresh_gold(t.spark, _enrolled(t, ALL), folder, later, prefix=f"{database}.gold_")
+    return before.unionByName(t.spark.sql(sql.format("after")))
+
+
+def _two_runs(t: Tables) -> str:
+    """The KPI tables of two days; a third run was begun and did not get far."""
+    folder = t.scratch("lake")
+    for days, programs in ((0, EARLIER), (1, ALL)):
+        lakehouse.refresh_gold(t.spark, _enrolled(t, programs), folder, FIRST_PUBLICATION + timedelta(days=days))
+    publish(t.program_kpis, f"{folder}/run=20240103T120000Z/gold/program_kpis")
+    return folder
+
+
+def runs_history(t: Tables) -> DataFrame:
+    """Rows of each table of each whole run."""
+    return run_history(t.spark, _two_runs(t), GOLD_ONLY).select(
+        F.date_format("started_at", "yyyy-MM-dd").alias("day"), "stage", "table_name", "num_rows"
+    )
+
+
+def runs_as_of(t: Tables) -> DataFrame:
+    """KPIs as they were after the first run, beside students counted in the table they were built from."""
+    schemas = {"student_performance": t.performance.schema}
+    gold = read_run(t.spark, _two_runs(t), GOLD_ONLY, FIRST_PUBLICATION + timedelta(hours=20), schemas=schemas)["gold"]
+    counted = gold["student_performance"].groupBy("program_id", "current_level").agg(F.count(F.lit(1)).alias("nb_rows"))
+    return gold["program_kpis"].join(counted, ["program_id", "current_level"])
+
+
 def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
     registry: dict[str, Callable[[Tables], DataFrame]] = {
         "program_kpis": lambda t: t.program_kpis,
@@ -412,6 +464,9 @@ def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
         "ingest_csv_malformed": ingest_csv_malformed,
         "cluster_by_column": cluster_by_column,
         "table_detail": table_details,
+        "catalog_after_swap": catalog_after_swap,
+        "run_history": runs_history,
+        "run_as_of": runs_as_of,
     }
     for name in TABLES:
         registry[f"clean_{name}"] = lambda t, name=name: t.silver(name)

@@ -3,18 +3,26 @@
 from .catalog import list_tables, register_tables
 from .layout import cluster_by, compact, table_detail
 from .publish import publish, publish_all
+from .runs import complete_runs, read_run, repoint, retain_runs, run_as_of, run_folder, run_history
 from .snapshots import publish_snapshot, read_snapshot, retain_snapshots, snapshot_history
 
 __all__ = [
     "cluster_by",
     "compact",
+    "complete_runs",
     "list_tables",
     "publish",
     "publish_all",
     "publish_snapshot",
+    "read_run",
     "read_snapshot",
     "register_tables",
+    "repoint",
+    "retain_runs",
     "retain_snapshots",
+    "run_as_of",
+    "run_folder",
+    "run_history",
     "snapshot_history",
     "table_detail",
 ]

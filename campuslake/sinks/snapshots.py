@@ -60,7 +60,9 @@ def publish_snapshot(df: DataFrame, path: str, published_at: datetime | None = N
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One version of the table with its own schema; the newest by default."""
     known = versions(spark, path)
-    number = max(known) if version is None else version
+    number = max(known, default=None) if version is None else version
+    if number not in known:
+        raise LookupError(f"no complete version {'' if version is None else version} in {path}")
     return spark.read.parquet(_folder(path, number, int(known[number].timestamp())))
 
 
