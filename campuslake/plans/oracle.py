@@ -286,6 +286,8 @@ BODIES: dict[str, str] = {
     "ingest_csv_malformed": """select cast(grade_id as varchar) as grade_id,
       case when grade < 15 then grade end as grade, coalesce(grade >= 15, false) as malformed from fx_grades""",
     "cluster_by_column": "select * from k_performance",
+    "cluster_zorder": "select * from k_performance",
+    "compact_bins": "select * from k_performance",
 }
 _EARLIER = ("student_performance", "absenteeism", "activity_summary", "program_kpis", "correlation_abs_grades")
 BODIES |= {

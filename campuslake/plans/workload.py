@@ -15,7 +15,9 @@ from ..operators import cleaning, dedup, joins, kpis, quality, reports
 from ..schemas import GOLD_PARTITIONS, TABLES
 from ..sinks import (
     cluster_by,
+    cluster_zorder,
     compact,
+    compact_bins,
     list_tables,
     publish,
     publish_all,
@@ -349,6 +351,22 @@ def cluster_by_column(t: Tables) -> DataFrame:
     return read_table(t.spark, folder, schema=t.performance.schema)
 
 
+def cluster_zorder_columns(t: Tables) -> DataFrame:
+    folder = t.scratch("student_performance-zorder")
+    publish(cluster_zorder(t.performance, ["average_grade", "total_hours_absent"], ["student_id"]), folder)
+    return read_table(t.spark, folder, schema=t.performance.schema)
+
+
+def compact_small_files(t: Tables) -> DataFrame:
+    """Performance laid out by program in small files, of which all but the largest are merged."""
+    folder, layout = t.scratch("performance-bins"), GOLD_PARTITIONS["student_performance"]
+    t.performance.repartition(6, "student_id").write.partitionBy(*layout).parquet(folder)
+    schema = t.performance.schema
+    largest = read_table(t.spark, folder, schema=schema).agg(F.max("_metadata.file_size")).first()[0]
+    compact_bins(t.spark, folder, schema, layout, small_bytes=largest)
+    return read_table(t.spark, folder, schema=schema)
+
+
 def table_details(t: Tables) -> DataFrame:
     """Format and rows of a stored table; file numbers and sizes vary, so only that there are some."""
     folder = t.scratch("activities")
@@ -464,6 +482,8 @@ def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
         "ingest_csv_malformed": ingest_csv_malformed,
         "cluster_by_column": cluster_by_column,
         "table_detail": table_details,
+        "cluster_zorder": cluster_zorder_columns,
+        "compact_bins": compact_small_files,
         "catalog_after_swap": catalog_after_swap,
         "run_history": runs_history,
         "run_as_of": runs_as_of,

@@ -1,14 +1,18 @@
 """Where tables go: overwritten folders, catalog entries, snapshots, and their upkeep."""
 
+from .bins import compact_bins
 from .catalog import list_tables, register_tables
-from .layout import cluster_by, compact, table_detail
+from .clustering import cluster_by, cluster_zorder
+from .layout import compact, table_detail
 from .publish import publish, publish_all
 from .runs import complete_runs, read_run, repoint, retain_runs, run_as_of, run_folder, run_history
 from .snapshots import publish_snapshot, read_snapshot, retain_snapshots, snapshot_history
 
 __all__ = [
     "cluster_by",
+    "cluster_zorder",
     "compact",
+    "compact_bins",
     "complete_runs",
     "list_tables",
     "publish",

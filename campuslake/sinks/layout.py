@@ -59,18 +59,3 @@ def compact(
         size = table_detail(spark, source).first()["size_in_bytes"]
         table = table.coalesce(max(1, -(-size // (target_bytes or TARGET_FILE_BYTES))))
     return publish(table, target, partition_by=partition_by)
-
-
-def cluster_by(
-    df: DataFrame, columns: Sequence[str], spread: Sequence[str] = (), pieces: int | None = None
-) -> DataFrame:
-    """Order rows so that each file covers a narrow range of ``columns``.
-
-    Filters on these columns then skip files by their min/max statistics. ``spread`` names
-    columns that vary within equal values, normally the key: they take part in the range
-    cuts, so a value that holds a third of the table is cut into several files instead of
-    landing in one task.
-    """
-    keys = [*columns, *spread]
-    ranged = df.repartitionByRange(pieces, *keys) if pieces else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys)

@@ -22,6 +22,27 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of all files below ``path``, at any depth, from there; none when it does not exist."""
+    fs, folder = _resolve(spark, path)
+    if not fs.exists(folder):
+        return []
+    root = fs.makeQualified(folder).toUri().getPath().rstrip("/")
+    found, names = fs.listFiles(folder, True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toUri().getPath()[len(root) + 1 :])
+    return sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith("."))
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, into a folder that is made where it is missing."""
+    fs, old = _resolve(spark, source)
+    _, new = _resolve(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether the job that wrote the folder committed (Spark leaves a marker file then)."""
     fs, marker = _resolve(spark, f"{path}/_SUCCESS")
