@@ -180,11 +180,16 @@ def semester_absence_stats(absences: DataFrame) -> DataFrame:
     )
 
 
-def semester_dashboard(grades: DataFrame, absences: DataFrame, modules: DataFrame) -> DataFrame:
-    """Results per semester, program, year and cohort, beside the semester's absences."""
+def semester_dashboard(
+    grades: DataFrame, absences: DataFrame, modules: DataFrame, keys: DataFrame | None = None
+) -> DataFrame:
+    """Results per semester, program, year and cohort, beside the semester's absences.
+
+    ``keys``: rows to look for hot modules in, if not the grades themselves (see ``joins.split_join``).
+    """
     grade = F.col("grade")
     grade_stats = (
-        joins.semester_grades(grades, modules)
+        joins.semester_grades(grades, modules, keys)
         .groupBy("semester_id", "program_id", "academic_year", "cohort_year")
         .agg(
             _rows().alias("nb_grades"),

@@ -92,7 +92,7 @@ class Tables:
 
     @cached_property
     def semester_dashboard(self) -> DataFrame:
-        return kpis.semester_dashboard(*self.silvers("grades", "absences", "modules"))
+        return kpis.semester_dashboard(*self.silvers("grades", "absences", "modules"), self.raw("grades"))
 
 
 def _counts(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
@@ -103,25 +103,25 @@ def _counts(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
 
 
 def join_grades_modules(t: Tables) -> DataFrame:
-    return joins.grades_with_modules(*t.silvers("grades", "modules")).select(
+    return joins.grades_with_modules(*t.silvers("grades", "modules"), t.raw("grades")).select(
         "grade_id", "student_id", "module_id", "module_name", "program_id", "grade", "mention"
     )
 
 
 def join_absences_students(t: Tables) -> DataFrame:
-    return joins.absences_with_students(*t.silvers("absences", "students")).select(
+    return joins.absences_with_students(*t.silvers("absences", "students"), t.raw("absences")).select(
         "absence_id", "student_id", "last_name", "program_id", "current_level", "hours", "is_justified"
     )
 
 
 def join_activities_students(t: Tables) -> DataFrame:
-    return joins.activities_with_programs(*t.silvers("activities", "students")).select(
+    return joins.activities_with_programs(*t.silvers("activities", "students"), t.raw("activities")).select(
         "activity_id", "student_id", "program_id", "current_level", "activity_type", "score"
     )
 
 
 def join_semester_modules(t: Tables) -> DataFrame:
-    return joins.semester_grades(*t.silvers("grades", "modules"))
+    return joins.semester_grades(*t.silvers("grades", "modules"), t.raw("grades"))
 
 
 def join_left_performance(t: Tables) -> DataFrame:
@@ -150,7 +150,7 @@ def join_fanout_hours(t: Tables) -> DataFrame:
 def join_semester_composite(t: Tables) -> DataFrame:
     grades = t.silver("grades")
     stats = (
-        joins.semester_grades(grades, t.silver("modules"))
+        joins.semester_grades(grades, t.silver("modules"), t.raw("grades"))
         .groupBy("semester_id", "academic_year", "program_id")
         .agg(F.count(F.lit(1)).alias("nb_grades"))
     )

@@ -18,18 +18,47 @@ def dimension(spark):
     return spark.range(-2, 600).selectExpr("id as key", "concat('name ', id) as name")
 
 
-def test_hot_keys_are_counted_exactly(facts):
+def _named(spark, hot: dict, values) -> dict:
+    """Pieces by key, for the keys among ``values`` that are hot."""
+    keys = spark.createDataFrame([(v,) for v in values], "key long").select("key", F.xxhash64("key").alias("h"))
+    return {r["key"]: hot[r["h"]] for r in keys.collect() if r["h"] in hot}
+
+
+def test_all_hot_keys_are_named(spark, facts):
     counts = {r.key: r["count"] for r in facts.where("key is not null").groupBy("key").count().collect()}
     limit = sum(counts.values()) * 0.01
     expected = {k: -(-n // limit) for k, n in counts.items() if n > limit}
-    got = {r.key: r._pieces for r in joins.hot_keys(facts, "key", 0.01).collect()}
-    assert got == expected
-    assert set(got) == {-1, -2}
+    hot = joins.hot_keys(facts, "key", 0.01)
+    assert set(expected) == {-1, -2} and len(hot) == 2
+    assert _named(spark, hot, counts) == expected
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_the_summary_names_every_key_above_the_share(spark, parts):
+    """Zipf-like keys, far more of them than counters, whatever the split of the rows."""
+    rows = spark.range(400_000).selectExpr("cast(200000 / (1 + pmod(xxhash64(id), 200000)) as long) as key").repartition(parts)
+    counts = {r.key: r["count"] for r in rows.groupBy("key").count().collect()}
+    share = 0.002
+    above = {k: n for k, n in counts.items() if n > share * 400_000}
+    hot = joins.hot_keys(rows, "key", share)
+    named = _named(spark, hot, counts)
+    assert set(above) <= set(named) and len(hot) <= 1.5 / share
+    assert all(named[k] >= n / (share * 400_000) for k, n in above.items())
+
+
+def test_no_hot_keys_on_even_data(spark, plan):
+    assert joins.hot_keys(spark.range(1000), "id", 0.01) == {}
+    assert joins.hot_keys(spark.range(0), "id", 0.01) == {}
+    assert joins.hot_keys(spark.range(9).selectExpr("cast(null as string) as id"), "id") == {}
+    even = spark.range(100_000)
+    assert "_piece" not in plan(joins.split_join(even, even.selectExpr("id", "id * 2 as twice"), "id", "id"))
 
 
-def test_no_hot_keys_on_even_data(spark):
-    assert joins.hot_keys(spark.range(1000), "id", 0.01).isEmpty()
-    assert joins.hot_keys(spark.range(0), "id", 0.01).isEmpty()
+def test_keys_of_several_types_are_split(spark):
+    for key in ("cast(pmod(id, 2) as string)", "cast(cast(pmod(id, 2) as string) as binary)", "date_add(date'2024-01-01', cast(pmod(id, 2) as int))"):
+        rows = spark.range(100).selectExpr("id", f"{key} as key")
+        assert sorted(joins.hot_keys(rows, "key", 0.1).values()) == [5, 5]
+        assert joins.split_join(rows, rows.select("key").distinct(), "key", "id", 0.1).count() == 100
 
 
 @pytest.mark.parametrize("share", [0.5, 0.01, 0.0001, None])
@@ -41,7 +70,7 @@ def test_split_join_equals_the_plain_join(facts, dimension, share):
 
 
 def test_the_hot_key_is_spread_over_many_pieces(spark, facts, dimension):
-    hot = joins.hot_keys(facts, "key", 0.01).where("key = -1").first()._pieces
+    hot = _named(spark, joins.hot_keys(facts, "key", 0.01), [-1])[-1]
     dealt = facts.where("key = -1").select(F.pmod(F.xxhash64("id"), F.lit(hot)).alias("piece"))
     sizes = [r["count"] for r in dealt.groupBy("piece").count().collect()]
     assert len(sizes) == hot

@@ -64,3 +64,21 @@ def test_facts_are_aggregated_before_they_meet_the_dimension(spark, tmp_path, ta
 
 def test_top_ten_needs_no_full_sort(spark, sf_dir, plan):
     assert "TakeOrderedAndProject" in plan(entry_module.queries()["report_top_at_risk"](spark, sf_dir))
+
+
+def test_hot_keys_are_looked_for_in_raw_rows(spark, tables, plan, monkeypatch):
+    """The facts are cleaned once: one window over them, and the summary reads the key column only."""
+    from campuslake.operators import joins
+
+    looked = []
+    original = joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda rows, key, share=None: looked.append((rows, key)) or original(rows, key, 0.0001))
+    joined = joins.grades_with_modules(tables.silver("grades"), tables.silver("modules"), tables.raw("grades"))
+    text = plan(joined)
+    assert "_piece" in text
+    assert text.count("Window [row_number() windowspecdefinition(grade_id") == 1
+    (rows, key), = looked
+    summary = plan(rows.select(key))
+    assert "Window" not in summary
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", summary)
+    assert {c.split(":")[0] for r in read for c in r.split(",")} == {"l_orderkey", "l_partkey", "o_orderkey"}
