@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import lakehouse
 from .schemas import TABLES
 from .sinks import run_folder
-from .sources import read_csv, read_jdbc
+from .sources import land_inferred, read_csv, read_jdbc, read_jdbc_balanced
 from .sources.jdbc import Database, Split
 
 STAGES = ("bronze", "quality", "silver", "gold", "register")
@@ -39,7 +39,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--jdbc-user")
     parser.add_argument("--jdbc-password-env", default="JDBC_PASSWORD", help="variable that holds the password")
     parser.add_argument("--jdbc-split", type=int, nargs=3, metavar=("LOWER", "UPPER", "PARTITIONS"),
-                        help="read registrations in parallel ranges of their id")
+                        help="read registrations in these equal ranges of their id")
+    parser.add_argument("--jdbc-queries", type=int, default=8,
+                        help="else in so many ranges of about equal numbers of rows")
     args = parser.parse_args(argv)
     if args.dated and len(set(args.stage)) < len(STAGES):
         parser.error("a dated run has all stages")
@@ -55,12 +57,14 @@ def _sources(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFra
             database = Database(
                 args.jdbc_url, args.jdbc_driver, args.jdbc_user, os.environ.get(args.jdbc_password_env)
             )
-            split = Split(table.key[0], *args.jdbc_split) if args.jdbc_split else None
-            tables[name] = read_jdbc(spark, database, name, split)
+            if args.jdbc_split:
+                tables[name] = read_jdbc(spark, database, name, Split(table.key[0], *args.jdbc_split))
+            else:
+                tables[name] = read_jdbc_balanced(spark, database, name, table.key[0], args.jdbc_queries)
+        elif args.infer:
+            tables[name] = land_inferred(spark, f"{args.csv_dir}/{name}.csv", f"{args.root}/landing/{name}")
         else:
-            tables[name] = read_csv(
-                spark, f"{args.csv_dir}/{name}.csv", name, args.infer, keep_malformed=not args.infer
-            )
+            tables[name] = read_csv(spark, f"{args.csv_dir}/{name}.csv", name, keep_malformed=True)
     return tables
 
 

@@ -90,9 +90,24 @@ def ingest(sources: dict[str, DataFrame], root: str) -> dict[str, int]:
     return publish_all(sources, f"{root}/bronze")
 
 
+def ingest_checked(
+    spark: SparkSession, sources: dict[str, DataFrame], root: str, on_issue: str = "report"
+) -> tuple[dict[str, int], list[dict]]:
+    """Stages 1 and 2 in one: land the sources and profile them by the jobs that write them."""
+    observed = {name: quality.Observed(name) for name in quality.QUALITY_RULES}
+    watched = {name: observed[name].watch(df) if name in observed else df for name, df in sources.items()}
+    counts = ingest(watched, root)
+    written = {name: read_table(spark, f"{root}/bronze/{name}", schema=sources[name].schema) for name in observed}
+    return counts, _judge(quality.observed_report(observed, written), on_issue)
+
+
 def check(spark: SparkSession, root: str, on_issue: str = "report") -> list[dict]:
     """Stage 2: profile bronze tables; informs only, unless ``on_issue="fail"``."""
-    rows = [row.asDict() for row in quality.report(_read_all(spark, root, "bronze")).collect()]
+    return _judge(quality.report(_read_all(spark, root, "bronze")), on_issue)
+
+
+def _judge(report: DataFrame, on_issue: str) -> list[dict]:
+    rows = [row.asDict() for row in report.collect()]
     faulty = sorted({row["table"] for row in rows if row["status"] != "OK"})
     if on_issue == "fail" and faulty:
         raise QualityError("bronze tables with duplicates or NULLs: " + ", ".join(faulty))
@@ -132,8 +147,8 @@ def run(
     of silver and gold.
     """
     result = Run()
-    result.add("bronze", ingest(sources, root))
-    result.quality = check(spark, root, on_issue)
+    landed, result.quality = ingest_checked(spark, sources, root, on_issue)
+    result.add("bronze", landed)
     result.add("silver", to_silver(spark, root, fmt))
     result.add("gold", to_gold(spark, root, fmt))
     if prefix is not None:

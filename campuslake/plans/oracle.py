@@ -276,7 +276,7 @@ BODIES: dict[str, str] = {
     "snapshot_as_of": "select * from k_absent where nb_unjustified = 0",
     "snapshot_history": _HISTORY,
     "retain_snapshots": f"select version, num_rows from ({_HISTORY}) history where version > 0",
-    "table_detail": """select 'parquet' as format, count(*) as num_rows, true as has_files, true as has_bytes
+    "table_detail": """select 'parquet' as format, 3 as num_files, count(*) as num_rows, true as has_bytes
       from cl_activities""",
     "compact_files": "select * from cl_grades",
     "compact_partitioned": "select * from k_performance",
@@ -289,6 +289,35 @@ BODIES: dict[str, str] = {
     "cluster_zorder": "select * from k_performance",
     "compact_bins": "select * from k_performance",
 }
+
+
+def _inferred(table: str, column: str) -> str:
+    """The narrowest type that all values of a column fit as text."""
+    ladder = (
+        ("boolean", "lower(v) in ('true', 'false')"),
+        ("int", r"regexp_full_match(v, '[+-]?(0|[1-9]\d*)') and try_cast(v as integer) is not null"),
+        ("bigint", r"regexp_full_match(v, '[+-]?(0|[1-9]\d*)') and try_cast(v as bigint) is not null"),
+        ("double", r"regexp_full_match(v, '[+-]?((0|[1-9]\d*)(\.\d*)?|\.\d+)([eE][+-]?\d+)?')"),
+        ("date", r"regexp_full_match(v, '\d{4}-\d{2}-\d{2}') and try_cast(v as date) is not null"),
+    )
+    cases = " ".join(f"when bool_and({fits}) then '{kind}'" for kind, fits in ladder)
+    return f"""select '{table}' as table_name, '{column}' as column_name, case {cases} else 'string' end as type_name,
+        count(v) as num_values, count(distinct v) as num_distinct
+      from (select cast({column} as varchar) as v from fx_{table}) cells where v is not null"""
+
+
+BODIES |= {
+    "ingest_csv_inferred": " union all ".join(
+        _inferred(name, column) for name, table in TABLES.items() if table.source == "csv" for column in table.columns
+    ),
+    "quality_observed": _LONG,
+    "activity_students_sketch": """select activity_type, program_id, count(distinct a.student_id) as nb_students,
+        true as sketch_is_close
+      from cl_activities a join cl_students s on a.student_id = s.student_id group by activity_type, program_id""",
+    "sorted_publication": """select student_id, first_name, last_name, program_id, academic_year, total_hours_absent,
+        row_number() over (order by total_hours_absent desc, student_id, academic_year) as position
+      from k_absent""",
+}
 _EARLIER = ("student_performance", "absenteeism", "activity_summary", "program_kpis", "correlation_abs_grades")
 BODIES |= {
     "catalog_after_swap": """select 'before' as planned, program_id, current_level, nb_students, nb_students as nb_rows

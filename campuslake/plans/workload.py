@@ -5,15 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import absence_band
-from ..operators import cleaning, dedup, joins, kpis, quality, reports
+from ..operators import cleaning, dedup, joins, kpis, quality, reports, sketches
 from ..schemas import GOLD_PARTITIONS, TABLES
 from ..sinks import (
+    check_sorted,
     cluster_by,
     cluster_zorder,
     compact,
@@ -22,7 +23,9 @@ from ..sinks import (
     publish,
     publish_all,
     publish_snapshot,
+    publish_sorted,
     read_snapshot,
+    read_sorted,
     register_tables,
     retain_snapshots,
     snapshot_history,
@@ -30,8 +33,8 @@ from ..sinks import (
 )
 from ..sinks.catalog import register_table
 from ..sinks.runs import read_run, run_history
-from ..sinks.storage import scratch_folder
-from ..sources import read_csv, read_path_sql, read_table, registrations_from_series
+from ..sinks.storage import clear_scratch, scratch_folder
+from ..sources import land_inferred, read_csv, read_path_sql, read_table, registrations_from_series
 from ..sources.csv_files import CORRUPT
 from . import fixtures, lakehouse
 
@@ -160,8 +163,8 @@ def join_semester_composite(t: Tables) -> DataFrame:
 # --- sources and sinks -----------------------------------------------------------------
 
 
-def _csv_roundtrip(t: Tables, name: str) -> DataFrame:
-    """Write a source table as headered CSV, then ingest it."""
+def _as_csv(t: Tables, name: str) -> str:
+    """A source table as headered CSV."""
     folder = t.scratch(f"csv-{name}")
     (
         t.raw(name)
@@ -170,7 +173,29 @@ def _csv_roundtrip(t: Tables, name: str) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(folder)
     )
-    return read_csv(t.spark, folder, name)
+    return folder
+
+
+def _csv_roundtrip(t: Tables, name: str) -> DataFrame:
+    """Write a source table as headered CSV, then ingest it."""
+    return read_csv(t.spark, _as_csv(t, name), name)
+
+
+def ingest_csv_inferred(t: Tables) -> DataFrame:
+    """The inferred type of every column of the CSV sources, with its values and distinct values."""
+    parts = []
+    for name in (n for n, table in TABLES.items() if table.source == "csv"):
+        landed = land_inferred(t.spark, _as_csv(t, name), t.scratch(f"landing-{name}"))
+        counts = [F.struct(F.count(c).alias("num_values"), F.count_distinct(c).alias("num_distinct")).alias(c) for c in landed.columns]
+        described = [
+            F.struct(
+                F.lit(c).alias("column_name"), F.lit(kind).alias("type_name"),
+                F.col(f"{c}.num_values").alias("num_values"), F.col(f"{c}.num_distinct").alias("num_distinct"),
+            )
+            for c, kind in landed.dtypes
+        ]
+        parts.append(landed.agg(*counts).select(F.lit(name).alias("table_name"), F.inline(F.array(*described))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def publish_overwrite(t: Tables) -> DataFrame:
@@ -224,6 +249,13 @@ def _new_database(t: Tables) -> str:
     return name
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Drop the databases of finished queries and delete their working tables."""
+    for database in spark.catalog.listDatabases("campuslake_*"):
+        spark.sql(f"DROP DATABASE {database.name} CASCADE")
+    clear_scratch(spark)
+
+
 def catalog_gold_query(t: Tables) -> DataFrame:
     """Report SQL over a registered KPI table."""
     folder, database = t.scratch("gold"), _new_database(t)
@@ -267,6 +299,39 @@ def ingest_csv_malformed(t: Tables) -> DataFrame:
     return read.select("grade_id", "grade", F.col(CORRUPT).isNotNull().alias("malformed"))
 
 
+def quality_observed(t: Tables) -> DataFrame:
+    """The quality report from what the jobs that land the tables observe."""
+    folder = t.scratch("bronze")
+    observed = {name: quality.Observed(name) for name in quality.QUALITY_RULES}
+    publish_all({name: seen.watch(t.raw(name)) for name, seen in observed.items()}, folder)
+    written = {name: read_table(t.spark, f"{folder}/{name}") for name in observed}
+    return quality.observed_report(observed, written)
+
+
+def activity_students_sketch(t: Tables) -> DataFrame:
+    """Students per activity type and program: counted, and whether stored sketches come within 3 percent."""
+    folder, by = t.scratch("sketches"), ["activity_type", "program_id"]
+    publish(sketches.student_sketches(*t.silvers("activities", "students")), folder)
+    merged = sketches.merged_sketches(read_table(t.spark, folder), by)
+    activities, students = t.silvers("activities", "students")
+    exact = (
+        activities.join(students.select("student_id", "program_id"), "student_id")
+        .groupBy(*by)
+        .agg(F.count_distinct("student_id").alias("nb_students"))
+    )
+    off = F.abs(sketches.estimated_students() - F.col("nb_students"))
+    return exact.join(merged, by).select(*by, "nb_students", (off <= 0.03 * F.col("nb_students")).alias("sketch_is_close"))
+
+
+def sorted_publication(t: Tables) -> DataFrame:
+    """The most absent students as a stored table, with their positions."""
+    folder = t.scratch("most-absent")
+    order = ["total_hours_absent", "student_id", "academic_year"]
+    publish_sorted(reports.most_absent(t.absenteeism), folder, [F.desc(order[0]), *order[1:]])
+    check_sorted(t.spark, folder, order, descending=order[:1])
+    return read_sorted(t.spark, folder)
+
+
 def catalog_listing(t: Tables) -> DataFrame:
     """All seven KPI tables published, registered and listed with their row counts."""
     folder, database = t.scratch("gold"), _new_database(t)
@@ -368,14 +433,11 @@ def compact_small_files(t: Tables) -> DataFrame:
 
 
 def table_details(t: Tables) -> DataFrame:
-    """Format and rows of a stored table; file numbers and sizes vary, so only that there are some."""
+    """Format, files and rows of a table stored in three files; bytes vary, so only that there are some."""
     folder = t.scratch("activities")
-    publish(t.silver("activities"), folder)
+    publish(t.silver("activities").repartition(3, "activity_id"), folder)
     return table_detail(t.spark, folder).select(
-        "format",
-        "num_rows",
-        (F.col("num_files") > 0).alias("has_files"),
-        (F.col("size_in_bytes") > 0).alias("has_bytes"),
+        "format", "num_files", "num_rows", (F.col("size_in_bytes") > 0).alias("has_bytes")
     )
 
 
@@ -482,6 +544,10 @@ def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
         "ingest_csv_malformed": ingest_csv_malformed,
         "cluster_by_column": cluster_by_column,
         "table_detail": table_details,
+        "ingest_csv_inferred": ingest_csv_inferred,
+        "quality_observed": quality_observed,
+        "activity_students_sketch": activity_students_sketch,
+        "sorted_publication": sorted_publication,
         "cluster_zorder": cluster_zorder_columns,
         "compact_bins": compact_small_files,
         "catalog_after_swap": catalog_after_swap,

@@ -4,11 +4,13 @@ from .bins import compact_bins
 from .catalog import list_tables, register_tables
 from .clustering import cluster_by, cluster_zorder
 from .layout import compact, table_detail
+from .ordered import check_sorted, publish_sorted, read_sorted
 from .publish import publish, publish_all
 from .runs import complete_runs, read_run, repoint, retain_runs, run_as_of, run_folder, run_history
 from .snapshots import publish_snapshot, read_snapshot, retain_snapshots, snapshot_history
 
 __all__ = [
+    "check_sorted",
     "cluster_by",
     "cluster_zorder",
     "compact",
@@ -18,8 +20,10 @@ __all__ = [
     "publish",
     "publish_all",
     "publish_snapshot",
+    "publish_sorted",
     "read_run",
     "read_snapshot",
+    "read_sorted",
     "register_tables",
     "repoint",
     "retain_runs",

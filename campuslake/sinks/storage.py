@@ -66,16 +66,29 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="campuslake-")
 
 
-def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name for working tables.
-
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``; only where
-    that is unset and everything runs on this machine, as in tests, is it a local folder.
-    """
+def _scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         master = spark.conf.get("spark.master", "")
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = _local_scratch()
-    return f"{shared.rstrip('/')}/campuslake/{label}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/campuslake/{spark.sparkContext.applicationId}"
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name for working tables.
+
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``; only where
+    that is unset and everything runs on this machine, as in tests, is it a local folder.
+    """
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's working tables.
+
+    Results that were built on them and have not been read or written yet cannot be any more, so
+    whoever runs many jobs in one application calls this between them.
+    """
+    delete_folder(spark, _scratch_root(spark))

@@ -36,3 +36,30 @@ def test_one_scan_whatever_the_number_of_metrics(spark, sf_dir, plan):
     text = plan(quality.profile(orders, "orders", rule))
     assert text.count("FileScan") == 1
     assert "o_orderpriority" not in text
+
+
+def test_observed_counts_equal_the_profile(spark, tmp_path):
+    rule = QualityRule("key", ("key", "v"), {"v": (0, 20), "w": (0, 5)})
+    rows = [(None, 1.0, "x"), (None, None, "9"), ("a", 30.0, "2"), ("a", 1.0, None), ("b", -1.0, "1")]
+    df = spark.createDataFrame(rows, "key string, v double, w string").repartition(3)
+    seen = quality.Observed("t", rule)
+    seen.watch(df).write.parquet(str(tmp_path / "t"))
+    got = seen.profile(spark.read.parquet(str(tmp_path / "t")))
+    want = quality.profile(df, "t", rule)
+    assert got.columns == want.columns and got.collect() == want.collect()
+    assert want.first()["malformed_w"] == 1 and want.first()["duplicates"] == 2
+
+
+def test_observed_counts_of_nothing(spark, tmp_path):
+    df = spark.createDataFrame([], "key string, v double")
+    seen = quality.Observed("t", QualityRule("key", ("v",), {"v": (0, 1)}))
+    seen.watch(df).write.parquet(str(tmp_path / "t"))
+    assert seen.profile(spark.read.parquet(str(tmp_path / "t"))).first().status == "OK"
+
+
+def test_only_the_key_is_read_again(spark, tmp_path, plan):
+    df = spark.createDataFrame([("a", 1.0), ("a", 30.0)], "key string, v double")
+    seen = quality.Observed("t", QualityRule("key", ("v",), {"v": (0, 20)}))
+    seen.watch(df).write.parquet(str(tmp_path / "t"))
+    text = plan(seen.profile(spark.read.parquet(str(tmp_path / "t"))))
+    assert text.count("FileScan") == 1 and "ReadSchema: struct<key:string>" in text

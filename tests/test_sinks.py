@@ -219,3 +219,23 @@ def test_table_detail_counts_files(spark, frame, tmp_path):
     publish(frame, path)
     files = spark.read.parquet(path).select("_metadata.file_path").distinct().count()
     assert table_detail(spark, path).first()["num_files"] == files
+
+
+def test_working_folders_can_be_cleared(tmp_path, spark):
+    from campuslake.plans import workload
+    from campuslake.sinks.storage import list_files, list_folders
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
+    try:
+        folder = scratch_folder(spark, "t")
+        spark.range(3).write.parquet(folder)
+        (tmp_path / "shared" / "campuslake" / "of-another-application").mkdir()
+        spark.sql("CREATE DATABASE campuslake_left_over")
+        workload.clean_up(spark)
+        assert list_files(spark, folder) == []
+        assert list_folders(spark, str(tmp_path / "shared" / "campuslake")) == ["of-another-application"]
+        assert not spark.catalog.databaseExists("campuslake_left_over")
+        workload.clean_up(spark)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
