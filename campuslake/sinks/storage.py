@@ -73,7 +73,7 @@ def _scratch_root(spark: SparkSession) -> str:
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = _local_scratch()
-    return f"{shared.rstrip('/')}/campuslake/{spark.sparkContext.applicationId}"
+    return f"{shared.rstrip('/')}/campuslake/{spark.conf.get('spark.app.id', 'application')}"
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
