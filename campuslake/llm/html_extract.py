@@ -4,24 +4,20 @@ A page is read into blocks of text. Text inside ``article`` or ``main`` is its a
 footers, sidebars, forms, adverts, notices and reader comments that say so (by element, role,
 class or id) are furniture. All other visible text is open.
 
-The text outside articles is judged per host: the token streams of its pages are concatenated,
-a suffix array brings equal substrings together, and every substring of ``RUN`` tokens that
-occurs on two distinct pages marks the tokens it covers as boilerplate. Suffix arrays are built
-within tasks, over the pages of a batch; each hands on one row per distinct substring with the
-smallest and largest page, and these rows meet by (host, substring), so a host of any size is
-split over tasks and still judged as a whole.
-
-A page's text is its article blocks; a page without an article, or whose articles hold only a small
-part of its text, also keeps the unique runs of its open text: what is left of a block when the
-boilerplate tokens are taken out. Furniture never stays; an article inside it (a teaser, a comment)
-is part of it, unless the furniture was never closed or is a wrapper around all of the page.
-
-Articles are judged by the same substrings, block by block: an article block of ``RUN`` tokens or
-more that occurs, as a whole, in the articles of two distinct pages of the host goes. What declares
-itself guards it: blocks in a ``blockquote`` or ``pre`` are quoted and stay, and where repeated blocks
-make up half of an article or more, the page is a near copy of another and keeps its article whole.
-
-Pages that are copies of each other are not distinct here: a page is told by the hash of all its
+A page's text is its article blocks, whole: what an article repeats from another page is still its
+text. A page without an article, or whose articles hold only a small part of its text, also keeps
+the unique runs of its open text, what is left of a block when the boilerplate tokens are taken out.
+Furniture never stays; an article inside it (a teaser, a comment) is part of it, unless the furniture
+was never closed or is a wrapper around all of the page.
+
+Boilerplate is judged per host: the token streams of its pages outside articles are concatenated, a
+suffix array brings equal substrings together, and every substring of ``RUN`` tokens that occurs on
+``MIN_SHARE`` of the host's distinct pages, on two at least, marks the tokens it covers; longer
+repeats are covered by those that they consist of. Suffix arrays are built within tasks, over the
+pages of a batch; each hands on its distinct (substring, page) pairs, and these meet by (host,
+substring), so a host of any size is split over tasks and still judged as a whole.
+
+Pages that are copies of each other are one page here: a page is told by the hash of all its
 text outside furniture, else every page without an article that was copied would lose its text.
 
 Defined results: null or empty html gives the empty text; pages with a null url share one host;
@@ -41,21 +37,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, materialize, steps
-from .ngram_join import BITMAP_BITS, signed
+from .ngram_join import signed
 from .textarrays import ranges_hash, windows_hash
 
 #: Tokens of the shortest substring that counts as repeated: a power of two.
 RUN = 8
+#: Boilerplate recurs on so large a part of the distinct pages of its host, and on two at least.
+MIN_SHARE = 0.05
 ARTICLE, OPEN, FURNITURE = 0, 1, 2
 #: While a page is read: an article in furniture that closes properly.
 HELD = 3
-#: Elements whose text is quoted.
-QUOTES = frozenset(("blockquote", "pre"))
 #: Articles that hold less than one part in so many of the text outside furniture do not decide alone.
 SMALL_PART = 4
 
+#: A tag ends at the first ``>`` outside a quoted value; a stray quote belongs to an attribute's name.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
+    r"((?:[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*))?)*+)(?:>|\Z)",
+    re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(?<=\s)(hidden)(?=[\s/]|$)")
 #: Elements by what they mean for text.
@@ -73,6 +72,20 @@ NAMES = frozenset(
     pagination popup promo promotion promoted related replies reply respond share sharing sidebar signup skip social sponsor sponsored
     subscribe subscription toolbar topbar widget widgets""".split()
 )
+#: Of these, names that make furniture of a compound that ends in them (``main-nav``, ``google-ads``).
+HEADS = frozenset(
+    """ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comments disqus footer login masthead menu menubar modal
+    nav navbar navigation newsletter pager pagination popup sidebar signup toolbar topbar widget widgets""".split()
+)
+#: Words that tell no subject: ``social-links`` is furniture, ``social-policy`` is not.
+PARTS = frozenset(
+    """a area articles bar block body bottom box btn button buttons card col column container content count cta desktop fixed form grid group head
+    heading holder icon icons inner item items left line link links list main media mobile module overlay page panel part posts right
+    row section site slot small space stories strip tab tabs text thread title tools top unit wrap wrapper""".split()
+)
+#: Words before a name that say it belongs to the page and not to its subject (``site-header``, ``cookie-notice``).
+PLACES = frozenset("bottom global left legal main page post privacy right site sticky top".split())
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Names of the page's own content; they win over a word of NAMES beside them.
 CONTENT = frozenset(("content", "article", "post", "entry", "story", "main", "body", "text"))
 #: Names of what readers wrote; they win over CONTENT, unless the name only tells a state.
@@ -82,6 +95,17 @@ STATES = frozenset("allow closed disabled enabled has no off on open with withou
 APART = READERS | {"related"}
 
 
+def _names_furniture(words: list[str]) -> bool:
+    """Whether a name, by its words, tells furniture and not what a text is about."""
+    if not words or set(words) & STATES:
+        return False
+    first, *rest = words
+    if first in NAMES and all(w in PARTS or w in NAMES for w in rest):
+        return True
+    last, before = words[-1], words[:-1]
+    return last in HEADS or (last in NAMES and all(w in PLACES or w in NAMES or w in PARTS for w in before))
+
+
 def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in ASIDE and not (tag == "header" and in_article):
         return True
@@ -96,19 +120,19 @@ def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value in ROLES:
             return True
-        if name in ("class", "id"):
+        if name in ("class", "id") and tag not in HEADINGS and tag not in ("html", "body"):
             each = _names(a or b or c)
-            words = set().union(*each)
-            own = tag in CENTRE and words & CONTENT and not any(w & READERS and not w & STATES for w in each)
-            if words & NAMES and not own and tag not in ("html", "body"):
+            words = {w for n in each for w in n}
+            own = tag in CENTRE and words & CONTENT and not any(READERS & set(n) and not STATES & set(n) for n in each)
+            if not own and any(map(_names_furniture, each)):
                 return True
     return False
 
 
-def _names(value: str) -> list[set[str]]:
-    """The words of each name in a class or id."""
+def _names(value: str) -> list[list[str]]:
+    """The words of each name in a class or id, in order."""
     spaced = [re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower() for name in value.split()]
-    return [{w for w in re.split(r"[^a-z]+", name) if w} for name in spaced]
+    return [[w for w in re.split(r"[^a-z]+", name) if w] for name in spaced]
 
 
 def _apart(tag: str, attributes: str) -> bool:
@@ -116,7 +140,7 @@ def _apart(tag: str, attributes: str) -> bool:
     if tag in ASIDE and tag != "form":
         return True
     named = [v for n, a, b, c, _ in _ATTRIBUTE.findall(attributes) if n.lower() in ("class", "id") for v in _names(a or b or c)]
-    return any(words & APART and not words & STATES for words in named)
+    return any(APART & set(words) and not STATES & set(words) for words in named)
 
 
 def _closed(page: str) -> set[int]:
@@ -139,15 +163,9 @@ def _closed(page: str) -> set[int]:
     return found
 
 
-class Block(tuple):
-    """(zone, text), and whether the text is quoted."""
-
-    quoted = False
-
-
-def blocks_of(page: str) -> list[Block]:
+def blocks_of(page: str) -> list[tuple[int, str]]:
     """(zone, text) of every block with text, in page order."""
-    out: list[Block] = []
+    out: list[tuple[int, str]] = []
     text: list[str] = []
     # Open elements as (tag, zone of what was around them).
     stack: list[tuple[str, int]] = []
@@ -159,8 +177,7 @@ def blocks_of(page: str) -> list[Block]:
         words = " ".join("".join(text).split())
         text.clear()
         if words:
-            out.append(Block((zone, words)))
-            out[-1].quoted = any(name in QUOTES for name, _ in stack)
+            out.append((zone, words))
 
     while at < end:
         match = _TOKEN.search(page, at)
@@ -224,11 +241,7 @@ def blocks_of(page: str) -> list[Block]:
     # Furniture around all of the page was no furniture: what an article in it held is the text.
     size = {z: sum(len(t) for y, t in out if y == z) for z in (ARTICLE, OPEN, HELD)}
     kept = ARTICLE if not size[ARTICLE] and size[HELD] > size[OPEN] else FURNITURE
-    for i, block in enumerate(out):
-        if block[0] == HELD:
-            out[i] = Block((kept, block[1]))
-            out[i].quoted = block.quoted
-    return out
+    return [(kept if z == HELD else z, t) for z, t in out]
 
 
 def host_of(url: str | None) -> str | None:
@@ -282,15 +295,16 @@ class Streams:
         self.keys = windows_hash(self.tokens, RUN)[self.starts] if n >= RUN else np.zeros(0, np.uint64)
         self.first = np.concatenate([[0], np.cumsum(counts + 1)])[:-1]
 
-    def intervals(self, identity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per distinct run: its key and the smallest and largest page identity among its suffixes."""
+    def occurrences(self, identity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs of a run, by its key, and the identity of a page that it occurs on."""
         if not len(self.starts):
-            return self.keys, identity[:0], identity[:0]
+            return self.keys, identity[:0]
         rank = suffix_ranks(self.tokens)[self.starts]
-        order = np.argsort(rank, kind="stable")  # the part of the suffix array that holds whole runs
-        heads = np.flatnonzero(np.concatenate([[True], rank[order][1:] != rank[order][:-1]]))
-        who = identity[self.page[self.starts[order]]]
-        return self.keys[order][heads], np.minimum.reduceat(who, heads), np.maximum.reduceat(who, heads)
+        who = identity[self.page[self.starts]]
+        order = np.lexsort((who, rank))  # the part of the suffix array that holds whole runs
+        fresh = np.concatenate([[True], (rank[order][1:] != rank[order][:-1]) | (who[order][1:] != who[order][:-1])])
+        heads = order[fresh]
+        return self.keys[heads], who[heads]
 
 
 def _declares(blocks: list[tuple[int, str]]) -> bool:
@@ -299,22 +313,11 @@ def _declares(blocks: list[tuple[int, str]]) -> bool:
     return article > 0 and SMALL_PART * article >= article + other
 
 
-PARSED = "page_id long, url string, host string, identity long, declared boolean, zones array<tinyint>, texts array<string>, row long, keys array<bigint>"
-
-
-def block_keys(pages: list[list[Block]]) -> list[list[int]]:
-    """Per page and block a hash of its tokens where it is an article block that may go, else 0."""
-    held = [t.encode() if z == ARTICLE and not b.quoted and t.count(" ") >= RUN - 1 else b"" for p in pages for b in p for z, t in [b]]
-    ends = np.cumsum([len(h) for h in held], dtype=np.int64)
-    starts = np.concatenate([[0], ends[:-1]]) if len(held) else ends
-    keys = signed(ranges_hash(np.frombuffer(b"".join(held), np.uint8), starts, ends)) if len(held) else ends
-    keys = np.where(ends > starts, keys, 0).tolist()
-    bounds = np.concatenate([[0], np.cumsum([len(p) for p in pages], dtype=np.int64)])
-    return [keys[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+PARSED = "page_id long, url string, host string, identity long, declared boolean, zones array<tinyint>, texts array<string>, row long"
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """Pages as blocks: (page_id, url, host, identity, declared, zones, texts, row, keys).
+    """Pages as blocks: (page_id, url, host, identity, declared, zones, texts, row).
 
     ``row`` is equal for equal id, address and text only.
     """
@@ -333,7 +336,6 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                 "zones": [[z for z, _ in b] for b in found],
                 "texts": [[t for _, t in b] for b in found],
                 "row": _rows(ids, urls, found),
-                "keys": block_keys(found),
             }
 
     source = pages.select(
@@ -342,7 +344,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     return arrow_map(source, parse, PARSED)
 
 
-def _rows(ids: pa.Array, urls: list[str | None], pages: list[list[Block]]) -> np.ndarray:
+def _rows(ids: pa.Array, urls: list[str | None], pages: list[list[tuple[int, str]]]) -> np.ndarray:
     named = [repr((i, u, *p)).encode() for i, u, p in zip(ids.to_pylist(), urls, pages)]
     ends = np.cumsum([len(x) for x in named], dtype=np.int64)
     return signed(ranges_hash(np.frombuffer(b"".join(named), np.uint8), np.concatenate([[0], ends[:-1]]), ends))
@@ -361,65 +363,29 @@ def _streams(batch: pa.RecordBatch) -> Iterator[tuple[str | None, list[int], Str
         yield host, rows, Streams([[w for z, t in zip(zones[i], texts[i]) if z != ARTICLE for w in t.split()] for i in rows])
 
 
-def repeated_runs(parsed: DataFrame) -> DataFrame:
-    """(host, run): substrings that occur on two distinct pages of a host."""
+def repeated_runs(parsed: DataFrame, share: float = MIN_SHARE) -> DataFrame:
+    """(host, run): substrings that occur on ``share`` of the distinct pages of a host, and on two at least."""
 
     def build(batch: pa.RecordBatch) -> Iterator[dict]:
         identity = batch.column(batch.schema.names.index("identity")).to_numpy()
         for host, rows, streams in _streams(batch):
-            keys, low, high = streams.intervals(identity[rows])
-            yield {"host": [host] * len(keys), "run": signed(keys), "low": low, "high": high}
+            keys, pages = streams.occurrences(identity[rows])
+            yield {"host": [host] * len(keys), "run": signed(keys), "page": pages}
 
-    found = arrow_map(parsed.select("host", "identity", "zones", "texts"), build, "host string, run long, low long, high long")
-    return (
-        found.groupBy("host", "run").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high").select("host", "run")
-    )
-
-
-def repeated_blocks(parsed: DataFrame) -> DataFrame:
-    """(row, gone): the keys of the article blocks of a page that occur on two distinct pages of its host."""
-    each = parsed.select("host", "identity", "row", F.explode(F.array_distinct(F.array_remove("keys", 0))).alias("key"))
-    same = each.groupBy("host", "key").agg(F.min("identity").alias("low"), F.max("identity").alias("high"))
-    same = same.where("low != high").select(F.col("host").alias("block_host"), F.col("key").alias("block"))
-    met = each.join(same, each["host"].eqNullSafe(same["block_host"]) & (each["key"] == same["block"]))
-    return met.groupBy("row").agg(F.collect_set("key").alias("gone"))
-
-
-def _without_repeated_blocks(done: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(page_id, url, text) of declared pages."""
-    blocks = F.filter(
-        F.arrays_zip("zones", "texts", "keys"), lambda b: b["zones"] == ARTICLE
-    )
-    # A bitmap of fixed size, of hashed pages, keeps most pages without such blocks out of the join.
-    repeated = materialize(repeated, "repeated-blocks")
-    place = F.pmod(F.col("row"), F.lit(1 << BITMAP_BITS))
-    marks = (
-        repeated.select(place.alias("place"))
-        .groupBy(F.shiftright("place", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
-    )
-    slim = done.select("page_id", "url", blocks.alias("blocks"), "row", place.alias("place"))
-    slim = slim.withColumn("word", F.shiftright("place", 6)).join(F.broadcast(marks), "word", "left")
-    marked = F.coalesce(F.expr("shiftright(bits, cast(place & 63 as int)) & 1L = 1L"), F.lit(False))
-    columns = ["page_id", "url", "blocks", "gone"]
-    joined = slim.where(marked).join(repeated, "row", "left").select(*columns)
-    passed = slim.where(~marked).withColumn("gone", F.lit(None).cast(repeated.schema["gone"].dataType))
-    joined = joined.unionByName(passed.select(*columns))
-
-    def text(blocks):
-        return F.array_join(F.transform(blocks, lambda b: b["texts"]), " ")
-
-    left = F.filter("blocks", lambda b: ~F.array_contains("gone", b["keys"]))
-    judged = joined.withColumn("whole", text(F.col("blocks"))).withColumn("part", F.when(F.col("gone").isNotNull(), text(left)))
-    near_copy = 2 * F.char_length("part") <= F.char_length("whole")
-    chosen = F.when(F.col("part").isNull() | near_copy, F.col("whole")).otherwise(F.col("part"))
-    return judged.select("page_id", "url", chosen.alias("text"))
+    found = arrow_map(parsed.select("host", "identity", "zones", "texts"), build, "host string, run long, page long")
+    counted = found.groupBy("host", "run").agg(F.count_distinct("page").alias("n")).where("n > 1")
+    pages = parsed.groupBy(F.col("host").alias("of")).agg(F.count_distinct("identity").alias("pages"))
+    often = F.col("n") >= share * F.col("pages")
+    return counted.join(pages, F.col("host").eqNullSafe(F.col("of"))).where(often).select("host", "run")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every page."""
     parsed = materialize(parse_pages(pages), "pages", compression="zstd")
-    declared = _without_repeated_blocks(parsed.where("declared"), repeated_blocks(parsed))
+    whole = F.filter(F.arrays_zip("zones", "texts"), lambda b: b["zones"] == ARTICLE)
+    declared = parsed.where("declared").select(
+        "page_id", "url", F.array_join(F.transform(whole, lambda b: b["texts"]), " ").alias("text")
+    )
 
     # Only the open text of pages that do not declare their article depends on the runs of their
     # host; the runs themselves come from all pages of it.
