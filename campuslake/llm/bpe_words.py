@@ -1,12 +1,13 @@
 """BPE encoding and decoding through a table of distinct words.
 
-1. Tasks split texts into words and count them; the counts of each distinct word meet in one
-   row, and that row is encoded once.
-2. Ids come back to the positions of the words. The most frequent words, a table of bounded
-   size (``HOT_WORDS`` rows of words up to ``HOT_BYTES`` bytes), are broadcast, so tasks write
-   the row of each such word in its place and leave a mark for every other word. Those words are
-   joined by the word itself and return to the marks of their document; there rows and marks
-   become ids. Rows are shorter than ids, so that is what moves.
+1. The most frequent words of a sample of documents, a table of bounded size (``HOT_WORDS`` rows of
+   up to ``HOT_BYTES`` bytes), are encoded and broadcast. The sample decides only how words travel.
+   Words with punctuation behind them count as words here, so that most texts are cut at white
+   space alone.
+2. Tasks split texts into words. They write the row of each word of the table in its place and
+   leave a mark for every other word. Those meet by the word itself, where each distinct one is
+   encoded once, and its ids return to the marks of their documents; there rows and marks become
+   ids. Rows are shorter than ids, so that is what moves.
 3. Decoding joins every id with its piece; the table of pieces is as large as the vocabulary and
    broadcast.
 
@@ -24,7 +25,6 @@ from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -33,10 +33,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from . import wordsplit
-from .common import empty_arrow, materialize, steps
+from .common import arrow_map, empty_arrow, steps
 
 HOT_WORDS = 1 << 18
 HOT_BYTES = 48
+#: About so many documents are sampled for frequent words.
+SAMPLE_DOCUMENTS = 50_000
+#: Tasks that encode the table of frequent words.
+ENCODERS = 8
+#: A longer word may have as many rows as documents, so these are dealt to so many groups by document.
+SPREAD = 64
 #: Distinct words a task gathers before it hands its counts on.
 GATHERED = 250_000
 ID_TYPE = np.dtype("<u4")
@@ -51,7 +57,7 @@ LOW = (1 << 32) - 1
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n): how often each distinct word occurs."""
+    """(word, n): how often each distinct word occurs, and each that has punctuation behind it with that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -64,7 +70,12 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             for _, texts in steps(batch.column(0)):
                 for body in texts.cast(pa.large_binary()).to_pylist():
-                    counts.update(wordsplit.split(body))
+                    for piece, n in Counter(wordsplit.pieces(body)).items():
+                        counts[piece] += n
+                        words = wordsplit.words(piece)
+                        if len(words) > 1:
+                            for word in words:
+                                counts[word] += n
                 if len(counts) > GATHERED:
                     yield handed()
         if counts:
@@ -87,14 +98,43 @@ def widen(data: bytes) -> bytes:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(ID_TYPE).tobytes()
 
 
-def word_table(counted: DataFrame, vocabulary: str) -> DataFrame:
-    """(word, n, ids) with each distinct word encoded once; ``ids`` as :func:`narrow` packs them."""
+def frequent_words(docs: DataFrame, vocabulary: str, text: str, most: int, sample: int) -> pa.Table:
+    """(word, ids) of the ``most`` most frequent words in about ``sample`` documents."""
+    n = docs.count()
+    some = docs if n <= sample else docs.sample(sample / n, seed=0)
+    counted = count_words(some, text).where(F.octet_length("word") <= HOT_BYTES)
+    # Few rows once more, so that tasks encode them side by side.
+    top = counted.orderBy(F.desc("n"), "word").limit(most).select("word").repartition(ENCODERS)
 
-    @F.pandas_udf("binary")
-    def encoded(words: pd.Series) -> pd.Series:
-        return pd.Series([narrow(ids) for ids in wordsplit.encode(vocabulary, words.tolist())])
+    def encoded(batch: pa.RecordBatch) -> Iterator[dict]:
+        ids = wordsplit.encode(vocabulary, batch.column(0).to_pylist())
+        yield {"word": batch.column(0), "ids": [np.array(i, ID_TYPE).tobytes() for i in ids]}
 
-    return counted.select("word", "n", encoded("word").alias("ids"))
+    return arrow_map(top, encoded, "word string, ids binary").toArrow()
+
+
+def encode_words(rows: DataFrame, vocabulary: str) -> DataFrame:
+    """(key, place, ids) of rows (key, place, word); a distinct word is encoded once for all its rows.
+
+    ``ids`` as :func:`narrow` packs them.
+    """
+    long = F.when(F.octet_length("word") > HOT_BYTES, F.pmod("key", F.lit(SPREAD))).otherwise(0)
+    met = rows.repartition("word", long).sortWithinPartitions("word")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, ids = None, b""
+        for batch in batches:
+            met = pc.dictionary_encode(batch.column(2))
+            words = met.dictionary.to_pylist()
+            fresh = [w for w in words if w != last]
+            packed = {last: ids} | dict(zip(fresh, map(narrow, wordsplit.encode(vocabulary, fresh))))
+            found = pa.array([packed[w] for w in words], pa.binary()).take(met.indices)
+            if words:
+                last = batch.column(2)[-1].as_py()
+                ids = packed[last]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["key", "place", "ids"])
+
+    return met.select("key", "place", "word").mapInArrow(run, "key long, place long, ids binary")
 
 
 def piece_table(vocabulary: str) -> list[str | None]:
@@ -140,6 +180,27 @@ class Ragged:
         return self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
 
 
+def places_of(body: bytes, known: dict[bytes, int]) -> tuple[np.ndarray, list[bytes]]:
+    """The row in ``known`` of every word of a text, or its mark, and the words that have marks, in their order."""
+    pieces = wordsplit.pieces(body)
+    rows = np.fromiter(map(known.get, pieces, repeat(MARK)), ID_TYPE, len(pieces))
+    missing = np.flatnonzero(rows == MARK)
+    if not len(missing):
+        return rows, []
+    # Pieces that are not in the table fall into their words.
+    words = [wordsplit.words(pieces[i]) for i in missing.tolist()]
+    others = sorted({w for each in words for w in each if w not in known})
+    number = dict(zip(others, range(MARK, MARK + len(others))))
+    found = [known[w] if w in known else number[w] for each in words for w in each]
+    sizes = np.ones(len(rows), np.int64)
+    sizes[missing] = [len(each) for each in words]
+    gone = np.zeros(len(rows), bool)
+    gone[missing] = True
+    out = np.repeat(rows, sizes)
+    out[np.repeat(gone, sizes)] = found
+    return out, others
+
+
 def _filled(places: np.ndarray, hot: Ragged, others: Ragged) -> bytes:
     """Packed ids of the words at all places of a document."""
     parts = []
@@ -156,14 +217,17 @@ def _filled(places: np.ndarray, hot: Ragged, others: Ragged) -> bytes:
 
 
 def encode_documents(
-    docs: DataFrame, vocabulary: str, text: str = "text", keep: Sequence[str] | None = None, hot_words: int = HOT_WORDS
+    docs: DataFrame,
+    vocabulary: str,
+    text: str = "text",
+    keep: Sequence[str] | None = None,
+    hot_words: int = HOT_WORDS,
+    sample: int = SAMPLE_DOCUMENTS,
 ) -> DataFrame:
     """Documents as (row, ids, decoded); ``ids`` are packed little-endian unsigned 32-bit integers."""
     spark = docs.sparkSession
     keep = list(docs.columns if keep is None else keep)
-    words = materialize(word_table(count_words(docs, text), vocabulary), "words")
-    hot = words.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(hot_words).select("word", "ids").toArrow()
-    hot = spark.sparkContext.broadcast(_ipc(hot.set_column(1, "ids", pa.array(map(widen, hot["ids"].to_pylist()), pa.binary()))))
+    hot = spark.sparkContext.broadcast(_ipc(frequent_words(docs, vocabulary, text, hot_words, sample)))
     # As many pieces as the vocabulary has.
     pieces = spark.sparkContext.broadcast(piece_table(vocabulary))
     packed = docs.select(
@@ -176,44 +240,29 @@ def encode_documents(
     )
     row_type = packed.schema["row"].dataType
 
-    def numbered(words_: list[bytes], known: dict[bytes, int]) -> dict[bytes, int]:
-        """Numbers of the words that are not in ``known``, the same in every run."""
-        return {w: k for k, w in enumerate(sorted(set(words_).difference(known)))}
-
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _dictionary(hot.value)
         for batch in batches:
             for start, texts in steps(batch.column(2)):
-                rows, numbers, words_ = [], [], []
-                for i, body in enumerate(texts.cast(pa.large_binary()).to_pylist(), start):
-                    other = numbered(wordsplit.split(body), known)
-                    rows += [i] * len(other)
-                    numbers += other.values()
-                    words_ += other
-                at = pa.array(rows, pa.int64())
-                place = pc.add(batch.column(1).take(at), pa.array(numbers, pa.int64()))
-                words_ = pa.array(words_, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), place, words_], names=["key", "place", "word"])
+                found = [places_of(body, known)[1] for body in texts.cast(pa.large_binary()).to_pylist()]
+                sizes = np.fromiter(map(len, found), np.int64, len(found))
+                at = pa.array(np.repeat(np.arange(start, start + len(found)), sizes))
+                numbers = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                place = pc.add(batch.column(1).take(at), pa.array(numbers))
+                words = pa.array([w for each in found for w in each], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), place, words], names=["key", "place", "word"])
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _dictionary(hot.value)
         for batch in batches:
             for start, texts in steps(batch.column(3)):
-                part, data = batch.slice(start, len(texts)), []
-                for body in texts.cast(pa.large_binary()).to_pylist():
-                    found = wordsplit.split(body)
-                    other = numbered(found, known)
-                    places = np.fromiter(map(known.get, found, repeat(MARK)), ID_TYPE, len(found))
-                    for at in np.flatnonzero(places == MARK).tolist():
-                        places[at] = MARK + other[found[at]]
-                    data.append(_press(places))
+                part = batch.slice(start, len(texts))
+                data = [_press(places_of(body, known)[0]) for body in texts.cast(pa.large_binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(data, pa.binary())], names=["key", "check", "row", "data"])
 
-    returned = (
-        packed.select("key", "check", "text")
-        .mapInArrow(others, "key long, place long, word string")
-        .join(words.select("word", "ids"), "word")
-        .select("key", "place", F.lit(None).cast(row_type).alias("row"), F.col("ids").alias("data"))
+    rare = packed.select("key", "check", "text").mapInArrow(others, "key long, place long, word string")
+    returned = encode_words(rare, vocabulary).select(
+        "key", "place", F.lit(None).cast(row_type).alias("row"), F.col("ids").alias("data")
     )
     kinds = StructType([*packed.schema.fields[:3], StructField("data", BinaryType())])
     bodies = packed.mapInArrow(marked, kinds).select("key", (F.col("check") + LAST).alias("place"), "row", "data")
@@ -281,4 +330,4 @@ def digests(encoded: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["count_words", "decode", "digests", "encode_documents", "piece_table", "word_table"]
+__all__ = ["count_words", "decode", "digests", "encode_documents", "encode_words", "frequent_words", "piece_table"]

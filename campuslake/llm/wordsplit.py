@@ -14,18 +14,26 @@ from functools import cache
 #: Latin letters in UTF-8 (ASCII after lower-casing, and U+00C0 to U+00FF without the two signs).
 _LETTERS = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++"
 _WORD = re.compile(_LETTERS + rb"(?=[.,;:!?*#$%&\x09-\x0d\x20]|\Z)|[^\x09-\x0d\x20]+")
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Special strings are matched before lower-casing, so a text with one keeps its case.
 _SPECIAL = b"<|"
 
 
+def pieces(text: bytes) -> list[bytes]:
+    """What white space separates in a text in UTF-8, lower-cased in ASCII."""
+    return (text if _SPECIAL in text else text.lower()).split()
+
+
+def words(piece: bytes) -> list[bytes]:
+    """The words of a piece; most pieces are one."""
+    return [piece] if piece.isalpha() else _WORD.findall(piece)
+
+
 def split(text: bytes) -> list[bytes]:
     """The words of a text in UTF-8, lower-cased in ASCII."""
-    return _WORD.findall(text if _SPECIAL in text else text.translate(_LOWER))
+    return _WORD.findall(text if _SPECIAL in text else text.lower())
 
 
-@cache
-def load(path: str):
+def fresh(path: str):
     """The tokenizer of a vocabulary file, without threads of its own, truncation or padding."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -36,5 +44,11 @@ def load(path: str):
     return tokenizer
 
 
+@cache
+def load(path: str):
+    """The one tokenizer of a vocabulary file in this process, for use as it is."""
+    return fresh(path)
+
+
 def encode(path: str, words: list[str]) -> list[list[int]]:
     return [e.ids for e in load(path).encode_batch(words, add_special_tokens=False)]
