@@ -26,6 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,27 +41,47 @@ END_ID = 2
 #: Keys of one index bucket on average, and of one displaced group.
 BUCKET_KEYS = 20_000
 GROUP_KEYS = 4
-#: Distinct words whose ids a task remembers, at most.
-REMEMBERED = 600_000
+NULL_KEY = np.uint64(0xA0761D6478BD642F)
+#: Pieces of text whose ids a task remembers before it forgets those it has not met for as many.
+REMEMBERED = 400_000
+
+
+class Ids(dict):
+    """Packed ids of what white space separates, encoded when first asked for.
+
+    The tokenizer encodes such pieces, and the words within them, independently of each other.
+    Pieces met often stay; of others as many as ``REMEMBERED`` are kept twice over at most.
+    """
+
+    def __init__(self, path: str, dtype: str):
+        self.encode, self.dtype = wordsplit.load(path).encode, np.dtype(dtype)
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, piece: bytes) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            words = wordsplit.words(piece)
+            if len(words) == 1:
+                ids = self.encode(piece.decode(), add_special_tokens=False).ids
+                found = np.array(ids, self.dtype).tobytes()
+            else:
+                found = b"".join([self[w] for w in words])
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = found
+        return found
 
 
 class WordEncoder:
-    """Encodes texts word by word and remembers the ids of words."""
+    """Encodes texts piece by piece."""
 
     def __init__(self, path: str, dtype: str):
-        self.path, self.dtype = path, np.dtype(dtype)
-        self.known: dict[bytes, bytes] = {}
+        self.known = Ids(path, dtype)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [wordsplit.split(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = list(set().union(*split).difference(self.known)) if split else []
-        if fresh:
-            for word, ids in zip(fresh, wordsplit.encode(self.path, [w.decode() for w in fresh])):
-                self.known[word] = np.array(ids, self.dtype).tobytes()
         find = self.known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+        return [b"".join(map(find, wordsplit.pieces(t))) for t in texts]
 
 
 @cache
@@ -132,8 +153,11 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, text: str = "text",
     )
 
 
-def key_hash(keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    return mix(mix(keys.astype(np.int64).view(np.uint64)) + numbers.astype(np.uint64))
+def key_hash(keys: pa.ChunkedArray, numbers: np.ndarray) -> np.ndarray:
+    """Hashes of (key, number); a null key differs from every other in a bit of its own."""
+    plain = pc.fill_null(keys, 0).to_numpy().astype(np.int64).view(np.uint64)
+    null = pc.is_null(keys).to_numpy(zero_copy_only=False)
+    return mix(mix(mix(plain) + null.astype(np.uint64) * NULL_KEY) + numbers.astype(np.uint64))
 
 
 def build_hash(hashes: np.ndarray) -> np.ndarray:
@@ -192,8 +216,7 @@ def build_index(manifest: DataFrame, bucket_keys: int = BUCKET_KEYS) -> tuple[Da
     n_buckets = max(1, -(-manifest.count() // bucket_keys))
 
     def build(table: pa.Table) -> pa.Table:
-        # A null key has its own place among the hashes.
-        hashes = key_hash(_keys(table), table.column("number").to_numpy())
+        hashes = key_hash(table.column("key"), table.column("number").to_numpy())
         if len(np.unique(hashes)) != len(hashes):
             raise ValueError("two keys have one hash")
         seeds = build_hash(hashes)
@@ -224,12 +247,6 @@ def build_index(manifest: DataFrame, bucket_keys: int = BUCKET_KEYS) -> tuple[Da
     return materialize(dealt.groupBy("bucket").applyInArrow(build, INDEX), "index"), n_buckets
 
 
-def _keys(table: pa.Table) -> np.ndarray:
-    import pyarrow.compute as pc
-
-    return pc.fill_null(table.column("key"), np.iinfo(np.int64).min + 1).to_numpy()
-
-
 FOUND = "key long, number int, file string, offset long, n_tokens long, start long"
 
 
@@ -244,7 +261,7 @@ def look_up(wanted: DataFrame, index: DataFrame, n_buckets: int) -> DataFrame:
         if not left.num_rows or not right.num_rows:
             return types.empty_table()
         row = right.slice(0, 1).to_pylist()[0]
-        hashes = key_hash(_keys(left), left.column("number").to_numpy())
+        hashes = key_hash(left.column("key"), left.column("number").to_numpy())
         at = find_slots(hashes, np.frombuffer(row["seeds"], np.uint32), row["n"])
         known = np.frombuffer(row["prints"], "<u4")[at] == fingerprints(hashes)
         left, at = left.filter(pa.array(known)), at[known]
