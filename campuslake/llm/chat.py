@@ -66,7 +66,7 @@ class Assembler:
     """Encodes turns with one vocabulary; the reserved ids follow its last id."""
 
     def __init__(self, path: str):
-        self.tokenizer = wordsplit.load(path)
+        self.tokenizer = wordsplit.fresh(path)  # its setting must not reach others in the worker
         self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.start, self.end = size, size + 1
