@@ -43,7 +43,7 @@ from .textarrays import ranges_hash, windows_hash
 #: Tokens of the shortest substring that counts as repeated: a power of two.
 RUN = 8
 #: Boilerplate recurs on so large a part of the distinct pages of its host, and on two at least.
-MIN_SHARE = 0.05
+MIN_SHARE = 0.1
 ARTICLE, OPEN, FURNITURE = 0, 1, 2
 #: While a page is read: an article in furniture that closes properly.
 HELD = 3

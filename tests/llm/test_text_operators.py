@@ -10,6 +10,7 @@ from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from campuslake.llm import (
     queries,
     surrogates,
     token_fst,
+    wordsplit,
 )
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -287,13 +289,13 @@ def test_id_files_read_back(spark, docs, empty):
 
 
 def test_perfect_hash_is_minimal_and_tells_strangers():
-    hashes = id_index.key_hash(np.arange(5000), np.zeros(5000, int))
+    hashes = id_index.key_hash(pa.array(np.arange(5000)), np.zeros(5000, int))
     seeds = id_index.build_hash(hashes)
     slots = id_index.find_slots(hashes, seeds, len(hashes))
     assert sorted(slots) == list(range(5000))
     prints = np.zeros(5000, np.uint32)
     prints[slots] = id_index.fingerprints(hashes)
-    others = id_index.key_hash(np.arange(10_000, 15_000), np.zeros(5000, int))
+    others = id_index.key_hash(pa.array(np.arange(10_000, 15_000)), np.zeros(5000, int))
     assert (prints[id_index.find_slots(others, seeds, 5000)] == id_index.fingerprints(others)).sum() == 0
 
 
@@ -521,3 +523,54 @@ def test_letters_of_any_script_and_dense_spaces_get_surrogates(spark):
 @pytest.mark.parametrize("ids", [[], [3], [255], [256, 1], [65535], [65536], [5, 2**32 - 1]])
 def test_ids_of_a_word_return_from_their_narrow_form(ids):
     assert bpe_words.widen(bpe_words.narrow(ids)) == np.array(ids, "<u4").tobytes()
+
+
+def test_texts_end_up_as_places_and_marks():
+    known = {b"the": 0, b"end.": 1, b"a": 2}
+    places, others = bpe_words.places_of(b"The end. a, other a.b the zzz! other", known)
+    marks = {w: bpe_words.MARK + i for i, w in enumerate(others)}
+    assert others == [b"!", b",", b".b", b"other", b"zzz"]
+    words = [b"the", b"end.", b"a", b",", b"other", b"a", b".b", b"the", b"zzz", b"!", b"other"]
+    assert places.tolist() == [known[w] if w in known else marks[w] for w in words]
+    assert [x.tolist() if hasattr(x, "tolist") else x for x in bpe_words.places_of(b"", known)] == [[], []]
+
+
+@pytest.mark.parametrize(("hot", "sample"), [(1, 1), (50, 3), (1 << 18, 50_000)])
+def test_what_is_broadcast_changes_no_ids(spark, hot, sample):
+    """A word of a kilobyte that stands in a third of the documents travels by document."""
+    long = "x" * 1000
+    rows = [(i, f"{long if i % 3 == 0 else ''} some words{i}, and more. {long}! {i}") for i in range(60)] + [(None, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = bpe_words.digests(bpe_words.encode_documents(frame, WORD_BPE, hot_words=hot, sample=sample)).collect()
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    want = bag((i, len(ids := tokenizer.encode(t or "", add_special_tokens=False).ids), sha(np.array(ids, "<u4").tobytes())) for i, t in rows)
+    assert bag((r["row"]["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in found) == want
+
+
+def test_chat_leaves_the_tokenizer_of_the_worker_as_it_is():
+    text = "a <|endoftext|> b"
+    before = wordsplit.encode(BYTE_BPE, [text]), wordsplit.encode(WORD_BPE, [text])
+    for path in (BYTE_BPE, WORD_BPE):
+        chat.Assembler(path)
+    assert (wordsplit.encode(BYTE_BPE, [text]), wordsplit.encode(WORD_BPE, [text])) == before
+    assert 50256 in before[0][0] and 49407 in before[1][0]
+
+
+def test_extreme_and_null_keys_in_one_index(spark):
+    edge = np.iinfo(np.int64).min
+    rows = [(None, "no key"), (edge + 1, "nearly least"), (edge, "least"), (0, "zero"), (None, "none again"), (-1, "x"), (2**63 - 1, "most")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = id_index.write_and_read_back(spark, frame, WORD_BPE).collect()
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    want = [(k, len(tokenizer.encode(t, add_special_tokens=False).ids) + 1) for k, t in rows]
+    assert bag((r["key"], r["n_tokens"]) for r in got) == bag(want)
+
+
+def test_the_encoder_forgets_only_what_it_can_encode_again(monkeypatch):
+    monkeypatch.setattr(id_index, "REMEMBERED", 7)
+    texts_ = [f"Word{i % 11}, and, {i % 5} l'été é{i}. x.y" for i in range(200)]
+    encode = id_index.WordEncoder(WORD_BPE, "<u2")
+    got = encode([t.encode() for t in texts_])
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts_]
+    assert len(encode.known) <= 8 and len(encode.known.older) <= 8
