@@ -17,12 +17,13 @@ within one edit (a word replaced, inserted or deleted).
 
 Defined results: lines without words are kept; a null text stays null and an empty one empty; a
 document that loses all lines with words has an empty result and ``n_kept`` 0; documents that
-share doc_id and text are the same document and have the same result; a null doc_id comes last.
+share doc_id and text are the same document and have the same result; a null doc_id comes last. The
+work on a line grows in proportion to its words, however long it is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -58,8 +59,9 @@ def lines_of(docs: DataFrame, text: str, key: str) -> DataFrame:
     exploded = _identified(docs.select(key, text), text, key).select(
         F.col(f"`{key}`").alias("id"), "rid", F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("no", "line")
     )
-    hashed = exploded.withColumn("hashes", F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))
-    hashed = hashed.where(F.size("hashes") > 0)
+    # Told before the words are taken, which a filter on these would do a second time.
+    worded = exploded.where(F.col("line").rlike(r"[^ \t\u000B\f\r]"))
+    hashed = worded.withColumn("hashes", F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))
     # Null ids last: the flag is compared first.
     at = F.struct(F.col("id").isNull().alias("late"), "id", "rid", "no")
     n = F.size("hashes")
@@ -70,38 +72,36 @@ def lines_of(docs: DataFrame, text: str, key: str) -> DataFrame:
 def _variants(candidates: DataFrame) -> DataFrame:
     """(key, whole, h, at): the deletion neighbourhood of each candidate.
 
-    The hash of a word list is the xor of its words' hashes with their places, so leaving out a
-    word takes one step: words before it keep their places, those behind it move up by one.
+    The hash of a word list is the xor of its words' hashes with their places, so what is left
+    without a word follows from sums over the words before it, which keep their places, and those
+    behind it, which move up by one: one row per word and one pass along the line.
     """
     zero = F.lit(0).cast("long")
 
-    def running(values: Column) -> Column:
-        return F.aggregate(
-            values, F.array(zero), lambda done, x: F.concat(done, F.array(F.element_at(done, -1).bitwiseXOR(x)))
-        )
-
-    placed = candidates.select(
-        "h", "at", "uneven", F.size("words").alias("n"),
-        F.transform("words", lambda w, i: F.xxhash64(w, i)).alias("own"),
-        F.transform("words", lambda w, i: F.xxhash64(w, i - 1)).alias("moved"),
-    )
-    summed = placed.withColumn("before", running(F.col("own"))).withColumn("behind", running(F.col("moved")))
-    total, last = F.element_at("before", -1), F.element_at("behind", -1)
+    def summed(shift: int) -> Column:
+        each = F.transform("words", lambda w, i: F.xxhash64(w, i - shift))
+        return F.aggregate(each, zero, lambda done, x: done.bitwiseXOR(x))
+
+    dealt = candidates.select(
+        "h", "at", "uneven", "words", F.size("words").alias("n"), summed(0).alias("total"), summed(1).alias("last")
+    ).repartition("h")  # before the rows become many
+    each = dealt.select("h", "at", "uneven", "n", "total", "last", F.posexplode("words").alias("i", "word"))
+    own, moved = F.xxhash64("word", "i"), F.xxhash64("word", F.col("i") - 1)
+    along = Window.partitionBy("h").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    passed = each.withColumns({"own": own, "moved": moved}).withColumns(
+        {"before": F.bit_xor("own").over(along).bitwiseXOR(F.col("own")), "until": F.bit_xor("moved").over(along)}
+    )
 
     def variant(whole: bool, *parts: Column) -> Column:
         return F.struct(F.xxhash64(*parts).alias("key"), F.lit(whole).alias("whole"))
 
-    swapped = F.transform("own", lambda x, i: variant(True, F.lit("swap"), F.col("n"), i, total.bitwiseXOR(x)))
-    shorter = F.transform(
-        "own",
-        lambda _, i: variant(
-            False, F.lit("drop"), F.col("n") - 1, F.get("before", i).bitwiseXOR(last).bitwiseXOR(F.get("behind", i + 1))
-        ),
-    )
-    itself = F.array(variant(True, F.lit("drop"), F.col("n"), total))
-    # Leaving out one of two equal neighbours leaves the same words; one key for them is enough.
-    every = F.when(F.col("uneven"), F.concat(swapped, F.array_distinct(shorter), itself)).otherwise(swapped)
-    return summed.select("h", "at", F.explode(every).alias("v")).select("v.key", "v.whole", "h", "at")
+    left = F.col("before").bitwiseXOR(F.col("last")).bitwiseXOR(F.col("until"))
+    swapped = variant(True, F.lit("swap"), F.col("n"), F.col("i"), F.col("total").bitwiseXOR(F.col("own")))
+    shorter = variant(False, F.lit("drop"), F.col("n") - 1, left)
+    itself = variant(True, F.lit("drop"), F.col("n"), F.col("total"))
+    first = F.array(swapped, shorter, itself)
+    every = F.when(~F.col("uneven"), F.array(swapped)).when(F.col("i") > 0, F.array(swapped, shorter)).otherwise(first)
+    return passed.select("h", "at", F.explode(every).alias("v")).select("v.key", "v.whole", "h", "at")
 
 
 def within_one_edit(a: Column, b: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from html.parser import HTMLParser
@@ -574,3 +575,16 @@ def test_the_encoder_forgets_only_what_it_can_encode_again(monkeypatch):
     tokenizer = Tokenizer.from_file(WORD_BPE)
     assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts_]
     assert len(encode.known) <= 8 and len(encode.known.older) <= 8
+
+
+def test_very_long_lines_take_time_in_proportion(spark):
+    words = [f"w{i % 5000}" for i in range(40_000)]
+    near = [*words[:20_000], "other", *words[20_001:]]
+    shorter = words[:-1]
+    far = [*words[:100], "x", "y", *words[102:]]
+    rows = [(i, " ".join(w)) for i, w in enumerate((words, near, far, shorter))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.monotonic()
+    kept = {r["row"]["doc_id"]: r["found"]["n_kept"] for r in line_dedup.deduplicate_lines(frame).collect()}
+    assert kept == {0: 1, 1: 0, 2: 1, 3: 0}
+    assert time.monotonic() - start < 30
