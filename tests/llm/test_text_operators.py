@@ -31,6 +31,7 @@ from campuslake.llm import (
     token_fst,
     wordsplit,
 )
+from campuslake.llm.textarrays import ranges_hash
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -588,3 +589,35 @@ def test_very_long_lines_take_time_in_proportion(spark):
     kept = {r["row"]["doc_id"]: r["found"]["n_kept"] for r in line_dedup.deduplicate_lines(frame).collect()}
     assert kept == {0: 1, 1: 0, 2: 1, 3: 0}
     assert time.monotonic() - start < 30
+
+
+def thue_morse(letters: tuple[str, str], doublings: int) -> tuple[str, str]:
+    """Two texts that differ everywhere and agree in every sum of letters times powers of two."""
+    a, b = letters
+    for _ in range(doublings):
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("letters", [("a", "b"), ("abcdefghij", "klmnopqrst"), ("some word ", "other text ")])
+def test_texts_arranged_by_halves_are_told_apart(spark, letters):
+    one, other = thue_morse(letters, 12)
+    data = np.frombuffer(f"{one}{other}{one}".encode(), np.uint8)
+    n = len(one)
+    hashes = ranges_hash(data, np.array([0, n, 2 * n]), np.array([n, 2 * n, 3 * n]))
+    assert hashes[0] == hashes[2] != hashes[1]
+    lines = quality_rules.statistics(spark.createDataFrame([(1, f"{one}\n{other}\n{one}")], "doc_id long, text string"), keep=["doc_id"])
+    assert lines.select("found.n_dup_lines").first()[0] == 1
+    docs = spark.createDataFrame([(1, one), (2, other), (3, one)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.linked_components(docs).collect()}
+    assert found == dict(expected_components([(1, one), (2, other), (3, one)]))
+
+
+def test_hashes_of_ranges_depend_on_their_bytes_alone():
+    data = np.frombuffer(b"abc abcdefgh\0\0 abcdefgh " + b"x" * 200 + b"y" + b"x" * 200, np.uint8)
+    ranges = [(0, 3), (4, 7), (4, 12), (15, 23), (4, 13), (4, 14), (24, 224), (225, 425), (24, 223), (0, 0), (5, 5), (24, 88), (24, 89), (225, 290)]
+    hashes = ranges_hash(data, *np.array(ranges).T)
+    words = [bytes(data[a:b]) for a, b in ranges]
+    for i, w in enumerate(words):
+        for j, v in enumerate(words):
+            assert (hashes[i] == hashes[j]) == (w == v)
