@@ -35,7 +35,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from . import wordsplit
 from .common import arrow_map, empty_arrow, steps
 
-HOT_WORDS = 1 << 18
+HOT_WORDS = 1 << 19
 HOT_BYTES = 48
 #: About so many documents are sampled for frequent words.
 SAMPLE_DOCUMENTS = 50_000

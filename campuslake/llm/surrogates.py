@@ -5,19 +5,25 @@ names like ``token``, and person names behind a form of address. Every distinct
 canonical form (addresses lower-cased, numbers as digits only), gets one surrogate from a keyed
 digest, wherever and however it is written, so mentions of one entity stay mentions of one.
 
+Given and family names are entities of their own, so a person has the same stand-in by full and by
+family name. In a document that names somebody behind a form of address, the family name is also
+replaced where it stands without one, and the given name where the family name follows.
+
 Surrogates keep type and format: digits stand for digits and separators stay, letters keep case
 and script, octets keep their number of digits, e-mail domains map domain by domain and keep the
-top level, names keep gender (told by the form of address) and script.
+top level, given names keep gender (told by the form of address) and names their script.
 
 Distinctness: surrogates are checked against each other and against all entities found; the
 smallest canonical form keeps a contested surrogate and the others draw again, until none is
-contested. After ``NARROW`` draws names, local parts, domains and octets may grow, so there are always
-new ones; numbers keep their count of digits, and only where these are all used up does the job
-stop. E-mail domains are entities of their own, distinct like all others.
+contested. After ``NARROW`` draws local parts, domains and octets may grow, after ``WIDE`` draws
+numbers and secrets as well, so there are always new ones. E-mail domains are entities of their own,
+distinct like all others.
 
 Only documents with entities are joined; all others pass by.
 
-Defined results: a null text stays null, an empty one empty; repeated rows get the same text.
+Defined results: a null text stays null, an empty one empty; repeated rows get the same text. No
+expression recurses or scans a text more than a bounded number of times, so texts of any length and
+any make pass; an address has a local part of 64 characters and a domain of 32 labels at most.
 """
 
 from __future__ import annotations
@@ -29,26 +35,47 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Draws after which at least one entity must have got its surrogate.
-DRAWS = 20
-#: Draws of the same length as the entity.
+#: Draws of the same length as the entity, for what may grow early and for the rest.
 NARROW = 8
+WIDE = 20
 
 LETTER = r"\p{L}"
-EMAIL = rf"[{LETTER}0-9][{LETTER}0-9._%+-]*@[{LETTER}0-9-]+(?:\.[{LETTER}0-9-]+)*\.\p{{L}}{{2,}}"
-SECRET = r"""(?<=[ \t=:"'])(?=[A-Za-z0-9+/_-]{12})(?:(?<=(?:token|secret|apikey|api_key|password|passwd) ?[=:] ?["']?)[A-Za-z0-9+/_-]{12,})"""
+EMAIL = rf"[{LETTER}0-9][{LETTER}0-9._%+-]{{0,63}}@[{LETTER}0-9-]{{1,63}}(?:\.[{LETTER}0-9-]{{1,63}}){{0,30}}\.\p{{L}}{{2,63}}"
+#: Names that secrets are assigned to, in any case.
+SECRETS = "token|secret|api[_-]?key|access[_-]?key|private[_-]?key|password|passwd|pwd"
+#: What is cheap comes first: few places follow a sign of assignment. Behind a colon a value has a digit.
+SECRET = (
+    r"""(?<=[=:][ \t"']{0,4})(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{8})(?:(?<==[ \t"']{0,4})|(?=[A-Za-z+/_-]{0,64}[0-9]))"""
+    rf"""(?<=(?i:{SECRETS})["']?[ \t]{{0,3}}[=:][ \t]{{0,3}}["']?)[A-Za-z0-9+/_-]{{8,}}"""
+)
 IP = r"(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}(?![0-9]|\.[0-9])"
-PHONE = r"(?<![0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-CARD = r"(?<![0-9.])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
-#: Forms of address, as they tell gender.
+#: With a country, with the area in parentheses, as three groups, and with a trunk zero.
+PHONE = "|".join(
+    (
+        r"(?<![0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
+        r"(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+        r"(?<![0-9.,+-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
+        r"(?<![0-9.,+-])0[0-9]{2,4}[ /-][0-9]{6,8}(?![0-9-])",
+    )
+)
+CARD = r"(?<![0-9.])(?:3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7})(?![0-9])"
+#: Forms of address, as they tell gender or not.
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Mlle", "Sra", "Señora", "г-жа", "κα")
 MALE = ("Mr", "Herr", "Monsieur", "Sr", "Señor", "г-н", "κ")
-#: The look ahead comes first: it is cheap and fails at most places.
-NAME = rf"(?=\p{{Lu}})(?<=(?<!{LETTER})(?:{'|'.join((*FEMALE, *MALE))})\.? )\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+)?"
+EITHER = ("Dr", "Prof", "Professor")
+WORD = r"\p{Lu}\p{L}+(?:-\p{Lu}\p{L}+)?"
+
+
+def _behind(forms: tuple[str, ...]) -> str:
+    """Names behind a form of address; the look ahead comes first: it is cheap and fails at most places."""
+    return rf"(?=\p{{Lu}})(?<=(?<!{LETTER})(?:{'|'.join(forms)})\.? ){WORD}(?: {WORD})?"
+
+
+NAME = _behind((*FEMALE, *MALE, *EITHER))
+#: A name that stands alone.
+ALONE = rf"(?<!{LETTER}){WORD}(?!{LETTER})"
 #: Types in the order in which they are tried.
 TYPES = {"email": EMAIL, "secret": SECRET, "ip": IP, "phone": PHONE, "card": CARD}
-FEMALE_NAME = NAME.replace("|".join((*FEMALE, *MALE)), "|".join(FEMALE))
-MALE_NAME = NAME.replace("|".join((*FEMALE, *MALE)), "|".join(MALE))
 ANY = "|".join([*TYPES.values(), NAME])
 
 #: Given names by gender and syllables of family names, by script.
@@ -131,7 +158,8 @@ def _octet(octet: Column, i: Column, seed: Column, draw: Column) -> Column:
     return (
         F.when((F.length(octet) == 1) & (draw < NARROW), number % 9 + 1)
         .when((F.length(octet) == 2) & (draw < NARROW), number % 90 + 10)
-        .otherwise(number % 155 + 100)
+        .when(draw < WIDE, number % 155 + 100)
+        .otherwise(number % 900 + 100)
         .cast("string")
     )
 
@@ -146,34 +174,39 @@ def _family(syllables: list[str], digest: Column, length: Column) -> Column:
 
 
 def _name(type_: Column, canonical: Column, seed: Column, draw: Column) -> Column:
-    digest = F.sha2(seed, 256)
-    script = _script(canonical)
+    """A given or family name; each further draw makes it a syllable longer, so there are always new ones."""
+    digest, script = F.sha2(seed, 256), _script(canonical)
     out = F.lit(None).cast("string")
-    two = canonical.rlike("[ -]")
-    for (kind, gender), given in GIVEN.items():
-        # Each further draw makes the family name a syllable longer, so there are always new ones.
-        family = _family(SYLLABLES[kind], digest, draw + 3)
-        full = F.when(two, F.concat(_pick(given, _number(digest, 0)), F.regexp_extract(canonical, "[ -]", 0), family)).otherwise(family)
-        out = F.when((script == kind) & type_.endswith(gender), full).otherwise(out)
+    for kind, syllables in SYLLABLES.items():
+        female, male = GIVEN[kind, "f"], GIVEN[kind, "m"]
+        first = _number(digest, 0)
+        given = F.when(type_ == "given_f", _pick(female, first)).when(type_ == "given_m", _pick(male, first))
+        more = F.when(draw > 0, F.lower(_family(syllables, digest, draw))).otherwise("")
+        named = F.concat(given.otherwise(_pick([*female, *male], first)), more)
+        out = F.when(script == kind, F.when(type_ == "family", _family(syllables, digest, draw + 3)).otherwise(named)).otherwise(out)
     return out
 
 
-def drawn(type_: Column, canonical: Column, key: str, draw: Column, place: Column) -> Column:
-    """The surrogate of a canonical entity at a draw; ``place`` is the surrogate of an address's domain."""
-    seed = F.concat_ws("|", F.lit(key), type_, canonical, draw.cast("string"))
+def drawn(type_: Column, canonical: Column, seed: Column, draw: Column, place: Column) -> Column:
+    """The surrogate of a canonical entity at a draw; ``place`` is the surrogate of an address's domain.
+
+    ``seed`` is a digest of key, type, entity and draw.
+    """
     # The longer it takes to find a free one, the more letters stand for the ones there are.
     longer = F.repeat(F.lit("a"), F.greatest(draw - NARROW + 1, F.lit(0)))
     local = F.concat(F.regexp_extract(canonical, "^(.*)@", 1), longer)
     domain = F.concat(F.regexp_extract(canonical, r"^(.*)\.[^.]*$", 1), longer)
     top = F.regexp_extract(canonical, r"\.[^.]*$", 0)
+    wide = F.greatest(draw - WIDE + 1, F.lit(0))
+    number = F.concat(canonical, F.repeat(F.lit("0"), wide))
     octets = F.array_join(F.transform(F.split(canonical, r"\."), lambda o, i: _octet(o, i, seed, draw)), ".")
     return (
         F.when(type_ == "email", F.concat(_redrawn(local, seed), F.lit("@"), place))
         .when(type_ == "domain", F.concat(_redrawn(domain, seed), top))
         .when(type_ == "ip", octets)
-        .when(type_.startswith("name"), _name(type_, canonical, seed, draw))
-        .when(canonical.rlike("^[0-9a-f]+$") & (type_ == "secret"), _redrawn(canonical, seed, ("abcdef", "0123456789")))
-        .otherwise(_redrawn(canonical, seed))
+        .when((type_ == "family") | type_.startswith("given"), _name(type_, canonical, seed, draw))
+        .when(canonical.rlike("^[0-9a-f]+$") & (type_ == "secret"), _redrawn(number, seed, ("abcdef", "0123456789")))
+        .otherwise(_redrawn(number, seed))
     )
 
 
@@ -184,25 +217,34 @@ def poured(entity: Column, type_: Column, surrogate: Column) -> Column:
     digits = F.transform(
         chars, lambda c, i: F.when(c.rlike("[0-9]"), F.substring(surrogate, upto(i), F.lit(1))).otherwise(c)
     )
-    return F.when(type_.isin("phone", "card"), F.array_join(digits, "")).otherwise(surrogate)
+    # Where numbers had to grow, the rest follows at the end.
+    rest = F.substring(surrogate, F.length(F.regexp_replace(entity, "[^0-9]", "")) + 1, F.length(surrogate))
+    return F.when(type_.isin("phone", "card"), F.concat(F.array_join(digits, ""), rest)).otherwise(surrogate)
 
 
 def _typed(found: DataFrame) -> DataFrame:
-    """(rid, entity, type, canonical) from (rid, before, entity)."""
+    """(rid, before, entity, i, type, canonical) from (rid, before, entity): names have a row for each word."""
     whole = {name: F.col("entity").rlike(f"^(?:{pattern})$") for name, pattern in TYPES.items() if name != "secret"}
     context = F.concat(F.col("before"), F.col("entity"))
-    kind = reduce(
-        lambda rest, name: F.when(whole[name], name).otherwise(rest),
-        ["card", "phone", "ip", "email"],
-        F.when(context.rlike(f"(?:{FEMALE_NAME})$"), "name_f").when(context.rlike(f"(?:{MALE_NAME})$"), "name_m").otherwise("secret"),
-    )
-    typed = found.withColumn("type", kind)
+    named = F.lit("secret")
+    for kind, forms in (("given_u", EITHER), ("given_m", MALE), ("given_f", FEMALE)):
+        named = F.when(context.rlike(f"(?:{_behind(forms)})$"), kind).otherwise(named)
+    kind = reduce(lambda rest, name: F.when(whole[name], name).otherwise(rest), ["card", "phone", "ip", "email"], named)
+    typed = found.withColumn("kind", kind)
     canonical = (
-        F.when(F.col("type").isin("phone", "card"), F.regexp_replace("entity", "[^0-9]", ""))
-        .when(F.col("type") == "email", F.lower("entity"))
+        F.when(F.col("kind").isin("phone", "card"), F.regexp_replace("entity", "[^0-9]", ""))
+        .when(F.col("kind") == "email", F.lower("entity"))
         .otherwise(F.col("entity"))
     )
-    return typed.withColumn("canonical", canonical)
+    words = F.split("entity", " ")
+    family = lambda word: F.struct(F.lit("family").alias("type"), word.alias("canonical"))
+    given = F.struct(F.col("kind").alias("type"), F.get(words, F.lit(0)).alias("canonical"))
+    person = F.when(F.size(words) > 1, F.array(given, family(F.get(words, F.lit(1))))).otherwise(F.array(family(F.get(words, F.lit(0)))))
+    plain = F.array(F.struct(F.col("kind").alias("type"), canonical.alias("canonical")))
+    parts = F.when(F.col("kind").startswith("given"), person).otherwise(plain)
+    return typed.select("rid", "before", "entity", F.posexplode(parts).alias("i", "part")).select(
+        "rid", "before", "entity", "i", "part.type", "part.canonical"
+    )
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -221,10 +263,12 @@ def _settled(entities: DataFrame, key: str) -> DataFrame:
     known = entities.select("type", F.col("canonical").alias("surrogate"))
     settled = None
     open_ = entities.withColumn("draw", F.lit(0))
-    draws = done = 0
     while True:
-        surrogate = drawn(F.col("type"), F.col("canonical"), key, F.col("draw"), F.col("place"))
-        tried = materialize(open_.withColumn("surrogate", surrogate), "drawn")
+        # Digested once, not again for every letter of a long entity.
+        seed = F.sha2(F.concat_ws("|", F.lit(key), "type", "canonical", F.col("draw").cast("string")), 256)
+        seeded = materialize(open_.withColumn("seed", seed), "seeded")
+        surrogate = drawn(F.col("type"), F.col("canonical"), F.col("seed"), F.col("draw"), F.col("place"))
+        tried = materialize(seeded.withColumn("surrogate", surrogate).drop("seed"), "drawn")
         taken = known if settled is None else known.unionByName(settled.select("type", "surrogate"))
         first = tried.groupBy("type", "surrogate").agg(F.min("canonical").alias("winner"))
         free = first.join(taken.distinct(), ["type", "surrogate"], "left_anti")
@@ -235,11 +279,6 @@ def _settled(entities: DataFrame, key: str) -> DataFrame:
         open_ = judged.where(~won).select("type", "canonical", "place", (F.col("draw") + 1).alias("draw"))
         if not open_.limit(1).count():
             return settled
-        draws += 1
-        if draws % DRAWS == 0:
-            before, done = done, settled.count()
-            if done == before:
-                raise RuntimeError(f"no distinct surrogate in {DRAWS} draws")
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -258,24 +297,61 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     )
     mentions = materialize(_typed(each.distinct()), "mentions")
     surrogates = assign(mentions.select("type", "canonical").distinct(), key)
-    given = mentions.join(surrogates, ["type", "canonical"]).select(
-        "rid", F.struct("entity", "before").alias("mention"), poured(F.col("entity"), F.col("type"), F.col("surrogate")).alias("put")
+    given = materialize(
+        mentions.join(surrogates, ["type", "canonical"]).select(
+            "rid", "entity", "before", "i", "type", "canonical",
+            poured(F.col("entity"), F.col("type"), F.col("surrogate")).alias("put"),
+        ),
+        "given",
+    )
+    words = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "put"))), lambda w: w["put"]), " ")
+    puts = given.groupBy("rid", "entity", "before").agg(words.alias("put"))
+    maps = puts.groupBy("rid").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("entity", "before").alias("mention"), "put"))).alias("puts")
     )
-    maps = given.groupBy("rid").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("mention", "put")))).alias("puts"))
-    joined = dirty.join(maps, "rid")
-    piece = F.transform(
-        "rest",
-        lambda rest, i: F.concat(
-            rest,
-            F.coalesce(
-                F.try_element_at(
-                    F.col("puts"), F.struct(F.get("found", i).alias("entity"), F.substring(rest, -16, 16).alias("before"))
-                ),
-                F.lit(""),
+    joined = dirty.join(maps, "rid").join(_persons(given), "rid", "left")
+    # What stands between entities, with the names of persons who are mentioned elsewhere.
+    named = F.col("families").isNotNull()
+    between = F.when(named, F.transform("rest", lambda r: _renamed(r)["text"])).otherwise(F.col("rest"))
+    further = F.when(named, F.aggregate("rest", F.lit(0), lambda n, r: n + _renamed(r)["n"])).otherwise(0)
+    piece = F.zip_with(
+        between,
+        F.transform(
+            "rest",
+            lambda rest, i: F.try_element_at(
+                F.col("puts"), F.struct(F.get("found", i).alias("entity"), F.substring(rest, -16, 16).alias("before"))
             ),
         ),
+        lambda rest, put: F.concat(rest, F.coalesce(put, F.lit(""))),
     )
     changed = joined.select(
-        F.col("row").withField(f"`{text}`", F.array_join(piece, "")).alias("row"), F.size("found").cast("long").alias("n_entities")
+        F.col("row").withField(f"`{text}`", F.array_join(piece, "")).alias("row"),
+        (F.size("found") + further).cast("long").alias("n_entities"),
     )
     return changed.unionByName(clean.withColumn("n_entities", F.lit(0).cast("long")))
+
+
+def _persons(given: DataFrame) -> DataFrame:
+    """(rid, families, givens): the stand-ins of the names that a document has, by name."""
+    names = given.where((F.col("type") == "family") | F.col("type").startswith("given"))
+    each = names.groupBy("rid", (F.col("type") == "family").alias("family"), "canonical").agg(F.min("put").alias("put"))
+
+    def of(family: bool) -> Column:
+        pairs = F.collect_list(F.when(F.col("family") == family, F.struct("canonical", "put")))
+        return F.map_from_entries(pairs)
+
+    return each.groupBy("rid").agg(of(True).alias("families"), of(False).alias("givens"))
+
+
+def _renamed(text: Column) -> Column:
+    """(text, n): family names of the document's persons replaced, and given names before them."""
+    words, between = F.regexp_extract_all(text, F.lit(ALONE), F.lit(0)), F.split(text, ALONE, -1)
+
+    def new(i: Column) -> Column:
+        follows = (F.get(between, i + 1) == " ") & F.map_contains_key(F.col("families"), F.coalesce(F.get(words, i + 1), F.lit("")))
+        word = F.coalesce(F.get(words, i), F.lit(""))
+        return F.coalesce(F.try_element_at(F.col("families"), word), F.when(follows, F.try_element_at(F.col("givens"), word)))
+
+    parts = F.transform(between, lambda b, i: F.concat(b, F.coalesce(new(i), F.get(words, i), F.lit(""))))
+    count = F.aggregate(F.sequence(F.lit(0), F.size(words)), F.lit(0), lambda n, i: n + F.when(new(i).isNotNull(), 1).otherwise(0))
+    return F.struct(F.array_join(parts, "").alias("text"), count.alias("n"))

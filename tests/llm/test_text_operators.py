@@ -500,12 +500,68 @@ def test_surrogates(spark, empty, plan):
 
 def test_contested_surrogates_are_drawn_again(spark):
     digits = spark.range(90).select(F.lit("card").alias("type"), F.lpad(F.col("id").cast("string"), 2, "0").alias("canonical"))
-    with pytest.raises(RuntimeError):  # 90 of 100 forms are entities: too few are left
-        surrogates.assign(digits, "k")
-    few = digits.where("canonical < '25'")
-    out = surrogates.assign(few, "k").collect()
-    drawn = [r["surrogate"] for r in out]
-    assert len(set(drawn)) == 25 and not set(drawn) & {r["canonical"] for r in out}
+    for some, longest in ((digits.where("canonical < '25'"), 2), (digits, 9)):  # 90 of 100 forms are entities: some grow
+        out = surrogates.assign(some, "k").collect()
+        drawn = [r["surrogate"] for r in out]
+        assert len(set(drawn)) == some.count() and not set(drawn) & {r["canonical"] for r in out}
+        assert max(map(len, drawn)) <= longest
+    grown = surrogates.poured(F.lit("12-34"), F.lit("card"), F.lit("567890")).alias("p")
+    assert spark.range(1).select(grown).first()["p"] == "56-7890"
+
+
+def test_hostile_texts_pass(spark):
+    texts_ = [
+        "x a@" + "b." * 2000 + "b", "a." * 300_000, "x a@" + "b" * 200_000 + ".com", "token=" + "q" * 300_000 + "1",
+        "+1 " * 50_000, "1" * 200_000, "Mr. " * 50_000, "Mr. " + "A" + "b" * 200_000, '"' * 100_000 + "=" * 100_000, "0-" * 100_000,
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    start = time.monotonic()
+    out = {r["row"]["doc_id"]: r["row"]["text"] for r in surrogates.replace_entities(frame, "k").collect()}
+    assert set(out) == set(range(len(texts_))) and out[1] == texts_[1] and out[3] != texts_[3]
+    assert time.monotonic() - start < 60
+
+
+FORMS = {
+    "API_KEY=AbCd1234efgh": "AbCd1234efgh", "PASSWORD=correcthorse": "correcthorse", '{"token": "a1b2c3d4e5"}': "a1b2c3d4e5",
+    "Secret : 'zz99yy88xx'": "zz99yy88xx", "call 487-555-7209 now": "487-555-7209", "ring 030 1234567": "030 1234567",
+    "card 3782 822463 10005.": "3782 822463 10005", "call 487.555.7209": "487.555.7209",
+}
+PLAIN = [
+    "password: required", "the token of the secret", "2024-01-02 03:04", "pages 120-130 and 1234567", "version 1.2.3", "token economy: everything",
+    "ISBN 978-3-16-148410-0", "0.123 456789", "Doe and John Doe are fish",
+]
+
+
+def test_written_forms_are_found_and_plain_text_stays(spark):
+    rows = [*FORMS, *PLAIN]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = {r["row"]["doc_id"]: (r["row"]["text"], r["n_entities"]) for r in surrogates.replace_entities(frame, "k").collect()}
+    for i, (text, entity) in enumerate(FORMS.items()):
+        new, n = out[i]
+        head, tail = text.split(entity)
+        assert n == 1 and new.startswith(head) and new.endswith(tail) and entity not in new
+        put = new[len(head) : len(new) - len(tail)]
+        assert [c.isdigit() for c in put] == [c.isdigit() for c in entity] and len(put) == len(entity)
+    assert [out[len(FORMS) + i] for i in range(len(PLAIN))] == [(t, 0) for t in PLAIN]
+
+
+def test_persons_keep_one_name_in_a_document(spark):
+    rows = [
+        (1, "Mr. John Doe came. Later John Doe left; Doe was tired. Mr. Doe and Mrs. Jane Doe slept. John stayed, Doer too."),
+        (2, "Dr. Jane Roe-Smith and Roe-Smith; Doe is a deer."), (3, "Ms. Jane Doe"), (4, "Herr Doe, Yesterday John Doe"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = {r["row"]["doc_id"]: (r["row"]["text"], r["n_entities"]) for r in surrogates.replace_entities(frame, "k").collect()}
+    m = re.fullmatch(
+        r"Mr\. (\w+) (\w+) came\. Later (\w+) (\w+) left; (\w+) was tired\. Mr\. (\w+) and Mrs\. (\w+) (\w+) slept\. John stayed, Doer too\.", out[1][0]
+    )
+    john, doe, jane = m[1], m[2], m[7]
+    assert m.groups() == (john, doe, john, doe, doe, doe, jane, doe) and len({john, doe, jane, "John", "Doe", "Jane"}) == 6
+    assert out[1][1] == 6 and john in surrogates.GIVEN["latin", "m"] and jane in surrogates.GIVEN["latin", "f"]
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) and (\w+); Doe is a deer\.", out[2][0])
+    assert m[2] == m[3] not in ("Roe-Smith", doe) and out[2][1] == 2
+    assert out[3][0] == f"Ms. {jane} {doe}"
+    assert out[4] == (f"Herr {doe}, Yesterday John {doe}", 2)
 
 
 def test_letters_of_any_script_and_dense_spaces_get_surrogates(spark):
