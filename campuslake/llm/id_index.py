@@ -23,6 +23,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -43,29 +44,25 @@ BUCKET_KEYS = 20_000
 GROUP_KEYS = 4
 NULL_KEY = np.uint64(0xA0761D6478BD642F)
 #: Pieces of text whose ids a task remembers before it forgets those it has not met for as many.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 class Ids(dict):
     """Packed ids of what white space separates, encoded when first asked for.
 
-    The tokenizer encodes such pieces, and the words within them, independently of each other.
-    Pieces met often stay; of others as many as ``REMEMBERED`` are kept twice over at most.
+    The tokenizer encodes such pieces independently of each other. Pieces met often stay; of others
+    as many as ``REMEMBERED`` are kept twice over at most.
     """
 
     def __init__(self, path: str, dtype: str):
-        self.encode, self.dtype = wordsplit.load(path).encode, np.dtype(dtype)
+        self.encode, self.letter = wordsplit.load(path).encode, np.dtype(dtype).char
         self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, piece: bytes) -> bytes:
         found = self.older.get(piece)
         if found is None:
-            words = wordsplit.words(piece)
-            if len(words) == 1:
-                ids = self.encode(piece.decode(), add_special_tokens=False).ids
-                found = np.array(ids, self.dtype).tobytes()
-            else:
-                found = b"".join([self[w] for w in words])
+            ids = self.encode(piece.decode(), add_special_tokens=False).ids
+            found = pack(f"<{len(ids)}{self.letter}", *ids)
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
