@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..operators.joins import split_join
 from .common import annotate, arrow_map, materialize, steps
 from .components import components
 from .textarrays import Texts, mix, windows_hash
@@ -330,7 +331,8 @@ def _tiled(candidates: DataFrame, tile_shingles: int) -> DataFrame:
     """Candidates (class, n, comp) with band, salt, and the tile numbers of their band and the next."""
     weight = F.greatest(F.col("n"), F.least(F.lit(LEAST_WEIGHT), F.lit(tile_shingles)))
     total = candidates.groupBy("comp").agg(F.sum(weight).alias("total"))
-    sized = candidates.join(total, "comp").withColumn(
+    # One component may hold most candidates, so they are spread by their classes.
+    sized = split_join(candidates, total, "comp", "class").withColumn(
         "band", F.when(F.col("total") <= tile_shingles, F.lit(-1).cast("long")).otherwise(_band("n"))
     )
     tiles = sized.groupBy("comp", "band").agg(
@@ -342,8 +344,11 @@ def _tiled(candidates: DataFrame, tile_shingles: int) -> DataFrame:
     known = known.where("band >= 0").unionByName(
         tiles.where("band < 0").select("comp", "band", "tiles", F.lit(None).cast("long").alias("tiles_up"), F.lit(None).cast("long").alias("tiles_down"))
     )
+    place = F.struct("comp", "band").alias("place")
+    known = known.select(place, "tiles", "tiles_up", "tiles_down")
     return (
-        sized.join(known, ["comp", "band"])
+        split_join(sized.withColumn("place", place), known, "place", "class")
+        .drop("place")
         .withColumn("salt", F.pmod(F.xxhash64("class"), F.col("tiles")))
         .fillna(0, ["tiles_up", "tiles_down"])
     )
@@ -451,14 +456,18 @@ def linked_components(
     if many.limit(1).count():
         links = links.unionByName(_second_links(many, links, texts))
     parts = components(links).select(F.col("node").alias("class"), "root")
-    labelled = known.join(parts, "class", "left").withColumn(
-        "part", F.coalesce("root", "class")
+    placed = materialize(
+        heads.join(parts, "class", "left").select("class", "doc_id", F.coalesce("root", "class").alias("part")), "parts"
     )
-    named = labelled.where(F.col("part").isNotNull()).groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    extra = ["class", "part"] if with_class else []
-    return labelled.join(named, "part", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *extra
+    named = placed.groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    # A part may hold most classes and a class most documents: both are spread over tasks.
+    ids = split_join(placed, named, "part", "class").select("class", "part", "component_id")
+    linked = split_join(known, ids, "class", "doc_id").select("doc_id", "n_shingles", "component_id", "class", "part")
+    alone = known.where(F.col("class").isNull()).select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "class", F.lit(None).cast("long").alias("part")
     )
+    whole = linked.unionByName(alone)
+    return whole if with_class else whole.select("doc_id", "n_shingles", "component_id")
 
 
 def _texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
