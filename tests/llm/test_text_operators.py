@@ -677,3 +677,17 @@ def test_hashes_of_ranges_depend_on_their_bytes_alone():
     for i, w in enumerate(words):
         for j, v in enumerate(words):
             assert (hashes[i] == hashes[j]) == (w == v)
+
+
+def test_documents_without_ids_get_results_too(spark):
+    rows = [(None, "alpha beta gamma delta epsilon zeta eta theta iota kappa"), (None, None), (None, ""), (3, "one two\none two")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([("b", rows[0][1]), (None, None)], "item_id string, text string")
+    hits = decontamination.find_contamination(frame, bench, keep=["doc_id"]).select("row.doc_id", "found.n_words", "found.items").collect()
+    assert bag((r[0], r[1], tuple(r[2])) for r in hits) == bag([(None, 10, ("b",)), (None, 0, ()), (None, 0, ()), (3, 4, ())])
+    lines = line_dedup.deduplicate_lines(frame).select("row.doc_id", "row.text", "found.n_lines", "found.n_kept").collect()
+    assert bag(map(tuple, lines)) == bag([(None, rows[0][1], 1, 1), (None, None, 0, 0), (None, "", 0, 0), (3, "one two", 2, 1)])
+    counts = quality_rules.statistics(frame, keep=["doc_id"]).select("row.doc_id", "found.n_words", "found.n_dup_lines").collect()
+    assert bag(map(tuple, counts)) == bag([(None, 10, 0), (None, 0, 0), (None, 0, 0), (3, 4, 1)])
+    tokens = token_fst.count_tokens(frame, BYTE_BPE, keep=["doc_id"]).select("row.doc_id", "found.n_bytes").collect()
+    assert bag(map(tuple, tokens)) == bag([(None, len(rows[0][1])), (None, 0), (None, 0), (3, 15)])
