@@ -13,7 +13,8 @@ fewer words). Two documents link when their sets' Jaccard similarity is 0.8 or m
    to the smaller set: where few classes share a key their pairs are counted, and pairs with too
    few shared keys fall out. Where many share one, in order of their sizes, each is tied to the
    first of a run of sizes that could link, whatever the count. Components of these ties contain
-   whole components of links.
+   whole components of links. Classes that share a very frequent key are tied within their batch
+   already, and only the first of each run there, with the range of its sizes, meets the others.
 3. Each candidate component is cut into tiles by size band and, within a band, by hash, each
    of bounded total size, and tiles of bands that can link are compared: parity bitmaps of
    hashed shingles bound the symmetric difference from below and so the overlap from above;
@@ -55,6 +56,8 @@ FREQUENT = 1_000_000
 BITMAP_BITS = 24
 #: Classes with one key whose pairs are counted; with more of them they are tied together.
 FEW = 8
+#: A shingle in so many documents, as a binary logarithm, is tied within batches before its rows meet.
+HOT_GRADE = 14
 #: A set shows one more key for so many shingles, and a pair must then share one more.
 SPARE = 20
 #: Shingles of neighbouring documents that are counted together.
@@ -160,11 +163,39 @@ def shared_keys(n):
     return 1 + n // SPARE
 
 
-def _keys(docs: DataFrame, frequent) -> DataFrame:
-    """(key, n, class) for the first shingles of every set."""
+def local_runs(key: np.ndarray, n: np.ndarray, c: np.ndarray) -> dict[str, np.ndarray]:
+    """Rows of frequent keys as runs of sizes that could link, and ties of their members to the first.
+
+    A run is (key, n, hi, class, head) with its smallest and largest size and its first class as
+    class and head; a tie has size 0, a class and its head, and stands under the class.
+    """
+    order = np.lexsort((c, n, key))
+    key, n, c = key[order], n[order], c[order]
+    first = np.ones(len(key), bool)
+    first[1:] = (key[1:] != key[:-1]) | (DENOMINATOR * n[:-1] < NUMERATOR * n[1:])
+    starts = np.flatnonzero(first)
+    head = c[starts][np.cumsum(first) - 1]
+    hi = n[np.append(starts[1:], len(n)) - 1]
+    member = ~first & (head != c)
+    none = np.zeros(member.sum(), np.int64)
+    return {
+        "key": np.concatenate([key[starts], c[member]]),
+        "n": np.concatenate([n[starts], none]),
+        "hi": np.concatenate([hi, none]),
+        "class": np.concatenate([c[starts], c[member]]),
+        "head": np.concatenate([c[starts], head[member]]),
+    }
+
+
+KEYS = "key long, n long, hi long, class long, head long"
+
+
+def _keys(docs: DataFrame, frequent, hot_grade: int = HOT_GRADE) -> DataFrame:
+    """(key, n, hi, class, head) for the first shingles of every set; ``head`` is null but for ``local_runs``."""
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         often, grades = frequent.value
+        held: list[tuple] = []
         for _, texts in steps(batch.column(0)):
             values, bounds = shingle_sets(texts)
             n = np.diff(bounds)
@@ -183,15 +214,25 @@ def _keys(docs: DataFrame, frequent) -> DataFrame:
             digests = set_hash(values, bounds)
             keys, sizes, digests = values[picked], n[owners[picked]], digests[owners[picked]]
             _, once = np.unique(mix(keys + mix(digests)), return_index=True)  # copies show a key once
-            yield {"key": signed(keys[once]), "n": sizes[once], "class": signed(digests[once])}
+            keys, sizes, digests = signed(keys[once]), sizes[once], signed(digests[once])
+            hot = grade[picked][once] >= hot_grade
+            if hot.any():
+                held.append((keys[hot], sizes[hot], digests[hot]))
+            rest = ~hot
+            yield {"key": keys[rest], "n": sizes[rest], "hi": sizes[rest], "class": digests[rest], "head": pa.nulls(int(rest.sum()), pa.int64())}
+        if held:
+            yield local_runs(*map(np.concatenate, zip(*held)))
 
-    return arrow_map(docs.select("text"), cut, "key long, n long, class long")
+    return arrow_map(docs.select("text"), cut, KEYS)
 
 
 def _ties(keys: DataFrame) -> DataFrame:
     """(a, b) of classes that may link; components of these hold whole components of links."""
     types = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("need", pa.int64())])
 
+    def tied_rows(x, y, need) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(need)], schema=types)
+
     def pairs(key, n, c, few) -> Iterator[pa.RecordBatch]:
         """All pairs that could link by size, where few classes share the key."""
         for step in range(1, FEW):
@@ -199,13 +240,12 @@ def _ties(keys: DataFrame) -> DataFrame:
             i = i[(DENOMINATOR * n[i] >= NUMERATOR * n[i + step]) & (c[i] != c[i + step])]
             if not len(i):
                 break
-            a, b = np.minimum(c[i], c[i + step]), np.maximum(c[i], c[i + step])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(shared_keys(n[i]))], schema=types)
+            yield tied_rows(c[i], c[i + step], shared_keys(n[i]))
 
-    def stars(key, n, c, many, held) -> tuple[np.ndarray, pa.RecordBatch]:
+    def stars(key, n, top, c, many, held) -> tuple[np.ndarray, pa.RecordBatch]:
         """Each class with the first of its run of sizes; ``held`` is the last row before these."""
         joined = np.zeros(len(key), bool)
-        joined[1:] = (key[1:] == key[:-1]) & (DENOMINATOR * n[:-1] >= NUMERATOR * n[1:])
+        joined[1:] = (key[1:] == key[:-1]) & (DENOMINATOR * top[:-1] >= NUMERATOR * n[1:])
         if held is not None:
             joined[0] = key[0] == held[0] and DENOMINATOR * held[1] >= NUMERATOR * n[0]
         heads = np.maximum.accumulate(np.where(joined, 0, np.arange(len(key))))
@@ -213,38 +253,52 @@ def _ties(keys: DataFrame) -> DataFrame:
         if joined[0]:
             roots[: len(joined) if joined.all() else int(np.argmin(joined))] = held[2]
         use = many & (roots != c)
-        a, b = np.minimum(roots[use], c[use]), np.maximum(roots[use], c[use])
-        return roots, pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), np.int64))], schema=types)
+        return roots, tied_rows(roots[use], c[use], np.zeros(use.sum(), np.int64))
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows of a key that may go on in the next batch wait there, unless they are many
         # already: then the last of them and the head of its run are enough.
-        waiting = [np.zeros(0, np.int64)] * 3
+        waiting = [np.zeros(0, np.int64)] * 5
         held: tuple[int, int, int] | None = None
 
         def done(rows, held, last: bool):
-            key, n, c = rows
+            key, n, hi, c, run = rows
             fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (c[1:] != c[:-1])
-            key, n, c = key[fresh], n[fresh], c[fresh]
+            fresh[1:] = (key[1:] != key[:-1]) | (c[1:] != c[:-1]) | (run[1:] > 0) | (run[:-1] > 0)
+            key, n, hi, c, run = (x[fresh] for x in (key, n, hi, c, run))
             cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            lengths = np.diff(np.append(cuts, len(key)))
+            # Where runs meet the classes are many, whatever the rows.
+            lengths = np.diff(np.append(cuts, len(key))) + (FEW + 1) * np.maximum.reduceat(run, cuts)
             if held is not None and key[0] == held[0]:
                 lengths[0] += FEW + 1
-            wait = [x[len(x) :] for x in (key, n, c)]
+            wait = [x[len(x) :] for x in (key, n, hi, c, run)]
             if not last and lengths[-1] <= FEW:
-                wait = [x[cuts[-1] :] for x in (key, n, c)]
-                key, n, c = (x[: cuts[-1]] for x in (key, n, c))
+                wait = [x[cuts[-1] :] for x in (key, n, hi, c, run)]
+                key, n, hi, c = (x[: cuts[-1]] for x in (key, n, hi, c))
                 lengths = lengths[:-1]
             if not len(key):
                 return wait, held, []
-            many = np.repeat(lengths > FEW, np.diff(np.append(cuts[: len(lengths)], len(key))))
-            roots, star = stars(key, n, c, many, held)
-            held = (int(key[-1]), int(n[-1]), int(roots[-1])) if many[-1] else None
+            own = cuts[: len(lengths)]
+            sizes = np.diff(np.append(own, len(key)))
+            many = np.repeat(lengths > FEW, sizes)
+            # The largest size so far of each key.
+            group = np.repeat(np.arange(len(own)), sizes) << 40
+            top = np.maximum.accumulate(group + hi) - group
+            if held is not None and key[0] == held[0]:
+                top[: sizes[0]] = np.maximum(top[: sizes[0]], held[1])
+            roots, star = stars(key, n, top, c, many, held)
+            held = (int(key[-1]), int(top[-1]), int(roots[-1])) if many[-1] else None
             return wait, held, [*pairs(key, n, c, ~many), star]
 
         for batch in batches:
-            rows = [np.concatenate([w, batch.column(i).to_numpy()]) for i, w in enumerate(waiting)]
+            key, n, hi, c = (batch.column(i).to_numpy() for i in range(4))
+            head = batch.column(4)
+            ready = n == 0
+            if ready.any():
+                heads = head.filter(pa.array(ready)).to_numpy()
+                yield tied_rows(heads, c[ready], np.zeros(len(heads), np.int64))
+            run = head.is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
+            rows = [np.concatenate([w, x[~ready]]) for w, x in zip(waiting, (key, n, hi, c, run))]
             if len(rows[0]):
                 waiting, held, out = done(rows, held, last=False)
                 yield from out
@@ -434,14 +488,18 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
 
 
 def linked_components(
-    docs: DataFrame, tile_shingles: int = TILE_SHINGLES, frequent: int = FREQUENT, with_class: bool = False
+    docs: DataFrame,
+    tile_shingles: int = TILE_SHINGLES,
+    frequent: int = FREQUENT,
+    with_class: bool = False,
+    hot_grade: int = HOT_GRADE,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = materialize(classes_of(docs), "classes")
     often = spark.sparkContext.broadcast(frequent_shingles(docs, frequent))
-    chained = components(_ties(_keys(docs, often)))
+    chained = components(_ties(_keys(docs, often, hot_grade)))
     # One document stands for its class; its text is all that the comparison needs.
     heads = known.where(F.col("class").isNotNull()).groupBy("class").agg(
         F.min("n_shingles").alias("n"), F.min("doc_id").alias("doc_id")
