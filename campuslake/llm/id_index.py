@@ -22,7 +22,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 from struct import pack
 
 import numpy as np
@@ -30,60 +30,64 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sinks.storage import scratch_folder
-from . import wordsplit
+from . import bpe_words, wordsplit
 from .common import arrow_map, materialize, steps
 from .textarrays import mix
 
 END_ID = 2
+#: Frequent pieces that every task knows from the start.
+FREQUENT = 1 << 18
 #: Keys of one index bucket on average, and of one displaced group.
 BUCKET_KEYS = 20_000
 GROUP_KEYS = 4
 NULL_KEY = np.uint64(0xA0761D6478BD642F)
-#: Pieces of text whose ids a task remembers before it forgets those it has not met for as many.
-REMEMBERED = 250_000
+#: Pieces of text that are not among the frequent ones and whose ids a task remembers for a while.
+REMEMBERED = 200_000
 
 
 class Ids(dict):
-    """Packed ids of what white space separates, encoded when first asked for.
+    """Packed ids of what white space separates; the tokenizer encodes such pieces independently.
 
-    The tokenizer encodes such pieces independently of each other. Pieces met often stay; of others
-    as many as ``REMEMBERED`` are kept twice over at most.
+    Holds the frequent pieces. Others are encoded when met and kept until there are ``REMEMBERED``.
     """
 
-    def __init__(self, path: str, dtype: str):
-        self.encode, self.letter = wordsplit.load(path).encode, np.dtype(dtype).char
-        self.older: dict[bytes, bytes] = {}
+    def __init__(self, path: str, dtype: str, frequent: pa.Table):
+        kind = np.dtype(dtype)
+        words = frequent.column("word").cast(pa.binary()).to_pylist()
+        ids = (np.frombuffer(i, bpe_words.ID_TYPE).astype(kind).tobytes() for i in frequent.column("ids").to_pylist())
+        super().__init__(zip(words, ids))
+        self.encode, self.letter = wordsplit.load(path).encode, kind.char
+        self.others: dict[bytes, bytes] = {}
 
     def __missing__(self, piece: bytes) -> bytes:
-        found = self.older.get(piece)
+        found = self.others.get(piece)
         if found is None:
             ids = self.encode(piece.decode(), add_special_tokens=False).ids
             found = pack(f"<{len(ids)}{self.letter}", *ids)
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        self[piece] = found
+            if len(self.others) >= REMEMBERED:
+                self.others.clear()
+            self.others[piece] = found
         return found
 
 
 class WordEncoder:
     """Encodes texts piece by piece."""
 
-    def __init__(self, path: str, dtype: str):
-        self.known = Ids(path, dtype)
+    def __init__(self, path: str, dtype: str, frequent: pa.Table):
+        self.known = Ids(path, dtype, frequent)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         find = self.known.__getitem__
         return [b"".join(map(find, wordsplit.pieces(t))) for t in texts]
 
 
-@cache
-def _encoder(path: str, dtype: str) -> WordEncoder:
-    return WordEncoder(path, dtype)
+@lru_cache(maxsize=1)
+def _encoder(path: str, dtype: str, frequent: bytes) -> WordEncoder:
+    return WordEncoder(path, dtype, bpe_words.unpacked(frequent))
 
 
 def id_type(vocabulary: str) -> str:
@@ -104,16 +108,21 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, text: str = "text",
     # Rows of one key may be split over shards by their text.
     ranged = source.repartitionByRange(F.col("key").asc_nulls_first(), F.xxhash64("text"))
     ordered = ranged.sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text"), "text")
-    ddl = "key long, shard int, file string, offset long, n_tokens long"
+    ddl = "key long, shard int, file string, offset long, n_tokens long, place long"
+
+    # Bounded; it decides only how much is encoded more than once.
+    table = bpe_words.frequent_words(source, vocabulary, "text", FREQUENT, bpe_words.SAMPLE_DOCUMENTS)
+    frequent = docs.sparkSession.sparkContext.broadcast(bpe_words.packed(table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary, dtype)
+        encode = _encoder(vocabulary, dtype, frequent.value)
         end = np.array([end_id], dtype).tobytes()
         shard = TaskContext.get().partitionId()
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}.ids"
         files, base = _file_system(folder)
         sink, written = None, 0
         held: list[pa.RecordBatch] = []
+        places = Places()
         for batch in batches:
             for start, texts in steps(batch.column(1)):
                 if sink is None:
@@ -129,9 +138,9 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, text: str = "text",
                     pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).slice(start, n), pa.array([shard] * n, pa.int32()), pa.array([name] * n),
-                            pa.array(offsets), pa.array(counts),
+                            pa.array(offsets), pa.array(counts), pa.array(places(batch.column(0).slice(start, n))),
                         ],
-                        names=["key", "shard", "file", "offset", "n_tokens"],
+                        names=["key", "shard", "file", "offset", "n_tokens", "place"],
                     )
                 )
         if sink is not None:
@@ -140,16 +149,56 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, text: str = "text",
         yield from held
 
     manifest = materialize(ordered.mapInArrow(run, ddl), "manifest")
-    # One row per shard: the ids of all shards before it.
-    sizes = manifest.groupBy("shard").agg(F.sum("n_tokens").alias("size"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("shard", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    numbered = F.row_number().over(Window.partitionBy("key").orderBy("shard", "offset")) - 1
-    return manifest.join(bases, "shard").select(
-        "key", numbered.alias("number"), "shard", "file", "offset", "n_tokens", (F.col("base") + F.col("offset")).alias("start")
+    # One row per shard, as many as there are tasks.
+    shards = manifest.groupBy("shard").agg(
+        F.sum("n_tokens").alias("size"),
+        F.min_by("key", "offset").alias("first"),
+        F.max_by("key", "offset").alias("last"),
+        (F.max_by("place", "offset") + 1).alias("last_rows"),
+    )
+    bases = docs.sparkSession.createDataFrame(
+        shard_bases(sorted(shards.collect(), key=lambda r: r["shard"])), "shard int, base long, first long, carried long"
+    )
+    number = F.col("place") + F.when(F.col("key").eqNullSafe(F.col("first")), F.col("carried")).otherwise(0)
+    return manifest.join(F.broadcast(bases), "shard").select(
+        "key", number.cast("int").alias("number"), "shard", "file", "offset", "n_tokens", (F.col("base") + F.col("offset")).alias("start")
     )
 
 
+class Places:
+    """How many rows of its key stand before each row of sorted keys, over several batches."""
+
+    def __init__(self):
+        self.key, self.count = object(), 0
+
+    def __call__(self, keys: pa.Array) -> np.ndarray:
+        n = len(keys)
+        if not n:
+            return np.zeros(0, np.int64)
+        null = keys.is_null().to_numpy(zero_copy_only=False)
+        plain = pc.fill_null(keys, 0).to_numpy()
+        fresh = np.ones(n, bool)
+        fresh[1:] = (plain[1:] != plain[:-1]) | (null[1:] != null[:-1])
+        out = np.arange(n) - np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+        if keys[0].as_py() == self.key:
+            stop = int(np.argmax(fresh[1:])) + 1 if fresh[1:].any() else n
+            out[:stop] += self.count
+        self.key, self.count = keys[-1].as_py(), int(out[-1]) + 1
+        return out
+
+
+def shard_bases(shards: list) -> list[tuple]:
+    """(shard, ids before it, its first key, rows of that key before it), in order of shards."""
+    out, base, last, rows = [], 0, object(), 0
+    for shard in shards:
+        carried = rows if shard["first"] == last else 0
+        out.append((shard["shard"], base, shard["first"], carried))
+        base += shard["size"]
+        rows = shard["last_rows"] + (carried if shard["first"] == shard["last"] else 0)
+        last = shard["last"]
+    return out
+
+
 def key_hash(keys: pa.ChunkedArray, numbers: np.ndarray) -> np.ndarray:
     """Hashes of (key, number); a null key differs from every other in a bit of its own."""
     plain = pc.fill_null(keys, 0).to_numpy().astype(np.int64).view(np.uint64)
