@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -227,10 +228,10 @@ def encode_documents(
     """Documents as (row, ids, decoded); ``ids`` are packed little-endian unsigned 32-bit integers."""
     spark = docs.sparkSession
     keep = list(docs.columns if keep is None else keep)
-    hot = spark.sparkContext.broadcast(_ipc(frequent_words(docs, vocabulary, text, hot_words, sample)))
+    hot = spark.sparkContext.broadcast(packed(frequent_words(docs, vocabulary, text, hot_words, sample)))
     # As many pieces as the vocabulary has.
     pieces = spark.sparkContext.broadcast(piece_table(vocabulary))
-    packed = docs.select(
+    rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").cast("string").alias("text")
     ).select(
         F.xxhash64("row", "text").alias("key"),
@@ -238,7 +239,7 @@ def encode_documents(
         "row",
         "text",
     )
-    row_type = packed.schema["row"].dataType
+    row_type = rows.schema["row"].dataType
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _dictionary(hot.value)
@@ -260,18 +261,18 @@ def encode_documents(
                 data = [_press(places_of(body, known)[0]) for body in texts.cast(pa.large_binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(data, pa.binary())], names=["key", "check", "row", "data"])
 
-    rare = packed.select("key", "check", "text").mapInArrow(others, "key long, place long, word string")
+    rare = rows.select("key", "check", "text").mapInArrow(others, "key long, place long, word string")
     returned = encode_words(rare, vocabulary).select(
         "key", "place", F.lit(None).cast(row_type).alias("row"), F.col("ids").alias("data")
     )
-    kinds = StructType([*packed.schema.fields[:3], StructField("data", BinaryType())])
-    bodies = packed.mapInArrow(marked, kinds).select("key", (F.col("check") + LAST).alias("place"), "row", "data")
-    result = StructType([packed.schema["row"], StructField("ids", BinaryType()), StructField("decoded", StringType())])
+    kinds = StructType([*rows.schema.fields[:3], StructField("data", BinaryType())])
+    bodies = rows.mapInArrow(marked, kinds).select("key", (F.col("check") + LAST).alias("place"), "row", "data")
+    result = StructType([rows.schema["row"], StructField("ids", BinaryType()), StructField("decoded", StringType())])
     types = empty_arrow(spark, result)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(pieces.value, pa.large_string())
-        common = Ragged(_table(hot.value).column("ids").to_pylist())
+        common = Ragged(unpacked(hot.value).column("ids").to_pylist())
         other: dict[int, bytes] = {}
         current = None
 
@@ -303,17 +304,18 @@ def encode_documents(
     return both.repartition("key").sortWithinPartitions("key", "place").mapInArrow(assemble, result)
 
 
-def _table(data: bytes) -> pa.Table:
+def unpacked(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
+@lru_cache(maxsize=1)
 def _dictionary(data: bytes) -> dict[bytes, int]:
-    """The row of each word in the table."""
-    words = _table(data).column("word").cast(pa.binary()).to_pylist()
+    """The row of each word in the table; kept for the next task of the process."""
+    words = unpacked(data).column("word").cast(pa.binary()).to_pylist()
     return dict(zip(words, range(len(words))))
 
 
-def _ipc(table: pa.Table) -> bytes:
+def packed(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:
         writer.write_table(table)
