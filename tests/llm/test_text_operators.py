@@ -190,8 +190,8 @@ def expected_components(rows: list[tuple[int, str | None]]) -> dict[int, int]:
     return root
 
 
-@pytest.mark.parametrize("tile, frequent", [(1 << 21, 1000), (40, 0)])
-def test_ngram_join_links_every_pair(spark, docs, tile, frequent):
+@pytest.mark.parametrize("tile, frequent, hot", [(1 << 21, 1000, 14), (40, 0, 14), (1 << 21, 100_000, 1), (400, 100_000, 3)])
+def test_ngram_join_links_every_pair(spark, docs, tile, frequent, hot):
     rnd = random.Random(11)
     rows = [(r["doc_id"], r["text"]) for r in docs.dropDuplicates(["doc_id"]).collect()]
     for group in range(4):
@@ -202,7 +202,7 @@ def test_ngram_join_links_every_pair(spark, docs, tile, frequent):
                 own[rnd.randrange(60)] = f"z{rnd.random()}"
             rows.append((1000 + 100 * group + copy, " ".join(own)))
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = {r["doc_id"]: r["component_id"] for r in ngram_join.linked_components(frame, tile_shingles=tile, frequent=frequent).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.linked_components(frame, tile_shingles=tile, frequent=frequent, hot_grade=hot).collect()}
     assert got == expected_components(rows)
     kept = sorted(r["doc_id"] for r in ngram_join.drop_near_copies(frame, tile_shingles=tile, frequent=frequent).collect())
     assert kept == sorted(set(got.values()))
@@ -627,11 +627,12 @@ def test_extreme_and_null_keys_in_one_index(spark):
 def test_the_encoder_forgets_only_what_it_can_encode_again(monkeypatch):
     monkeypatch.setattr(id_index, "REMEMBERED", 7)
     texts_ = [f"Word{i % 11}, and, {i % 5} l'été é{i}. x.y" for i in range(200)]
-    encode = id_index.WordEncoder(WORD_BPE, "<u2")
-    got = encode([t.encode() for t in texts_])
     tokenizer = Tokenizer.from_file(WORD_BPE)
-    assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts_]
-    assert len(encode.known) <= 8 and len(encode.known.older) <= 8
+    ids = lambda t, kind: np.array(tokenizer.encode(t, add_special_tokens=False).ids, kind).tobytes()
+    frequent = pa.table({"word": ["and,", "word3,"], "ids": pa.array([ids("and,", "<u4"), ids("word3,", "<u4")], pa.binary())})
+    encode = id_index.WordEncoder(WORD_BPE, "<u2", frequent)
+    assert encode([t.encode() for t in texts_]) == [ids(t, "<u2") for t in texts_]
+    assert len(encode.known) == 2 and len(encode.known.others) <= 7
 
 
 def test_very_long_lines_take_time_in_proportion(spark):
@@ -691,3 +692,39 @@ def test_documents_without_ids_get_results_too(spark):
     assert bag(map(tuple, counts)) == bag([(None, 10, 0), (None, 0, 0), (None, 0, 0), (3, 4, 1)])
     tokens = token_fst.count_tokens(frame, BYTE_BPE, keep=["doc_id"]).select("row.doc_id", "found.n_bytes").collect()
     assert bag(map(tuple, tokens)) == bag([(None, len(rows[0][1])), (None, 0), (None, 0), (3, 15)])
+
+
+def test_runs_of_a_batch_hold_all_classes_of_a_key():
+    rnd = np.random.default_rng(3)
+    key, n, c = rnd.integers(0, 4, 300), rnd.integers(1, 5000, 300), rnd.permutation(300) + 1000
+    out = ngram_join.local_runs(key, n, c)
+    runs = [r for r in zip(*(out[x].tolist() for x in ("key", "n", "hi", "class", "head"))) if r[1]]
+    ties = {r[3]: r[4] for r in zip(*(out[x].tolist() for x in ("key", "n", "hi", "class", "head"))) if not r[1]}
+    assert len(runs) + len(ties) == 300 and all(r[3] == r[4] for r in runs)
+    for k, size, own in zip(key, n, c):
+        head = ties.get(int(own), int(own))
+        (run,) = [r for r in runs if r[4] == head and r[0] == k]
+        assert run[1] <= size <= run[2]
+    for k, _, hi, _, _ in runs:
+        above = [size for other, size in zip(key, n) if other == k and size > hi]
+        assert not above or 4 * min(above) > 5 * hi
+
+
+def test_rows_of_one_key_are_numbered_over_batches_and_shards():
+    keys = [None, None, None, 1, 2, 2, 2, 2, 2, 3, 3, 7]
+    want = [0, 1, 2, 0, 0, 1, 2, 3, 4, 0, 1, 0]
+    for size in (1, 2, 5, 12):
+        places = id_index.Places()
+        got = [int(x) for i in range(0, 12, size) for x in places(pa.array(keys[i : i + size], pa.int64()))]
+        assert got == want
+    for cuts in ([0, 1, 2, 12], [0, 5, 6, 8, 9, 12], [0, 12], list(range(13))):
+        got, shards, parts = [], [], []
+        for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            own = id_index.Places()(pa.array(keys[a:b], pa.int64())).tolist()
+            parts.append((keys[a:b], own))
+            shards.append({"shard": number, "size": b - a, "first": keys[a], "last": keys[b - 1], "last_rows": own[-1] + 1})
+        bases = id_index.shard_bases(shards)
+        assert [x[1] for x in bases] == cuts[:-1]
+        for (own, places_), (_, _, first, carried) in zip(parts, bases):
+            got += [p + (carried if k == first else 0) for k, p in zip(own, places_)]
+        assert got == want
