@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
@@ -11,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -52,6 +54,11 @@ def materialize(df: DataFrame, label: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system that a shared folder's address names, for tasks, and the path in it."""
+    return pafs.FileSystem.from_uri(path if re.match(r"[a-zA-Z][\w+.-]*:/", path) else f"file://{path}")
+
+
 def steps(column: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Slices of a string or binary column that hold about ``limit`` bytes each, nulls as empty."""
     wide = pa.large_binary() if pa.types.is_binary(column.type) else pa.large_string()

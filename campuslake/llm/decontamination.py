@@ -7,9 +7,9 @@ position a table tells how far the position may move without missing a pattern.
 not move, the bucket of that block holds the patterns that end with it, and these are compared
 word by word.
 
-Patterns come to the tasks in blocks of at most ``block_windows`` (a bounded broadcast). With
-more of them the documents run through one search per block in the same pass, so nothing is
-shuffled and nothing is left out.
+Patterns lie in the shared folder in blocks of about ``block_windows``. A task holds some documents,
+loads one block after another and searches them for each, so however large the benchmark is, a
+task has one block in memory, the driver none, and nothing is shuffled or left out.
 
 Defined results: a null or empty text has no words; benchmark rows without words are ignored,
 a null item_id counts as the empty string, rows that share an item_id are one item; an empty
@@ -19,16 +19,21 @@ benchmark hits nothing; repeated documents each get their own row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import arrow_map, empty_arrow, steps
+from ..sinks.storage import scratch_folder
+from .common import arrow_map, empty_arrow, file_system, steps
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
+#: Bytes of text that a task holds while it goes through the blocks.
+HELD_BYTES = 64 << 20
 #: Benchmark words of one pattern are joined by a byte that no word contains.
 GLUE = " "
 
@@ -142,55 +147,61 @@ def find_contamination(
     """Documents as (row, found): found.n_words, found.hits (merged word spans) and found.items."""
     spark = docs.sparkSession
     keep = list(docs.columns if keep is None else keep)
-    windows = benchmark_windows(benchmark, size)
-    n_blocks = max(1, -(-windows.count() // block_windows))
-    blocked = windows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(n_blocks)))
-    schema = StructType(
-        [
-            StructField("row", docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("r")).schema["r"].dataType),
-            StructField("text", StringType()),
-            StructField("found", FOUND),
-        ]
+    folder = scratch_folder(spark, "llm-windows")
+    benchmark_windows(benchmark, size).write.parquet(f"{folder}/all")
+    windows = spark.read.schema("window string, items array<string>").parquet(f"{folder}/all")
+    n_blocks = -(-windows.count() // block_windows)
+    blocked = windows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(max(1, n_blocks))).cast("int"))
+    blocked.repartition("block").write.partitionBy("block").parquet(f"{folder}/blocks")
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").cast("string").alias("text")
     )
-    nothing = F.lit(None).cast(FOUND)
-    out = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
-        F.col(f"`{text}`").cast("string").alias("text"),
-        nothing.alias("found"),
-    )
-    for number in range(n_blocks):
-        rows = [(r["window"], list(r["items"])) for r in blocked.where(F.col("block") == number).collect()]
-        out = _scan(out, spark.sparkContext.broadcast(rows), schema, last=number == n_blocks - 1)
-    return out.select("row", "found")
-
-
-def _scan(df: DataFrame, patterns, schema: StructType, last: bool) -> DataFrame:
-    """Add the hits of one block of patterns; the last search lets go of the text."""
-    types = empty_arrow(df.sparkSession, schema)
+    schema = StructType([packed.schema["row"], StructField("found", FOUND)])
+    types = empty_arrow(spark, schema)
+
+    def searched(held: list[tuple[pa.Array, pa.Array]]) -> Iterator[pa.RecordBatch]:
+        bodies = [texts.cast(pa.large_binary()) for _, texts in held]
+        spans: list[list] = [[[] for _ in range(len(b))] for b in bodies]
+        items: list[list] = [[set() for _ in range(len(b))] for b in bodies]
+        counts = [[0] * len(b) for b in bodies]
+        for number in range(max(1, n_blocks)):
+            searches = _load(f"{folder}/blocks/block={number}") if n_blocks else []
+            for part, own in enumerate(bodies):
+                for i, body in enumerate(own):
+                    words = words_of(body.as_py())
+                    counts[part][i] = len(words)
+                    for search in searches:
+                        for at, names in search.occurrences(words):
+                            spans[part][i].append((at, at + search.m))
+                            items[part][i].update(names)
+        for part, (rows, _) in enumerate(held):
+            found = [
+                {"n_words": n, "hits": [{"start": a, "end": b} for a, b in _merged(s)], "items": sorted(names)}
+                for n, s, names in zip(counts[part], spans[part], items[part])
+            ]
+            yield pa.RecordBatch.from_arrays([rows, pa.array(found, type=types.field("found").type)], schema=types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searches = _searches(patterns.value)
+        held, size_held = [], 0
         for batch in batches:
             for start, texts in steps(batch.column(1)):
-                before = batch.column(2).slice(start, len(texts)).to_pylist()
-                found = []
-                for body, old in zip(texts.cast(pa.large_binary()).to_pylist(), before):
-                    words = words_of(body)
-                    spans = [(s["start"], s["end"]) for s in old["hits"]] if old else []
-                    items = set(old["items"]) if old else set()
-                    for search in searches:
-                        for at, names in search.occurrences(words):
-                            spans.append((at, at + search.m))
-                            items.update(names)
-                    merged = [{"start": a, "end": b} for a, b in _merged(spans)]
-                    found.append({"n_words": len(words), "hits": merged, "items": sorted(items)})
-                rows = batch.column(0).slice(start, len(texts))
-                left = pa.nulls(len(texts), pa.string()) if last else batch.column(1).slice(start, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [rows, left, pa.array(found, type=types.field("found").type)], schema=types
-                )
-
-    return df.mapInArrow(run, schema)
+                held.append((batch.column(0).slice(start, len(texts)), texts))
+                size_held += texts.nbytes
+                if size_held > HELD_BYTES:
+                    yield from searched(held)
+                    held, size_held = [], 0
+        if held:
+            yield from searched(held)
+
+    return packed.mapInArrow(run, schema)
+
+
+@lru_cache(maxsize=1)
+def _load(path: str) -> list[Search]:
+    """The tables for one block; where there is only one, the process keeps it."""
+    files, base = file_system(path)
+    table = pq.read_table(base, filesystem=files, columns=["window", "items"], partitioning=None)
+    return _searches(list(zip(table.column("window").to_pylist(), table.column("items").to_pylist())))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text: str = "text") -> DataFrame:

@@ -28,14 +28,13 @@ from struct import pack
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sinks.storage import scratch_folder
 from . import bpe_words, wordsplit
-from .common import arrow_map, materialize, steps
+from .common import arrow_map, file_system, materialize, steps
 from .textarrays import mix
 
 END_ID = 2
@@ -94,10 +93,6 @@ def id_type(vocabulary: str) -> str:
     return "<u2" if wordsplit.load(vocabulary).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
 
 
-def _file_system(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
-
-
 def write_ids(docs: DataFrame, vocabulary: str, folder: str, text: str = "text", end_id: int = END_ID) -> DataFrame:
     """Write shard files to ``folder``; (key, number, shard, file, offset, n_tokens, start) per document.
 
@@ -119,7 +114,7 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, text: str = "text",
         end = np.array([end_id], dtype).tobytes()
         shard = TaskContext.get().partitionId()
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}.ids"
-        files, base = _file_system(folder)
+        files, base = file_system(folder)
         sink, written = None, 0
         held: list[pa.RecordBatch] = []
         places = Places()
@@ -328,7 +323,7 @@ def read_ids(found: DataFrame, folder: str, dtype: str) -> DataFrame:
     ordered = found.repartition("file").sortWithinPartitions("file", "offset")
 
     def read(batch: pa.RecordBatch) -> Iterator[dict]:
-        files, base = _file_system(folder)
+        files, base = file_system(folder)
         names, offsets, counts = (batch.column(i).to_pylist() for i in (2, 3, 4))
         sums, name, source = [], None, None
         for file, offset, count in zip(names, offsets, counts):

@@ -728,3 +728,16 @@ def test_rows_of_one_key_are_numbered_over_batches_and_shards():
         for (own, places_), (_, _, first, carried) in zip(parts, bases):
             got += [p + (carried if k == first else 0) for k, p in zip(own, places_)]
         assert got == want
+
+
+def test_many_blocks_of_windows_are_one_pass(spark, plan, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    bench = spark.createDataFrame([(f"b{i}", " ".join(words[i : i + 14])) for i in range(0, 380, 3)], "item_id string, text string")
+    rows = [(i, " ".join(["x"] * (i % 7) + words[i * 5 : i * 5 + i % 20] + ["y"])) for i in range(70)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {}
+    for size in (10**6, 5):
+        out = decontamination.find_contamination(frame, bench, keep=["doc_id"], block_windows=size)
+        assert plan(out).count("MapInArrow") == 1
+        found[size] = sorted((r["row"]["doc_id"], r["found"]["n_words"], str(r["found"]["hits"]), r["found"]["items"]) for r in out.collect())
+    assert found[5] == found[10**6] and sum(bool(r[3]) for r in found[5]) > 10
