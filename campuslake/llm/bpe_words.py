@@ -64,6 +64,12 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
         counts: Counter = Counter()
 
         def handed() -> pa.RecordBatch:
+            # Pieces of several words count for each of them as well.
+            for piece, n in list(counts.items()):
+                words = wordsplit.words(piece)
+                if len(words) > 1:
+                    for word in words:
+                        counts[word] += n
             words, n = pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())
             counts.clear()
             return pa.RecordBatch.from_arrays([words, n], names=["word", "n"])
@@ -71,12 +77,7 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             for _, texts in steps(batch.column(0)):
                 for body in texts.cast(pa.large_binary()).to_pylist():
-                    for piece, n in Counter(wordsplit.pieces(body)).items():
-                        counts[piece] += n
-                        words = wordsplit.words(piece)
-                        if len(words) > 1:
-                            for word in words:
-                                counts[word] += n
+                    counts.update(wordsplit.pieces(body))
                 if len(counts) > GATHERED:
                     yield handed()
         if counts:
