@@ -272,6 +272,7 @@ def encode_documents(
     types = empty_arrow(spark, result)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _dictionary.cache_clear()  # the words have their places; the stages that follow need the memory
         known = pa.array(pieces.value, pa.large_string())
         common = Ragged(unpacked(hot.value).column("ids").to_pylist())
         other: dict[int, bytes] = {}

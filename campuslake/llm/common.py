@@ -20,7 +20,7 @@ from pyspark.sql.types import StructField, StructType
 from ..sinks.storage import scratch_folder
 
 #: Bytes of text that one vectorised step works on. A single longer text is one step.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 _SHIPPED: set[str] = set()
 
