@@ -323,6 +323,7 @@ def read_ids(found: DataFrame, folder: str, dtype: str) -> DataFrame:
     ordered = found.repartition("file").sortWithinPartitions("file", "offset")
 
     def read(batch: pa.RecordBatch) -> Iterator[dict]:
+        _encoder.cache_clear()  # all is encoded; the stages that follow need the memory
         files, base = file_system(folder)
         names, offsets, counts = (batch.column(i).to_pylist() for i in (2, 3, 4))
         sums, name, source = [], None, None
