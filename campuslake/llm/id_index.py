@@ -22,7 +22,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache
 from struct import pack
 
 import numpy as np
@@ -33,60 +33,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sinks.storage import scratch_folder
-from . import bpe_words, wordsplit
+from . import wordsplit
 from .common import arrow_map, file_system, materialize, steps
 from .textarrays import mix
 
 END_ID = 2
-#: Frequent pieces that every task knows from the start.
-FREQUENT = 1 << 18
 #: Keys of one index bucket on average, and of one displaced group.
 BUCKET_KEYS = 20_000
 GROUP_KEYS = 4
 NULL_KEY = np.uint64(0xA0761D6478BD642F)
-#: Pieces of text that are not among the frequent ones and whose ids a task remembers for a while.
-REMEMBERED = 200_000
+#: Pieces of text whose ids a task remembers before it forgets those it has not met for as many.
+REMEMBERED = 250_000
+#: Marks for pieces that were met once, by their hashes.
+MARKS = 1 << 22
 
 
 class Ids(dict):
     """Packed ids of what white space separates; the tokenizer encodes such pieces independently.
 
-    Holds the frequent pieces. Others are encoded when met and kept until there are ``REMEMBERED``.
+    Most pieces never come back, so a piece is remembered when it is met for the second time. Of
+    these, those met often stay and as many as ``REMEMBERED`` others are kept twice over at most.
     """
 
-    def __init__(self, path: str, dtype: str, frequent: pa.Table):
-        kind = np.dtype(dtype)
-        words = frequent.column("word").cast(pa.binary()).to_pylist()
-        ids = (np.frombuffer(i, bpe_words.ID_TYPE).astype(kind).tobytes() for i in frequent.column("ids").to_pylist())
-        super().__init__(zip(words, ids))
-        self.encode, self.letter = wordsplit.load(path).encode, kind.char
-        self.others: dict[bytes, bytes] = {}
+    def __init__(self, path: str, dtype: str):
+        self.encode, self.letter = wordsplit.load(path).encode, np.dtype(dtype).char
+        self.older: dict[bytes, bytes] = {}
+        self.met = bytearray(MARKS)
 
     def __missing__(self, piece: bytes) -> bytes:
-        found = self.others.get(piece)
+        found = self.older.get(piece)
         if found is None:
             ids = self.encode(piece.decode(), add_special_tokens=False).ids
             found = pack(f"<{len(ids)}{self.letter}", *ids)
-            if len(self.others) >= REMEMBERED:
-                self.others.clear()
-            self.others[piece] = found
+            mark = hash(piece) % MARKS
+            if not self.met[mark]:
+                self.met[mark] = 1
+                return found
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+            self.met = bytearray(MARKS)
+        self[piece] = found
         return found
 
 
 class WordEncoder:
     """Encodes texts piece by piece."""
 
-    def __init__(self, path: str, dtype: str, frequent: pa.Table):
-        self.known = Ids(path, dtype, frequent)
+    def __init__(self, path: str, dtype: str):
+        self.known = Ids(path, dtype)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         find = self.known.__getitem__
         return [b"".join(map(find, wordsplit.pieces(t))) for t in texts]
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str, dtype: str, frequent: bytes) -> WordEncoder:
-    return WordEncoder(path, dtype, bpe_words.unpacked(frequent))
+@cache
+def _encoder(path: str, dtype: str) -> WordEncoder:
+    return WordEncoder(path, dtype)
 
 
 def id_type(vocabulary: str) -> str:
@@ -105,12 +109,8 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, text: str = "text",
     ordered = ranged.sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text"), "text")
     ddl = "key long, shard int, file string, offset long, n_tokens long, place long"
 
-    # Bounded; it decides only how much is encoded more than once.
-    table = bpe_words.frequent_words(source, vocabulary, "text", FREQUENT, bpe_words.SAMPLE_DOCUMENTS)
-    frequent = docs.sparkSession.sparkContext.broadcast(bpe_words.packed(table))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary, dtype, frequent.value)
+        encode = _encoder(vocabulary, dtype)
         end = np.array([end_id], dtype).tobytes()
         shard = TaskContext.get().partitionId()
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}.ids"
@@ -323,7 +323,6 @@ def read_ids(found: DataFrame, folder: str, dtype: str) -> DataFrame:
     ordered = found.repartition("file").sortWithinPartitions("file", "offset")
 
     def read(batch: pa.RecordBatch) -> Iterator[dict]:
-        _encoder.cache_clear()  # all is encoded; the stages that follow need the memory
         files, base = file_system(folder)
         names, offsets, counts = (batch.column(i).to_pylist() for i in (2, 3, 4))
         sums, name, source = [], None, None
