@@ -43,28 +43,36 @@ BUCKET_KEYS = 20_000
 GROUP_KEYS = 4
 NULL_KEY = np.uint64(0xA0761D6478BD642F)
 #: Pieces of text whose ids a task remembers before it forgets those it has not met for as many.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
+#: Marks for pieces that were met once, by their hashes.
+MARKS = 1 << 22
 
 
 class Ids(dict):
-    """Packed ids of what white space separates, encoded when first asked for.
+    """Packed ids of what white space separates; the tokenizer encodes such pieces independently.
 
-    The tokenizer encodes such pieces independently of each other. Pieces met often stay; of others
-    as many as ``REMEMBERED`` are kept twice over at most.
+    Most pieces never come back, so a piece is remembered when it is met for the second time. Of
+    these, those met often stay and as many as ``REMEMBERED`` others are kept twice over at most.
     """
 
     def __init__(self, path: str, dtype: str):
         self.encode, self.letter = wordsplit.load(path).encode, np.dtype(dtype).char
         self.older: dict[bytes, bytes] = {}
+        self.met = bytearray(MARKS)
 
     def __missing__(self, piece: bytes) -> bytes:
         found = self.older.get(piece)
         if found is None:
             ids = self.encode(piece.decode(), add_special_tokens=False).ids
             found = pack(f"<{len(ids)}{self.letter}", *ids)
+            mark = hash(piece) % MARKS
+            if not self.met[mark]:
+                self.met[mark] = 1
+                return found
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
+            self.met = bytearray(MARKS)
         self[piece] = found
         return found
 
