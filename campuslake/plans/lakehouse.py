@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators import cleaning, kpis, quality
 from ..schemas import GOLD_PARTITIONS, TABLES
@@ -18,6 +19,9 @@ from ..sources.tables import read_table
 #: The tables of a whole run by stage.
 LAYOUT: dict[str, tuple[str, ...]] = {"bronze": tuple(TABLES), "silver": tuple(TABLES), "gold": tuple(GOLD_PARTITIONS)}
 
+#: The cleaned tables that the KPI tables are computed from.
+GOLD_INPUTS = ("grades", "absences", "students", "modules", "activities")
+
 
 @dataclass
 class Run:
@@ -68,10 +72,18 @@ def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: tables[name] for name in GOLD_PARTITIONS}
 
 
+def gold_schemas(silver: dict[str, DataFrame]) -> dict[str, StructType]:
+    """The columns of the seven KPI tables, of plans over no rows: planning them reads nothing."""
+    return {name: df.schema for name, df in gold_tables({name: df.limit(0) for name, df in silver.items()}).items()}
+
+
 def publish_gold(
     spark: SparkSession, silver: dict[str, DataFrame], root: str, fmt: str = "parquet"
 ) -> dict[str, int]:
-    """Write the seven KPI tables; those built on other KPI tables read the written ones."""
+    """Write the seven KPI tables; those built on other KPI tables read the written ones.
+
+    ``silver`` are stored tables: several KPIs read each of them, and would each clean it again.
+    """
     base = gold_from_silver(silver)
     counts = publish_all(base, root, fmt, GOLD_PARTITIONS)
     written = {
@@ -127,8 +139,7 @@ def to_gold(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, i
 def register(spark: SparkSession, root: str, fmt: str = "parquet", prefix: str = "gold_") -> list[str]:
     """Stage 5: SQL tables over the seven KPI tables, brought up to date with what gold wrote."""
     # Schemas of the plans, not of the folders: those would turn partition values into numbers.
-    plans = gold_tables(_read_all(spark, root, "silver", fmt))
-    schemas = {name: df.schema for name, df in plans.items()}
+    schemas = gold_schemas(_read_all(spark, root, "silver", fmt))
     return register_tables(spark, f"{root}/gold", schemas, GOLD_PARTITIONS, fmt, prefix)
 
 
@@ -167,13 +178,12 @@ def refresh_gold(
     """Write the seven KPI tables as one dated run, then point the registered names at it.
 
     Readers of the names see the tables of the run before until all seven are written, and if one
-    cannot be written they go on seeing those.
+    cannot be written they go on seeing those. ``silver``: see :func:`publish_gold`.
     """
     folder = f"{run_folder(root, started or datetime.now(timezone.utc))}/gold"
     counts = publish_gold(spark, silver, folder, fmt)
     if prefix is not None:
-        schemas = {name: df.schema for name, df in gold_tables(silver).items()}
-        repoint(spark, folder, schemas, GOLD_PARTITIONS, fmt, prefix)
+        repoint(spark, folder, gold_schemas(silver), GOLD_PARTITIONS, fmt, prefix)
     return counts
 
 
@@ -199,5 +209,5 @@ def run_dated(
 
 def repoint_run(spark: SparkSession, folder: str, fmt: str = "parquet", prefix: str = "gold_") -> list[str]:
     """Point the registered names at the KPI tables of one run's folder."""
-    schemas = {name: df.schema for name, df in gold_tables(_read_all(spark, folder, "silver", fmt)).items()}
+    schemas = gold_schemas(_read_all(spark, folder, "silver", fmt))
     return repoint(spark, f"{folder}/gold", schemas, GOLD_PARTITIONS, fmt, prefix)

@@ -66,6 +66,15 @@ class Tables:
     def silvers(self, *names: str) -> list[DataFrame]:
         return [self.silver(name) for name in names]
 
+    def stored(self, *names: str) -> Tables:
+        """The same tables, with these cleaned ones written once and read from their files by all that follows."""
+        folder, kept = self.scratch("silver"), Tables(self.spark, self.sf_dir)
+        cleaned = {name: self.silver(name) for name in names}
+        publish_all(cleaned, folder)
+        written = {name: read_table(self.spark, f"{folder}/{name}", schema=df.schema) for name, df in cleaned.items()}
+        kept._raw, kept._silver = dict(self._raw), self._silver | written
+        return kept
+
     def scratch(self, label: str) -> str:
         return scratch_folder(self.spark, label)
 
@@ -446,7 +455,7 @@ def table_details(t: Tables) -> DataFrame:
 
 def _enrolled(t: Tables, programs: str) -> dict[str, DataFrame]:
     """The cleaned tables, with the students of some programs."""
-    silver = {name: t.silver(name) for name in TABLES}
+    silver = {name: t.silver(name) for name in lakehouse.GOLD_INPUTS}
     return silver | {"students": silver["students"].where(programs)}
 
 
@@ -457,7 +466,7 @@ GOLD_ONLY = {"gold": lakehouse.LAYOUT["gold"]}
 
 def catalog_after_swap(t: Tables) -> DataFrame:
     """Report SQL over two registered KPI tables, planned before and after a refresh of all of them."""
-    folder, database = t.scratch("lake"), _new_database(t)
+    folder, database, t = t.scratch("lake"), _new_database(t), t.stored(*lakehouse.GOLD_INPUTS)
     sql = f"""SELECT '{{}}' AS planned, k.program_id, k.current_level, k.nb_students, count(p.student_id) AS nb_rows
         FROM {database}.gold_program_kpis k JOIN {database}.gold_student_performance p
         ON k.program_id = p.program_id AND k.current_level = p.current_level GROUP BY ALL"""
