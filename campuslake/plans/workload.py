@@ -479,7 +479,7 @@ def catalog_after_swap(t: Tables) -> DataFrame:
 
 def _two_runs(t: Tables) -> str:
     """The KPI tables of two days; a third run was begun and did not get far."""
-    folder = t.scratch("lake")
+    folder, t = t.scratch("lake"), t.stored(*lakehouse.GOLD_INPUTS)
     for days, programs in ((0, EARLIER), (1, ALL)):
         lakehouse.refresh_gold(t.spark, _enrolled(t, programs), folder, FIRST_PUBLICATION + timedelta(days=days))
     publish(t.program_kpis, f"{folder}/run=20240103T120000Z/gold/program_kpis")
