@@ -344,16 +344,10 @@ def sorted_publication(t: Tables) -> DataFrame:
 def catalog_listing(t: Tables) -> DataFrame:
     """All seven KPI tables published, registered and listed with their row counts."""
     folder, database = t.scratch("gold"), _new_database(t)
-    silver = {name: t.silver(name) for name in ("grades", "absences", "students", "modules", "activities")}
-    gold = lakehouse.gold_tables(silver)
+    silver = _enrolled(t.stored(*lakehouse.GOLD_INPUTS), ALL)
     lakehouse.publish_gold(t.spark, silver, folder)
-    register_tables(
-        t.spark,
-        folder,
-        {name: df.schema for name, df in gold.items()},
-        GOLD_PARTITIONS,
-        prefix=f"{database}.gold_",
-    )
+    gold = lakehouse.gold_schemas(silver)
+    register_tables(t.spark, folder, gold, GOLD_PARTITIONS, prefix=f"{database}.gold_")
     counted = " UNION ALL ".join(
         f"SELECT 'gold_{name}' AS table_name, count(*) AS num_rows FROM {database}.gold_{name}"
         for name in gold
