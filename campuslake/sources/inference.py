@@ -18,29 +18,54 @@ _DAY = r"^\d{4}-\d{2}-\d{2}$"
 _MOMENT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"
 
 
-def _fits(value: Column) -> dict[str, Column]:
-    return {
-        "boolean": F.lower(value).isin("true", "false"),
-        "int": value.rlike(_WHOLE) & value.try_cast("int").isNotNull(),
-        "bigint": value.rlike(_WHOLE) & value.try_cast("bigint").isNotNull(),
-        "double": value.rlike(_DECIMAL) & value.try_cast("double").isNotNull(),
-        "date": value.rlike(_DAY) & value.try_cast("date").isNotNull(),
-        "timestamp": value.rlike(_MOMENT) & value.try_cast("timestamp").isNotNull(),
-    }
-
-
 TYPES = ("boolean", "int", "bigint", "double", "date", "timestamp")
 ALL = (1 << len(TYPES)) - 1
 
 
+def _bits(*kinds: str) -> Column:
+    return F.lit(sum(1 << TYPES.index(kind) for kind in kinds))
+
+
+def _value_mask(value: Column) -> Column:
+    """The types that one value fits; NULL for NULL.
+
+    Patterns cost most, so a value meets only those that its shape leaves open: numbers and days begin
+    with a sign, a point or a digit; days have two hyphens where no number has both; whole numbers
+    have no point. Short ones fit without a cast, and a cast that fails costs more than any pattern.
+    """
+
+    def fits(kind: str) -> Column:
+        return value.try_cast(kind).isNotNull()
+
+    none = F.lit(0)
+    length = F.length(value)
+    whole = (
+        F.when(length <= 9, _bits("int", "bigint", "double"))
+        .when((length <= 12) & fits("int"), _bits("int", "bigint", "double"))
+        .when(length <= 18, _bits("bigint", "double"))
+        .when((length <= 21) & fits("bigint"), _bits("bigint", "double"))
+        .otherwise(F.when(fits("double"), _bits("double")).otherwise(none))
+    )
+    real = F.when(fits("double"), _bits("double")).otherwise(none)
+    day = F.when(value.rlike(_DAY) & fits("date"), _bits("date")).otherwise(none)
+    moment = F.when(fits("timestamp"), _bits("timestamp")).otherwise(none)
+    hyphens = (F.substring(value, 5, 1) == "-") & (F.substring(value, 8, 1) == "-")
+    digits = (
+        F.when(hyphens, F.when(value.rlike(_MOMENT), day.bitwiseOR(moment)).otherwise(none))
+        .when(~value.contains(".") & value.rlike(_WHOLE), whole)
+        .when(value.rlike(_DECIMAL), real)
+        .otherwise(none)
+    )
+    return (
+        F.when((value >= "+") & (value < ":"), digits)
+        .when(F.lower(value).isin("true", "false"), _bits("boolean"))
+        .when(value.isNotNull(), none)
+    )
+
+
 def type_mask(name: str) -> Column:
     """Aggregate: the types that all values of a text column fit, as a bit mask; NULL without values."""
-    value = F.col(f"`{name}`")
-    bits = [F.when(fits, 1 << TYPES.index(kind)).otherwise(0) for kind, fits in _fits(value).items()]
-    mask = bits[0]
-    for bit in bits[1:]:
-        mask = mask.bitwiseOR(bit)
-    return F.bit_and(F.when(value.isNotNull(), mask))
+    return F.bit_and(_value_mask(F.col(f"`{name}`")))
 
 
 def narrowest(mask: int | None) -> str:
