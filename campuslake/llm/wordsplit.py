@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 from functools import cache
 
 #: Latin letters in UTF-8 (ASCII after lower-casing, and U+00C0 to U+00FF without the two signs).
 _LETTERS = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++"
 _WORD = re.compile(_LETTERS + rb"(?=[.,;:!?*#$%&\x09-\x0d\x20]|\Z)|[^\x09-\x0d\x20]+")
+_PLAIN = re.compile(_LETTERS)
 #: Special strings are matched before lower-casing, so a text with one keeps its case.
 _SPECIAL = b"<|"
 
@@ -50,5 +52,29 @@ def load(path: str):
     return fresh(path)
 
 
+@cache
+def _letters(path: str) -> dict[int, str]:
+    """What the model of a vocabulary file reads for each letter outside ASCII."""
+    normal, cut = load(path).normalizer.normalize_str, load(path).pre_tokenizer.pre_tokenize_str
+    return {n: cut(normal(chr(n)))[0][0] for n in range(0xC0, 0x100) if _PLAIN.fullmatch(chr(n).encode())}
+
+
+def encoder(path: str) -> Callable[[bytes], list[int]]:
+    """Encodes one word, or any piece of text, in UTF-8.
+
+    A word of plain letters goes straight to the library's model: normalizing and cutting leave such
+    a word whole and turn its letters into others one by one.
+    """
+    whole, model, letters = load(path).encode, load(path).model.tokenize, _letters(path)
+
+    def ids(word: bytes) -> list[int]:
+        if not _PLAIN.fullmatch(word):
+            return whole(word.decode(), add_special_tokens=False).ids
+        text = word.decode()
+        return [token.id for token in model(text if text.isascii() else text.translate(letters))]
+
+    return ids
+
+
 def encode(path: str, words: list[str]) -> list[list[int]]:
     return [e.ids for e in load(path).encode_batch(words, add_special_tokens=False)]

@@ -634,6 +634,31 @@ def test_the_encoder_forgets_only_what_it_can_encode_again(monkeypatch):
     assert 0 < len(encode.known) <= 8 and len(encode.known.older) <= 8
 
 
+def test_plain_words_go_to_the_model_as_the_tokenizer_reads_them():
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    encode = wordsplit.encoder(WORD_BPE)
+    letters = [chr(n) for n in [*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)]]
+    rnd = random.Random(3)
+    words = [*letters, "".join(letters), *("".join(rnd.choices(letters, k=rnd.randrange(2, 30))) for _ in range(3000))]
+    words += ["x" * 3000, "l'été", "e\u0301", "A", "<|endoftext|>", "ﬁ", "×", "..", "4.0.", '"so".', "he's", "i'm.", "İ"]
+    for word in words:
+        assert encode(word.encode()) == tokenizer.encode(word, add_special_tokens=False).ids, word
+
+
+def test_a_known_word_is_not_encoded_again_for_its_punctuation():
+    encode = id_index.WordEncoder(WORD_BPE, "<u2")
+    asked = []
+    plain = encode.known.encode
+    encode.known.encode = lambda word: asked.append(word) or plain(word)
+    texts_ = ["Bonjour été " * 2 + ". , *** # " * 2, "bonjour, été. bonjour*** été# Bonjour,***"]
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    ids = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts_]
+    assert encode([texts_[0].encode()]) == ids[:1]
+    asked.clear()
+    assert encode([texts_[1].encode()]) == ids[1:]
+    assert asked == [b",***"]
+
+
 def test_very_long_lines_take_time_in_proportion(spark):
     words = [f"w{i % 5000}" for i in range(40_000)]
     near = [*words[:20_000], "other", *words[20_001:]]
