@@ -20,11 +20,18 @@ from .dedup import keep_one
 
 MIN_MARK, MAX_MARK = 0, 20
 
+#: Looks at the rows that are left of each key before others are filtered out.
+Watch = Callable[[DataFrame], DataFrame]
+
 
 def _with_key(df: DataFrame, table: str) -> DataFrame:
     return df.where(F.col(TABLES[table].key[0]).isNotNull())
 
 
+def _as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def _one_per_key(df: DataFrame, table: str) -> DataFrame:
     return keep_one(df, TABLES[table].key)
 
@@ -34,9 +41,9 @@ def _valid_mark(df: DataFrame, name: str) -> DataFrame:
     return df.where(mark.isNotNull() & mark.between(MIN_MARK, MAX_MARK)).withColumn(name, mark)
 
 
-def clean_students(df: DataFrame) -> DataFrame:
+def clean_students(df: DataFrame, watch: Watch = _as_it_is) -> DataFrame:
     """Known students with a program; names, gender and e-mail normalised."""
-    kept = _one_per_key(_with_key(df, "students"), "students").where(F.col("program_id").isNotNull())
+    kept = watch(_one_per_key(_with_key(df, "students"), "students")).where(F.col("program_id").isNotNull())
     return kept.withColumns(
         {
             "first_name": F.trim("first_name"),
@@ -60,19 +67,20 @@ def clean_modules(df: DataFrame) -> DataFrame:
 
 def clean_semesters(df: DataFrame) -> DataFrame:
     """One row per (semester, academic year, cohort)."""
-    return _one_per_key(df, "semesters")
+    # Orders repeat whole rows: these meet in tasks, without a sort of all of them.
+    return _one_per_key(df.distinct(), "semesters")
 
 
-def clean_grades(df: DataFrame) -> DataFrame:
+def clean_grades(df: DataFrame, watch: Watch = _as_it_is) -> DataFrame:
     """Grades between 0 and 20, with their mention and pass flag."""
-    valid = _valid_mark(_one_per_key(df, "grades"), "grade")
+    valid = _valid_mark(watch(_one_per_key(df, "grades")), "grade")
     grade = F.col("grade")
     return valid.withColumns({"mention": mention(grade), "is_passed": grade >= PASS_MARK})
 
 
-def clean_absences(df: DataFrame) -> DataFrame:
+def clean_absences(df: DataFrame, watch: Watch = _as_it_is) -> DataFrame:
     """Absences of more than zero hours, with a parsed date and a boolean justification."""
-    unique = _one_per_key(df, "absences")
+    unique = watch(_one_per_key(df, "absences"))
     hours = as_number(unique, "hours")
     return unique.where(hours > 0).withColumns(
         {
@@ -83,9 +91,9 @@ def clean_absences(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_activities(df: DataFrame) -> DataFrame:
+def clean_activities(df: DataFrame, watch: Watch = _as_it_is) -> DataFrame:
     """Activities scored between 0 and 20, with a parsed date."""
-    valid = _valid_mark(_one_per_key(df, "activities"), "score")
+    valid = _valid_mark(watch(_one_per_key(df, "activities")), "score")
     return valid.withColumn("activity_date", iso_date(valid, "activity_date"))
 
 
@@ -95,7 +103,7 @@ def clean_registrations(df: DataFrame) -> DataFrame:
     return kept.withColumn("registration_date", iso_date(kept, "registration_date"))
 
 
-CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+CLEANERS: dict[str, Callable[..., DataFrame]] = {
     "students": clean_students,
     "programs": clean_programs,
     "modules": clean_modules,
@@ -107,6 +115,9 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def clean(table: str, df: DataFrame) -> DataFrame:
-    """Apply the cleaner of ``table``; the text of malformed lines stays in the raw table."""
-    return CLEANERS[table](df.drop(CORRUPT))
+def clean(table: str, df: DataFrame, watch: Watch | None = None) -> DataFrame:
+    """Apply the cleaner of ``table``; the text of malformed lines stays in the raw table.
+
+    ``watch`` sees one row per key of a table that is profiled.
+    """
+    return CLEANERS[table](df.drop(CORRUPT), *([watch] if watch else []))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_number
@@ -62,22 +62,37 @@ class Observed:
     """Profiles a table while it is written: ``watch`` what is written, then ask for the ``profile``.
 
     NULLs, ranges and malformed values are counted by the writing tasks, and once if a task runs
-    again. Only duplicates need rows to meet, for which the key column is read back.
+    again. Only duplicates need rows to meet: they are counted where the table is de-duplicated later
+    on, if ``watch_unique`` is asked to, and else the key column is read back.
     """
 
     def __init__(self, table: str, rule: QualityRule | None = None):
         self.table, self.rule = table, rule or QUALITY_RULES[table]
-        self.seen = Observation()
+        self.seen, self.unique = Observation(), Observation()
 
     def watch(self, df: DataFrame) -> DataFrame:
-        metrics = _row_metrics(df, self.rule)
+        metrics = _row_metrics(df, self.rule) | {"null_keys": F.count_if(F.col(self.rule.key).isNull())}
         return df.observe(self.seen, *[metric.alias(name) for name, metric in metrics.items()])
 
-    def profile(self, written: DataFrame) -> DataFrame:
-        """The profile as :func:`profile` gives it; call it after the write."""
-        counts = self.seen.get
-        duplicates = written.agg((F.count(F.lit(1)) - _distinct_keys(self.rule.key)).alias("duplicates"))
-        known = duplicates.select("duplicates", *[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+    def watch_unique(self, df: DataFrame) -> DataFrame:
+        """Rows of one per key, with or without a row for NULL."""
+        return df.observe(self.unique, F.count(self.rule.key).alias("keys"))
+
+    def profile(self, written: DataFrame | None = None) -> DataFrame:
+        """The profile as :func:`profile` gives it; call it after the write.
+
+        ``written`` is what was written; without it, unique rows must have been watched and used.
+        """
+        counts = dict(self.seen.get)
+        null_keys = counts.pop("null_keys")
+        if written is None:
+            keys = self.unique.get["keys"] + (null_keys > 0)
+            duplicates = SparkSession.active().range(1).select(F.lit(counts["total_rows"] - keys).alias("duplicates"))
+        else:
+            duplicates = written.agg((F.count(F.lit(1)) - _distinct_keys(self.rule.key)).alias("duplicates"))
+        known = duplicates.select(
+            F.col("duplicates").cast("long"), *[F.lit(n).cast("long").alias(name) for name, n in counts.items()]
+        )
         return _judged(known, self.table, self.rule)
 
 
@@ -95,6 +110,6 @@ def report(tables: dict[str, DataFrame]) -> DataFrame:
     return _long([profile(tables[name], name, rule) for name, rule in QUALITY_RULES.items()])
 
 
-def observed_report(observed: dict[str, Observed], written: dict[str, DataFrame]) -> DataFrame:
-    """The same rows as :func:`report` from what was observed while the tables were written."""
-    return _long([seen.profile(written[name]) for name, seen in observed.items()])
+def observed_report(observed: dict[str, Observed], written: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The same rows as :func:`report` from what was observed while the tables were written (see ``Observed.profile``)."""
+    return _long([seen.profile(written[name] if written else None) for name, seen in observed.items()])

@@ -38,9 +38,10 @@ class QualityError(RuntimeError):
     """Raised by ``on_issue="fail"`` when a bronze table has duplicates or NULLs."""
 
 
-def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All eight cleaned tables."""
-    return {name: cleaning.clean(name, df) for name, df in raw.items()}
+def clean_tables(raw: dict[str, DataFrame], observed: dict[str, quality.Observed] | None = None) -> dict[str, DataFrame]:
+    """All eight cleaned tables; ``observed`` profiles count what is left of each key."""
+    watch = {name: seen.watch_unique for name, seen in (observed or {}).items()}
+    return {name: cleaning.clean(name, df, watch.get(name)) for name, df in raw.items()}
 
 
 def gold_from_silver(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -102,15 +103,11 @@ def ingest(sources: dict[str, DataFrame], root: str) -> dict[str, int]:
     return publish_all(sources, f"{root}/bronze")
 
 
-def ingest_checked(
-    spark: SparkSession, sources: dict[str, DataFrame], root: str, on_issue: str = "report"
-) -> tuple[dict[str, int], list[dict]]:
-    """Stages 1 and 2 in one: land the sources and profile them by the jobs that write them."""
+def ingest_observed(sources: dict[str, DataFrame], root: str) -> tuple[dict[str, int], dict[str, quality.Observed]]:
+    """Stage 1, with what stage 2 needs but the duplicates observed by the jobs that write the sources."""
     observed = {name: quality.Observed(name) for name in quality.QUALITY_RULES}
     watched = {name: observed[name].watch(df) if name in observed else df for name, df in sources.items()}
-    counts = ingest(watched, root)
-    written = {name: read_table(spark, f"{root}/bronze/{name}", schema=sources[name].schema) for name in observed}
-    return counts, _judge(quality.observed_report(observed, written), on_issue)
+    return ingest(watched, root), observed
 
 
 def check(spark: SparkSession, root: str, on_issue: str = "report") -> list[dict]:
@@ -126,9 +123,11 @@ def _judge(report: DataFrame, on_issue: str) -> list[dict]:
     return rows
 
 
-def to_silver(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, int]:
-    """Stage 3: clean the eight bronze tables."""
-    return publish_all(clean_tables(_read_all(spark, root, "bronze")), f"{root}/silver", fmt)
+def to_silver(
+    spark: SparkSession, root: str, fmt: str = "parquet", observed: dict[str, quality.Observed] | None = None
+) -> dict[str, int]:
+    """Stage 3: clean the eight bronze tables; ``observed`` profiles learn of their duplicates on the way."""
+    return publish_all(clean_tables(_read_all(spark, root, "bronze"), observed), f"{root}/silver", fmt)
 
 
 def to_gold(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, int]:
@@ -155,12 +154,19 @@ def run(
 
     Each stage reads what the one before wrote, so a stage can be started again on its own
     and no plan grows longer than one stage. Bronze is always Parquet; ``fmt`` is the format
-    of silver and gold.
+    of silver and gold. Duplicates are counted where silver removes them, unless they are to
+    stop the run before it.
     """
     result = Run()
-    landed, result.quality = ingest_checked(spark, sources, root, on_issue)
+    landed, observed = ingest_observed(sources, root)
     result.add("bronze", landed)
-    result.add("silver", to_silver(spark, root, fmt))
+    if on_issue == "fail":
+        written = {name: read_table(spark, f"{root}/bronze/{name}", schema=sources[name].schema) for name in observed}
+        result.quality = _judge(quality.observed_report(observed, written), on_issue)
+        result.add("silver", to_silver(spark, root, fmt))
+    else:
+        result.add("silver", to_silver(spark, root, fmt, observed))
+        result.quality = _judge(quality.observed_report(observed), on_issue)
     result.add("gold", to_gold(spark, root, fmt))
     if prefix is not None:
         register(spark, root, fmt, prefix)

@@ -133,3 +133,12 @@ def test_a_hot_key_is_cut_down_before_the_shuffle(spark, plan):
     assert text.index("Final") < text.index("Exchange hashpartitioning(key") < text.index("Partial")
     assert unique.count() == 20_001
     assert tuple(unique.where("key = -1").first()) == (-1, 0, "0")
+
+
+def test_repeated_semesters_meet_before_any_sort(spark, tables, plan):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(tables.silver("semesters"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert text.rindex("Sort [") < text.index("HashAggregate(")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from campuslake.operators import quality
 from campuslake.plans import lakehouse
 from campuslake.schemas import GOLD_PARTITIONS, TABLES
 from campuslake.sources import read_table
@@ -44,6 +45,24 @@ def test_quality_informs_or_fails(spark, tables, finished, tmp_path):
     assert not (tmp_path / "silver").exists()
 
 
+def test_duplicates_are_counted_where_they_are_removed(spark, finished, tables, tmp_path, monkeypatch):
+    """No bronze table is read again for its profile, which is that of the stage on its own."""
+    root, run = finished
+    key = lambda row: (row["table"], row["metric"])
+    assert sorted(run.quality, key=key) == sorted(lakehouse.check(spark, root), key=key)
+    asked = []
+    profile = quality.Observed.profile
+    monkeypatch.setattr(
+        quality.Observed, "profile", lambda self, written=None: asked.append(written) or profile(self, *[written] * (written is not None))
+    )
+    sources = {n: tables.raw(n) for n in TABLES}
+    sources["students"] = sources["students"].limit(0)
+    again = lakehouse.run(spark, sources, str(tmp_path))
+    assert asked == [None] * 4
+    assert sorted(again.quality, key=key) == sorted(lakehouse.check(spark, str(tmp_path)), key=key)
+    assert {r["value"] for r in again.quality if r["table"] == "students"} == {0}
+
+
 def test_command_line_runs_single_stages(spark, tables, tmp_path, capsys):
     from campuslake.__main__ import main
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from campuslake.operators import quality
 from campuslake.schemas import QualityRule
 
@@ -63,3 +65,17 @@ def test_only_the_key_is_read_again(spark, tmp_path, plan):
     seen.watch(df).write.parquet(str(tmp_path / "t"))
     text = plan(seen.profile(spark.read.parquet(str(tmp_path / "t"))))
     assert text.count("FileScan") == 1 and "ReadSchema: struct<key:string>" in text
+
+
+@pytest.mark.parametrize("with_null", [True, False])
+def test_duplicates_observed_behind_the_de_duplication(spark, with_null):
+    rule = QualityRule("key", ("v",), {"v": (0, 20)})
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", 2.0), (None, 3.0), (None, 4.0)], "key string, v double")
+    seen = quality.Observed("t", rule)
+    seen.watch(df).count()
+    # A NULL counts as one key, whether the de-duplication keeps a row for it or not.
+    unique = df.dropDuplicates(["key"])
+    seen.watch_unique(unique if with_null else unique.where("key is not null")).where("v > 100").count()
+    want = quality.profile(df, "t", rule)
+    got = seen.profile()
+    assert got.columns == want.columns and got.collect() == want.collect()
