@@ -7,12 +7,13 @@
 2. Tasks split texts into words. They write the row of each word of the table in its place and
    leave a mark for every other word. Those meet by the word itself, where each distinct one is
    encoded once, and its ids return to the marks of their documents; there rows and marks become
-   ids. Rows are shorter than ids, so that is what moves.
+   ids. Rows are shorter than ids, so that is what moves, the most frequent words' in the fewest bits.
 3. Decoding joins every id with its piece; the table of pieces is as large as the vocabulary and
    broadcast.
 
 The vocabulary is a BPE file with word ends whose tokenizer drops white space. Documents meet
-their words by 96 bits of hashes over the whole row.
+their words by 96 bits of hashes over the whole row, its address. What goes to a document is one
+string of bytes: its address, what it is, and that.
 
 Defined results: a null or empty text has no ids and decodes to the empty string; special
 strings in a text are read as the library reads them; repeated rows each get a row.
@@ -51,9 +52,16 @@ ID_TYPE = np.dtype("<u4")
 PLACES = 1 << 18
 #: Set in a word's place to its number among the other words of the document; rows stay below.
 MARK = 1 << 31
-#: The low half of a place key is a word's number, the high half more hash bits of the document.
-#: A document itself comes behind its words.
-LAST = (1 << 31) - 1
+#: A packed place is a code of a byte: a row below OWN itself, MARKED for a mark, and one of those
+#: between for many other rows, whose lowest bits are packed apart.
+OWN = 190
+MARKED = 255
+ADDRESS = np.dtype([("key", "<i8"), ("check", "<u4")])
+#: Behind the address: a word's number if it is below this, this and four bytes if not, or
+#: DOCUMENT, which comes behind all words.
+LONG_NUMBER = 254
+DOCUMENT = 255
+#: The low half of a word's place is the check of its document, the high half its number.
 LOW = (1 << 32) - 1
 
 
@@ -101,24 +109,41 @@ def widen(data: bytes) -> bytes:
 
 
 def frequent_words(docs: DataFrame, vocabulary: str, text: str, most: int, sample: int) -> pa.Table:
-    """(word, ids) of the ``most`` most frequent words in about ``sample`` documents."""
+    """(word, ids) of the ``most`` most frequent words in about ``sample`` documents, those first that occur most."""
     n = docs.count()
     some = docs if n <= sample else docs.sample(sample / n, seed=0)
     counted = count_words(some, text).where(F.octet_length("word") <= HOT_BYTES)
     # Few rows once more, so that tasks encode them side by side.
-    top = counted.orderBy(F.desc("n"), "word").limit(most).select("word").repartition(ENCODERS)
+    top = counted.orderBy(F.desc("n"), "word").limit(most).select("word", "n").repartition(ENCODERS)
 
     def encoded(batch: pa.RecordBatch) -> Iterator[dict]:
         ids = wordsplit.encode(vocabulary, batch.column(0).to_pylist())
-        yield {"word": batch.column(0), "ids": [np.array(i, ID_TYPE).tobytes() for i in ids]}
+        yield {"word": batch.column(0), "ids": [np.array(i, ID_TYPE).tobytes() for i in ids], "n": batch.column(1)}
 
-    return arrow_map(top, encoded, "word string, ids binary").toArrow()
+    found = arrow_map(top, encoded, "word string, ids binary, n long").toArrow()
+    return found.sort_by([("n", "descending")]).select(["word", "ids"])
+
+
+def addresses(keys: np.ndarray, checks: np.ndarray) -> pa.Array:
+    """The address of each document by its hashes."""
+    found = np.empty(len(keys), ADDRESS)
+    found["key"], found["check"] = keys, checks
+    kind = pa.binary(ADDRESS.itemsize)
+    return pa.Array.from_buffers(kind, len(found), [None, pa.py_buffer(found)]).cast(pa.binary())
+
+
+def _number(number: int) -> bytes:
+    return number.to_bytes(1) if number < LONG_NUMBER else LONG_NUMBER.to_bytes(1) + number.to_bytes(4, "little")
+
+
+def _joined(*parts: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise(*parts, pa.scalar(b""))
 
 
 def encode_words(rows: DataFrame, vocabulary: str) -> DataFrame:
-    """(key, place, ids) of rows (key, place, word); a distinct word is encoded once for all its rows.
+    """(data) of rows (key, place, word); a distinct word is encoded once for all its rows.
 
-    ``ids`` as :func:`narrow` packs them.
+    ``data`` holds address, number and ids, these as :func:`narrow` packs them.
     """
     long = F.when(F.octet_length("word") > HOT_BYTES, F.pmod("key", F.lit(SPREAD))).otherwise(0)
     met = rows.repartition("word", long).sortWithinPartitions("word")
@@ -134,9 +159,12 @@ def encode_words(rows: DataFrame, vocabulary: str) -> DataFrame:
             if words:
                 last = batch.column(2)[-1].as_py()
                 ids = packed[last]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["key", "place", "ids"])
+            places = batch.column(1).to_numpy()
+            to = addresses(batch.column(0).to_numpy(), places & LOW)
+            numbers = pa.array(map(_number, (places >> 32).tolist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([_joined(to, numbers, found)], names=["data"])
 
-    return met.select("key", "place", "word").mapInArrow(run, "key long, place long, ids binary")
+    return met.select("key", "place", "word").mapInArrow(run, "data binary")
 
 
 def piece_table(vocabulary: str) -> list[str | None]:
@@ -157,14 +185,41 @@ def decode(ids: list[bytes], pieces: pa.Array) -> pa.Array:
     return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
-def _press(places: np.ndarray) -> bytes:
-    """Places with equal bytes of all of them side by side, compressed."""
-    return zstandard.compress(places.view(np.uint8).reshape(-1, ID_TYPE.itemsize).T.tobytes())
-
-
-def _unpress(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(ID_TYPE.itemsize, -1).T).view(ID_TYPE).ravel()
+def low_bits(rows: int) -> int:
+    """How many bits of a place its code leaves out, for a table of so many rows."""
+    return max(0, (rows - 1 - OWN) // (MARKED - OWN)).bit_length()
+
+
+def _press(places: np.ndarray, low: int) -> bytes:
+    """Places as compressed codes, the bits that these leave out, and the numbers of marks."""
+    codes, marks = places.astype(np.uint8), places >= MARK
+    far = (places >= OWN) & ~marks
+    rest = places[far] - ID_TYPE.type(OWN)
+    codes[far], codes[marks] = OWN + (rest >> low), MARKED
+    data = zstandard.compress(codes.tobytes())
+    parts = [len(data).to_bytes(4, "little"), data]
+    for start in range(0, len(rest), PLACES):
+        octets = rest[start : start + PLACES].view(np.uint8).reshape(-1, ID_TYPE.itemsize)
+        parts.append(np.packbits(np.unpackbits(octets, 1, low, "little"), bitorder="little").tobytes())
+    return b"".join([*parts, narrow((places[marks] - ID_TYPE.type(MARK)).tolist())])
+
+
+def _unpress(data: bytes, low: int) -> np.ndarray:
+    at = 4 + int.from_bytes(data[:4], "little")
+    codes = np.frombuffer(zstandard.decompress(data[4:at]), np.uint8)
+    places, marks = codes.astype(ID_TYPE), codes == MARKED
+    far = (codes >= OWN) & ~marks
+    rest = (places[far] - ID_TYPE.type(OWN)) << low
+    for start in range(0, len(rest), PLACES):
+        part = rest[start : start + PLACES]
+        octets = np.frombuffer(data, np.uint8, -(-len(part) * low // 8), at)
+        bits = np.zeros((len(part), 8 * ID_TYPE.itemsize), np.uint8)
+        bits[:, :low] = np.unpackbits(octets, count=len(part) * low, bitorder="little").reshape(len(part), low)
+        part |= np.packbits(bits, 1, "little").view(ID_TYPE).ravel()
+        at += len(octets)
+    places[far] = rest + ID_TYPE.type(OWN)
+    places[marks] = np.frombuffer(widen(data[at:]), ID_TYPE) + ID_TYPE.type(MARK)
+    return places
 
 
 class Ragged:
@@ -236,7 +291,7 @@ def encode_documents(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").cast("string").alias("text")
     ).select(
         F.xxhash64("row", "text").alias("key"),
-        F.shiftleft(F.hash("row", "text").cast("long"), 32).alias("check"),
+        F.hash("row", "text").alias("check"),
         "row",
         "text",
     )
@@ -250,24 +305,24 @@ def encode_documents(
                 sizes = np.fromiter(map(len, found), np.int64, len(found))
                 at = pa.array(np.repeat(np.arange(start, start + len(found)), sizes))
                 numbers = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                place = pc.add(batch.column(1).take(at), pa.array(numbers))
+                place = pa.array(numbers << 32 | batch.column(1).take(at).to_numpy().view(np.uint32))
                 words = pa.array([w for each in found for w in each], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), place, words], names=["key", "place", "word"])
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _dictionary(hot.value)
+        low = low_bits(len(known))
         for batch in batches:
             for start, texts in steps(batch.column(3)):
-                part = batch.slice(start, len(texts))
-                data = [_press(places_of(body, known)[0]) for body in texts.cast(pa.large_binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(data, pa.binary())], names=["key", "check", "row", "data"])
+                key, check, row, _ = batch.slice(start, len(texts)).columns
+                data = [_press(places_of(body, known)[0], low) for body in texts.cast(pa.large_binary()).to_pylist()]
+                to = addresses(key.to_numpy(), check.to_numpy().view(np.uint32))
+                found = _joined(to, pa.scalar(bytes([DOCUMENT])), pa.array(data, pa.binary()))
+                yield pa.RecordBatch.from_arrays([found, row], names=["data", "row"])
 
     rare = rows.select("key", "check", "text").mapInArrow(others, "key long, place long, word string")
-    returned = encode_words(rare, vocabulary).select(
-        "key", "place", F.lit(None).cast(row_type).alias("row"), F.col("ids").alias("data")
-    )
-    kinds = StructType([*rows.schema.fields[:3], StructField("data", BinaryType())])
-    bodies = rows.mapInArrow(marked, kinds).select("key", (F.col("check") + LAST).alias("place"), "row", "data")
+    returned = encode_words(rare, vocabulary).select("data", F.lit(None).cast(row_type).alias("row"))
+    bodies = rows.mapInArrow(marked, StructType([StructField("data", BinaryType()), rows.schema["row"]]))
     result = StructType([rows.schema["row"], StructField("ids", BinaryType()), StructField("decoded", StringType())])
     types = empty_arrow(spark, result)
 
@@ -275,26 +330,29 @@ def encode_documents(
         _dictionary.cache_clear()  # the words have their places; the stages that follow need the memory
         known = pa.array(pieces.value, pa.large_string())
         common = Ragged(unpacked(hot.value).column("ids").to_pylist())
+        low = low_bits(len(common.sizes))
         other: dict[int, bytes] = {}
         current = None
 
         def done(batch: pa.RecordBatch, rows: list[int], ids: list[bytes]) -> pa.RecordBatch:
-            columns = [batch.column(2).take(pa.array(rows)), pa.array(ids, pa.binary()), decode(ids, known)]
+            columns = [batch.column(1).take(pa.array(rows)), pa.array(ids, pa.binary()), decode(ids, known)]
             return pa.RecordBatch.from_arrays(columns, schema=types)
 
         for batch in batches:
-            places = batch.column(1).to_numpy()
-            keys = zip(batch.column(0).to_pylist(), (places >> 32).tolist())
-            data = batch.column(3)
+            data = batch.column(0)
             rows, ids, held = [], [], 0
-            for i, (key, number) in enumerate(zip(keys, (places & LOW).tolist())):
-                if key != current:
-                    other, current = {}, key
-                if number < LAST:
-                    other[number] = widen(data[i].as_py())
+            for i in range(len(data)):
+                sent = data[i].as_py()
+                address, number, start = sent[: ADDRESS.itemsize], sent[ADDRESS.itemsize], ADDRESS.itemsize + 1
+                if address != current:
+                    other, current = {}, address
+                if number != DOCUMENT:
+                    if number == LONG_NUMBER:
+                        number, start = int.from_bytes(sent[start : start + 4], "little"), start + 4
+                    other[number] = widen(sent[start:])
                     continue
                 rows.append(i)
-                ids.append(_filled(_unpress(data[i].as_py()), common, Ragged([other[k] for k in sorted(other)])))
+                ids.append(_filled(_unpress(sent[start:], low), common, Ragged([other[k] for k in sorted(other)])))
                 held += len(ids[-1])
                 if held > 8 << 20:
                     yield done(batch, rows, ids)
@@ -303,7 +361,8 @@ def encode_documents(
                 yield done(batch, rows, ids)
 
     both = bodies.unionByName(returned)
-    return both.repartition("key").sortWithinPartitions("key", "place").mapInArrow(assemble, result)
+    met = both.repartition(F.substring("data", 1, ADDRESS.itemsize)).sortWithinPartitions("data")
+    return met.mapInArrow(assemble, result)
 
 
 def unpacked(data: bytes) -> pa.Table:

@@ -583,6 +583,46 @@ def test_ids_of_a_word_return_from_their_narrow_form(ids):
     assert bpe_words.widen(bpe_words.narrow(ids)) == np.array(ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("rows", [0, 1, 190, 191, 256, 1000, 1 << 19, 1 << 31])
+def test_places_return_from_their_packed_form(rows, monkeypatch):
+    monkeypatch.setattr(bpe_words, "PLACES", 64)
+    low, rnd = bpe_words.low_bits(rows), np.random.default_rng(1)
+    for n in (0, 1, 64, 65, 1000):
+        places = rnd.integers(0, max(rows, 1), n, dtype=np.uint32)
+        marks = rnd.random(n) < (0.1 if rows else 1)
+        places[marks] = bpe_words.MARK + rnd.integers(0, rnd.choice([9, 300, 1 << 31]), marks.sum())
+        places[:1] = max(rows, 1) - 1
+        assert bpe_words._unpress(bpe_words._press(places, low), low).tolist() == places.tolist()
+
+
+def test_places_and_rare_words_travel_in_few_bytes(spark):
+    """Words as in text: half of them among the first hundreds of the table, the rest far behind."""
+    places = (2 ** np.random.default_rng(2).uniform(0, 19, 1000)).astype(np.uint32) - 1
+    assert len(bpe_words._press(places, bpe_words.low_bits(1 << 19))) < 1900
+    rows = [(key, number << 32 | 7, "oningealy") for key in (-1, 5) for number in (0, 253, 254, 70000)]
+    sent = bpe_words.encode_words(spark.createDataFrame(rows, "key long, place long, word string"), WORD_BPE).collect()
+    ids = Tokenizer.from_file(WORD_BPE).encode("oningealy", add_special_tokens=False).ids
+    numbers = [bytes([0]), bytes([253]), bytes([254, 254, 0, 0, 0]), bytes([254, 112, 17, 1, 0])]
+    keys = [b"\xff" * 8, bytes([5, *[0] * 7])]
+    assert bag(bytes(r["data"]) for r in sent) == bag(k + bytes([7, 0, 0, 0]) + n + bpe_words.narrow(ids) for k in keys for n in numbers)
+
+
+def test_the_table_begins_with_the_words_that_occur_most(spark):
+    texts_ = [" ".join(f"w{k}x" for k in range(i, 40)) for i in range(40)]
+    frame = spark.createDataFrame([(t,) for t in texts_], "text string").repartition(4)
+    words = bpe_words.frequent_words(frame, WORD_BPE, "text", 30, 100).column("word").to_pylist()
+    assert words == [f"w{k}x" for k in range(39, 9, -1)]
+
+
+def test_many_rare_words_in_a_document_meet_it_again(spark):
+    rows = [(i, " ".join(f"q{k}z{i % 2}" for k in range(n, 0, -1)) + " the") for i, n in enumerate((700, 700, 254, 255, 1))]
+    frame = spark.createDataFrame(rows + rows[:1], "doc_id long, text string").repartition(3)
+    found = bpe_words.digests(bpe_words.encode_documents(frame, WORD_BPE, hot_words=1)).collect()
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    want = [(i, sha(np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes())) for i, t in rows + rows[:1]]
+    assert bag((r["row"]["doc_id"], r["ids_sha256"]) for r in found) == bag(want)
+
+
 def test_texts_end_up_as_places_and_marks():
     known = {b"the": 0, b"end.": 1, b"a": 2}
     places, others = bpe_words.places_of(b"The end. a, other a.b the zzz! other", known)
