@@ -43,15 +43,25 @@ def ship(spark: SparkSession) -> None:
         context.addPyFile(_archive())
 
 
-def materialize(df: DataFrame, label: str, **options) -> DataFrame:
+#: Has Spark remove the shuffle files of a plan that has ended, not only once the driver collects its garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, label: str, release: bool = False, **options) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Later passes then read files instead of running the plan again, and an executor that is
-    lost costs no more than the step at hand.
+    lost costs no more than the step at hand. With ``release`` the shuffle files go once ``df`` is written.
     """
-    path = scratch_folder(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path, **options)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_folder(spark, f"llm-{label}")
+    before = spark.conf.get(RELEASE, "false")
+    try:
+        spark.conf.set(RELEASE, "true" if release else before)
+        df.write.parquet(path, **options)
+    finally:
+        spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:

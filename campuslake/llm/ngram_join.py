@@ -11,10 +11,13 @@ fewer words). Two documents link when their sets' Jaccard similarity is 0.8 or m
    the result.
    With some more of the first shingles, a pair that links shares several of them, in proportion
    to the smaller set: where few classes share a key their pairs are counted, and pairs with too
-   few shared keys fall out. Where many share one, in order of their sizes, each is tied to the
-   first of a run of sizes that could link, whatever the count. Components of these ties contain
-   whole components of links. Classes that share a very frequent key are tied within their batch
-   already, and only the first of each run there, with the range of its sizes, meets the others.
+   few shared keys fall out. Keys that many share are crowded and first counted by class: a pair
+   that links and shares hardly any others has many of them on both sides. Classes with so many
+   meet once more under these keys, and where many still share one, in order of their sizes, each
+   is tied to the first of a run of sizes that could link, whatever the count. Other pairs lack no
+   more keys than either side has crowded ones. Components of these ties contain whole components
+   of links. Classes that share a very frequent key are tied within their batch already, and only
+   the first of each run there, with the range of its sizes, meets the others.
 3. Each candidate component is cut into tiles by size band and, within a band, by hash, each
    of bounded total size, and tiles of bands that can link are compared: parity bitmaps of
    hashed shingles bound the symmetric difference from below and so the overlap from above;
@@ -54,12 +57,14 @@ NUMERATOR, DENOMINATOR = 4, 5
 FREQUENT = 1_000_000
 #: Size of the bitmap of candidate ids, as a power of two.
 BITMAP_BITS = 24
-#: Classes with one key whose pairs are counted; with more of them they are tied together.
+#: Classes with one key whose pairs are counted; with more of them the key is crowded.
 FEW = 8
 #: A shingle in so many documents, as a binary logarithm, is tied within batches before its rows meet.
 HOT_GRADE = 14
 #: A set shows one more key for so many shingles, and a pair must then share one more.
 SPARE = 20
+#: A pair with less than this part of the keys that it needs, in keys of few classes, has the others in crowded ones.
+LEAST_SHARE = 6
 #: Shingles of neighbouring documents that are counted together.
 COUNTED_TOGETHER = 4_000_000
 #: Shingles that the sets of one tile hold together, about; a set weighs at least LEAST_WEIGHT.
@@ -163,6 +168,22 @@ def shared_keys(n):
     return 1 + n // SPARE
 
 
+def least_counted(need):
+    """Shared keys of few classes below which a pair that needs ``need`` keys is told by crowded ones alone."""
+    return F.greatest(F.lit(1), F.floor(need / LEAST_SHARE))
+
+
+def least_crowded(n):
+    """Crowded keys of a set of n shingles that links with one with which it shares fewer keys of few classes than that."""
+    need = shared_keys_of(F.ceil(n * NUMERATOR / DENOMINATOR))
+    return need - least_counted(need) + 1
+
+
+def shared_keys_of(n):
+    """``shared_keys`` of a column."""
+    return F.floor(n / SPARE) + 1
+
+
 def local_runs(key: np.ndarray, n: np.ndarray, c: np.ndarray) -> dict[str, np.ndarray]:
     """Rows of frequent keys as runs of sizes that could link, and ties of their members to the first.
 
@@ -226,12 +247,20 @@ def _keys(docs: DataFrame, frequent, hot_grade: int = HOT_GRADE) -> DataFrame:
     return arrow_map(docs.select("text"), cut, KEYS)
 
 
-def _ties(keys: DataFrame) -> DataFrame:
-    """(a, b) of classes that may link; components of these hold whole components of links."""
-    types = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("need", pa.int64())])
+def _tied(keys: DataFrame, last: bool) -> DataFrame:
+    """Rows (a, b, need, size) from all classes of each key: pairs, ties with the first of a run, crowded keys.
+
+    A pair has the number of keys that it needs, a tie needs 0; both have size 0. A crowded key, b,
+    stands beside its class, a, and the size of that; in the ``last`` round classes are tied under it.
+    """
+    types = pa.schema([(name, pa.int64()) for name in ("a", "b", "need", "size")])
 
     def tied_rows(x, y, need) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(need)], schema=types)
+        rows = np.minimum(x, y), np.maximum(x, y), need, np.zeros(len(x), np.int64)
+        return pa.RecordBatch.from_arrays([*map(pa.array, rows)], schema=types)
+
+    def crowded_rows(key, n, c) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*map(pa.array, (c, key, np.zeros(len(c), np.int64), n))], schema=types)
 
     def pairs(key, n, c, few) -> Iterator[pa.RecordBatch]:
         """All pairs that could link by size, where few classes share the key."""
@@ -242,7 +271,7 @@ def _ties(keys: DataFrame) -> DataFrame:
                 break
             yield tied_rows(c[i], c[i + step], shared_keys(n[i]))
 
-    def stars(key, n, top, c, many, held) -> tuple[np.ndarray, pa.RecordBatch]:
+    def stars(key, n, top, c, use, held) -> tuple[np.ndarray, pa.RecordBatch]:
         """Each class with the first of its run of sizes; ``held`` is the last row before these."""
         joined = np.zeros(len(key), bool)
         joined[1:] = (key[1:] == key[:-1]) & (DENOMINATOR * top[:-1] >= NUMERATOR * n[1:])
@@ -252,7 +281,7 @@ def _ties(keys: DataFrame) -> DataFrame:
         roots = c[heads]
         if joined[0]:
             roots[: len(joined) if joined.all() else int(np.argmin(joined))] = held[2]
-        use = many & (roots != c)
+        use = use & (roots != c)
         return roots, tied_rows(roots[use], c[use], np.zeros(use.sum(), np.int64))
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +290,7 @@ def _ties(keys: DataFrame) -> DataFrame:
         waiting = [np.zeros(0, np.int64)] * 5
         held: tuple[int, int, int] | None = None
 
-        def done(rows, held, last: bool):
+        def done(rows, held, over: bool):
             key, n, hi, c, run = rows
             fresh = np.ones(len(key), bool)
             fresh[1:] = (key[1:] != key[:-1]) | (c[1:] != c[:-1]) | (run[1:] > 0) | (run[:-1] > 0)
@@ -272,9 +301,9 @@ def _ties(keys: DataFrame) -> DataFrame:
             if held is not None and key[0] == held[0]:
                 lengths[0] += FEW + 1
             wait = [x[len(x) :] for x in (key, n, hi, c, run)]
-            if not last and lengths[-1] <= FEW:
+            if not over and lengths[-1] <= FEW:
                 wait = [x[cuts[-1] :] for x in (key, n, hi, c, run)]
-                key, n, hi, c = (x[: cuts[-1]] for x in (key, n, hi, c))
+                key, n, hi, c, run = (x[: cuts[-1]] for x in (key, n, hi, c, run))
                 lengths = lengths[:-1]
             if not len(key):
                 return wait, held, []
@@ -286,9 +315,11 @@ def _ties(keys: DataFrame) -> DataFrame:
             top = np.maximum.accumulate(group + hi) - group
             if held is not None and key[0] == held[0]:
                 top[: sizes[0]] = np.maximum(top[: sizes[0]], held[1])
-            roots, star = stars(key, n, top, c, many, held)
+            # Runs are of keys in so many classes that these met in their batches, ties and all.
+            crowded = many & (run == 0) & (not last)
+            roots, star = stars(key, n, top, c, many & ~crowded, held)
             held = (int(key[-1]), int(top[-1]), int(roots[-1])) if many[-1] else None
-            return wait, held, [*pairs(key, n, c, ~many), star]
+            return wait, held, [*pairs(key, n, c, ~many), star, crowded_rows(key[crowded], n[crowded], c[crowded])]
 
         for batch in batches:
             key, n, hi, c = (batch.column(i).to_numpy() for i in range(4))
@@ -300,15 +331,38 @@ def _ties(keys: DataFrame) -> DataFrame:
             run = head.is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
             rows = [np.concatenate([w, x[~ready]]) for w, x in zip(waiting, (key, n, hi, c, run))]
             if len(rows[0]):
-                waiting, held, out = done(rows, held, last=False)
+                waiting, held, out = done(rows, held, over=False)
                 yield from out
         if len(waiting[0]):
-            yield from done(waiting, held, last=True)[2]
+            yield from done(waiting, held, over=True)[2]
 
     ordered = keys.repartition("key").sortWithinPartitions("key", "n", "class")
-    tied = ordered.mapInArrow(tie, "a long, b long, need long")
-    counted = tied.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need"))
-    return counted.where(F.col("shared") >= F.col("need")).select("a", "b")
+    return ordered.mapInArrow(tie, "a long, b long, need long, size long")
+
+
+def _ties(keys: DataFrame) -> DataFrame:
+    """(a, b) of classes that may link; components of these hold whole components of links."""
+    met = materialize(_tied(keys, last=False), "key-rows", release=True)
+    crowded = materialize(
+        met.where("size > 0")
+        .groupBy(F.col("a").alias("class"))
+        .agg(F.min("size").alias("n"), F.collect_list("b").alias("keys"))
+        .select("class", "n", "keys", F.size("keys").alias("crowded")),
+        "crowded",
+        release=True,
+    )
+    # What shares too few other keys shares so many crowded ones that both sides are here.
+    heavy = crowded.where(F.col("crowded") >= least_crowded(F.col("n")))
+    again = heavy.select(F.explode("keys").alias("key"), "n", F.col("n").alias("hi"), "class", F.lit(None).cast("long").alias("head"))
+    rows = met.where("size = 0").unionByName(_tied(again, last=True))
+    counted = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need"))
+    counted = materialize(counted.where(F.col("shared") >= F.least("need", least_counted(F.col("need")))), "pairs", release=True)
+    # The others' missing keys may be crowded ones.
+    more, lacks = crowded.select("class", "crowded"), F.col("need") - F.col("shared")
+    rest = counted.where(lacks > 0).select("a", "b", lacks.alias("lacks"))
+    for side in ("a", "b"):
+        rest = rest.join(more.withColumnRenamed("class", side), side).where("crowded >= lacks").drop("crowded")
+    return counted.where(lacks <= 0).select("a", "b").unionByName(rest.select("a", "b"))
 
 
 def bitmaps(values: np.ndarray, bounds: np.ndarray, bits: int) -> np.ndarray:
@@ -507,12 +561,12 @@ def linked_components(
     candidates = materialize(
         chained.select(F.col("node").alias("class"), F.col("root").alias("comp")).join(heads, "class"), "candidates"
     )
-    texts = materialize(_texts(docs, candidates), "candidate-texts")
+    texts = materialize(_texts(docs, candidates), "candidate-texts", release=True)
     tiled = materialize(_tiled(candidates.select("class", "n", "comp"), tile_shingles), "tiles")
-    links = materialize(_compare(_place(tiled, first=True), texts), "first-links")
+    links = materialize(_compare(_place(tiled, first=True), texts), "first-links", release=True)
     many = tiled.where("tiles > 1 or tiles_up > 0 or tiles_down > 0")
     if many.limit(1).count():
-        links = links.unionByName(_second_links(many, links, texts))
+        links = links.unionByName(materialize(_second_links(many, links, texts), "second-links", release=True))
     parts = components(links).select(F.col("node").alias("class"), "root")
     placed = materialize(
         heads.join(parts, "class", "left").select("class", "doc_id", F.coalesce("root", "class").alias("part")), "parts"

@@ -20,6 +20,7 @@ from tokenizers import Tokenizer
 from campuslake.llm import (
     bpe_words,
     chat,
+    common,
     decontamination,
     html_extract,
     id_index,
@@ -226,6 +227,49 @@ def test_near_copies_of_null_and_repeated_ids(spark):
     assert bag(got) == bag(want)
 
 
+def test_ngram_join_chance_keys_tie_nothing(spark):
+    rnd = random.Random(23)
+    phrases = [[f"p{k}v{j}" for j in range(9)] for k in range(10)]
+
+    def text(name: str, parts: list[int], own: int) -> list[str]:
+        words = [f"{name}w{j}" for j in range(own)]
+        for k in parts:
+            at = rnd.randrange(len(words))
+            words[at:at] = phrases[k]
+        return words
+
+    # Each phrase is in more documents than those whose pairs are counted, but two of them say little of a text.
+    rows = [(i, " ".join(text(f"d{i}", rnd.sample(range(10), 2), 200))) for i in range(80)]
+    alone = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    often = spark.sparkContext.broadcast(ngram_join.frequent_shingles(alone, 0))
+    assert ngram_join._ties(ngram_join._keys(alone, often)).count() == 0
+    # Copies meet whether few or many have their keys, or some keys are of the one kind and some of the other.
+    for group, (parts, own, copies) in enumerate([([], 90, 2), ([], 90, 14), (range(8), 60, 2), (range(10), 20, 3), (range(8), 60, 12)]):
+        words = text(f"g{group}", list(parts), own)
+        for copy in range(copies):
+            near = list(words)
+            near[copy * 2 % len(near)] = f"z{group}y{copy}"
+            rows.append((1000 + 100 * group + copy, " ".join(near)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.linked_components(frame, frequent=0).collect()}
+    assert got == expected_components(rows)
+    assert len(set(got.values())) < len(rows) - 20
+
+
+def test_ngram_join_lets_shuffle_files_go(spark, docs, monkeypatch):
+    kept = {}
+
+    def materialize(df, label, release=False, **options):
+        kept[label] = release
+        return common.materialize(df, label, release=release, **options)
+
+    monkeypatch.setattr(ngram_join, "materialize", materialize)
+    before = spark.conf.get(common.RELEASE)
+    ngram_join.linked_components(docs, tile_shingles=40)
+    assert spark.conf.get(common.RELEASE) == before
+    assert all(kept[label] for label in ("key-rows", "crowded", "pairs", "candidate-texts", "first-links"))
+
+
 def words_of(line: str) -> tuple:
     return tuple(w for w in re.split("[ \t\x0b\f\r]+", line.lower()) if w)
 
