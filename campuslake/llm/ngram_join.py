@@ -43,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ..operators.joins import split_join
 from .common import annotate, arrow_map, materialize, steps
@@ -516,29 +516,33 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     texts that do not link stay, also on rows with one doc_id or without any; a null doc_id is kept
     only of a component that has no other.
     """
-    linked = linked_components(docs, with_class=True, **options)
+    linked = linked_components(docs, with_class=True, **options).where(F.col("class").isNotNull())
+    linked = materialize(linked.select("doc_id", "class", "part"), "linked")
+    key = [F.col("doc_id").isNull().alias("late"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("class")]
     # A component is told by its part: the doc_id that names it may be null or name others as well.
-    kept = (
-        linked.where(F.col("class").isNotNull())
-        .groupBy("part")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "class")).alias("k"))
-        .select(F.col("k.doc_id").alias("kept_id"), F.col("k.class").alias("kept_class"))
-    )
+    kept = linked.groupBy("part").agg(F.min(F.struct(*key)).alias("k")).select("k.*")
+    # Most documents are alone in their component and stay where they are; a bitmap of fixed size tells most of them.
+    tied = linked.where(F.col("class") != F.col("part")).select(F.explode(F.array("class", "part")).alias("class"))
+    copied = linked.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
+    place = F.pmod("class", F.lit(1 << BITMAP_BITS))
+    marked = docs.sparkSession.sparkContext.broadcast(_bitmap(tied.unionByName(copied).select(place.alias("place"))))
 
     def make():
         def digest(texts: pa.Array) -> dict:
             values, bounds = shingle_sets(texts)
-            n = np.diff(bounds)
-            return {"class": pa.array(signed(set_hash(values, bounds)), mask=n == 0)}
+            empty = np.diff(bounds) == 0
+            classes = signed(set_hash(values, bounds))
+            alone = empty | ~_marked(marked.value, classes & ((1 << BITMAP_BITS) - 1))
+            return {"class": pa.array(classes, mask=empty), "alone": alone}
 
         return digest
 
-    rows = annotate(docs, make, StructType([StructField("class", LongType())])).withColumn(
-        "doc_id", F.col("row.doc_id").cast("long")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("found.class") == F.col("kept_class"))
-    ones = rows.where(F.col("found.class").isNotNull()).join(kept, same).dropDuplicates(["kept_id", "kept_class"])
-    return ones.select("row.*").unionByName(rows.where(F.col("found.class").isNull()).select("row.*"))
+    found = StructType([StructField("class", LongType()), StructField("alone", BooleanType())])
+    rows = annotate(docs, make, found)
+    others = rows.where(~F.col("found.alone")).select("row", F.col("row.doc_id").cast("long").alias("doc_id"), "found.class")
+    # Repeated rows meet within their tasks first, and once they have moved the join finds them in place.
+    ones = others.select("row", *key).dropDuplicates(["late", "id", "class"]).join(kept, ["late", "id", "class"])
+    return rows.where("found.alone").select("row.*").unionByName(ones.select("row.*"))
 
 
 def linked_components(
@@ -582,6 +586,22 @@ def linked_components(
     return whole if with_class else whole.select("doc_id", "n_shingles", "component_id")
 
 
+def _bitmap(places: DataFrame) -> np.ndarray:
+    """The places (place), of 2 ** BITMAP_BITS, as one bit each."""
+    words = (
+        places.groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return bitmap
+
+
+def _marked(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[at >> 6] >> (at & 63)) & 1 == 1
+
+
 def _texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """(class, text) for one document of each candidate class.
 
@@ -589,19 +609,10 @@ def _texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS))
-    words = (
-        candidates.select(place.alias("place"))
-        .groupBy(F.shiftright("place", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
-        .toArrow()
-    )
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    marked = spark.sparkContext.broadcast(bitmap)
+    marked = spark.sparkContext.broadcast(_bitmap(candidates.select(place.alias("place"))))
 
     def own(batch: pa.RecordBatch) -> Iterator[dict]:
-        at = batch.column(0).to_numpy()
-        batch = batch.filter(pa.array((marked.value[at >> 6] >> (at & 63)) & 1 == 1))
+        batch = batch.filter(pa.array(_marked(marked.value, batch.column(0).to_numpy())))
         for start, texts in steps(batch.column(2)):
             values, bounds = shingle_sets(texts)
             yield {

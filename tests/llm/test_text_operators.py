@@ -270,6 +270,23 @@ def test_ngram_join_lets_shuffle_files_go(spark, docs, monkeypatch):
     assert all(kept[label] for label in ("key-rows", "crowded", "pairs", "candidate-texts", "first-links"))
 
 
+def test_near_copies_move_texts_once_at_most(spark, plan):
+    rows = [(i, " ".join(f"t{i}w{j}" for j in range(30))) for i in range(6)]
+    frame = spark.createDataFrame([*rows, (7, rows[0][1]), (8, rows[0][1].replace("w29", "v"))], "doc_id long, text string")
+    left = ngram_join.drop_near_copies(frame)
+    lines = [(len(re.match(r"[ :+-]*", x)[0]), x) for x in plan(left).split("\n")]
+    moves = []
+    for i, (depth, line) in enumerate(lines):
+        if "MapInArrow" in line:
+            above = 0
+            for other, x in reversed(lines[:i]):
+                if other < depth:
+                    depth, above = other, above + ("Exchange" in x)
+            moves.append(above)
+    assert sorted(moves) == [0, 1]
+    assert sorted(r["doc_id"] for r in left.collect()) == list(range(6))
+
+
 def words_of(line: str) -> tuple:
     return tuple(w for w in re.split("[ \t\x0b\f\r]+", line.lower()) if w)
 
